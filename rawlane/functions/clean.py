@@ -10,7 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawlane.functions.text import is_blank, strip
 
 # Month abbreviations, January to December.
 MONTHS = ("jan", "fev", "mar", "abr", "mai", "jun", "jul", "ago", "set", "out", "nov", "dez")
@@ -23,12 +22,24 @@ MIN_DATE = "1677-09-22"
 MAX_DATE = "2262-04-11"
 
 
-def parse_number(raw: Column, target: T.DataType) -> Column:
-    """``1.000,50`` style text to a number; NULL where the text is not a number.
+# Texts that are rewritten to year-month-day, tried one after the other. Two-digit years up to LAST_YEAR_OF_2000S come
+# first. The last pattern empties whatever is not a year-month-day text by then.
+_REWRITES = (
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1"),
+    (r"^(\d{1,2})/(\d{1,2})/([0-5]\d|6[0-8])$", "20$3-$2-$1"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{2})$", "19$3-$2-$1"),
+    (r"^(\d{1,2})([.-])(\d{1,2})\2(\d{4})$", "$4-$3-$1"),
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+    (r"^(\d{4}-\d{2}-\d{2})[ Tt]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,9})?)?$", "$1"),
+    (r"(?s)^(?!\d{4}-\d{1,2}-\d{1,2}$).*$", ""),
+)
+
+
+def parse_number(text: Column, target: T.DataType) -> Column:
+    """``1.000,50`` style text (already stripped) to a number; NULL where the text is not a number.
 
     Dots are always thousands marks, a lone dash is zero, and infinities are not numbers.
     """
-    text = strip(raw)
     plain = F.when(text == "-", F.lit("0")).otherwise(F.translate(text, ",.", "."))
     if isinstance(target, T.DecimalType):
         return plain.try_cast(target)
@@ -36,50 +47,32 @@ def parse_number(raw: Column, target: T.DataType) -> Column:
     return F.when(plain.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), plain.try_cast(target))
 
 
-def parse_date(raw: Column) -> Column:
-    """Date text to DATE; NULL where no known format fits or the day is outside the supported range.
+def day_month_year(text: Column) -> Column:
+    """``jan/2024``, in any case, as ``1/1/2024``; other text (already stripped) as it is."""
+    starts = F.create_map(*[F.lit(x) for number, name in enumerate(MONTHS, start=1) for x in (f"{name}/", f"1/{number}/")])
+    start = F.try_element_at(starts, F.lower(F.substring(text, 1, 4)))
+    # Looked up only where the fourth character says that there may be a month name.
+    return F.when(
+        (F.substring(text, 4, 1) == "/") & start.isNotNull(),
+        F.concat(start, F.split_part(text, F.lit("/"), F.lit(2))),
+    ).otherwise(text)
+
 
-    Each format is rewritten to ``yyyy-M-d`` text and cast once, which keeps the whole expression in generated code
-    and rejects impossible days such as 31 February.
+def parse_date(text: Column) -> Column:
+    """Date text from ``day_month_year`` to DATE; NULL where no known format fits or the day is impossible.
+
+    The text is rewritten to ``yyyy-M-d`` and cast once. The usual format is cut up by position; only other texts pay
+    for the rewrites. The expressions are kept few, since a table has many date columns and generated code must stay
+    small enough to be compiled.
     """
-    text = F.lower(strip(raw))
-    first, second, third = (F.split_part(text, F.lit("/"), F.lit(i)) for i in (1, 2, 3))
-    month_number = F.lit(None).cast("string")
-    for number, name in reversed(list(enumerate(MONTHS, start=1))):
-        month_number = F.when(first == name, F.lit(f"{number}")).otherwise(month_number)
-
-    def full_year(year: Column) -> Column:
-        century = F.when(year.try_cast("int") <= LAST_YEAR_OF_2000S, F.lit("20")).otherwise(F.lit("19"))
-        return F.when(F.length(year) == 2, F.concat(century, year)).otherwise(year)
-
-    def ymd(year: Column, month: Column, day: Column) -> Column:
-        return F.concat_ws("-", year, month, day)
-
-    def piece(separator: str, index: int) -> Column:
-        return F.split_part(text, F.lit(separator), F.lit(index))
-
-    iso = (
-        F.when(text.rlike(r"^\d{1,2}/\d{1,2}/(\d{4}|\d{2})$"), ymd(full_year(third), second, first))
-        .when(
-            month_number.isNotNull() & second.rlike(r"^(\d{4}|\d{2})$"),
-            ymd(full_year(second), month_number, F.lit("1")),
-        )
-        .when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text)
-        .when(
-            text.rlike(r"^\d{4}-\d{2}-\d{2}[ t]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,9})?)?$"),
-            F.substring(text, 1, 10),
-        )
-        .when(
-            text.rlike(r"^\d{8}$"),
-            ymd(F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)),
-        )
-        .when(text.rlike(r"^\d{1,2}-\d{1,2}-\d{4}$"), ymd(piece("-", 3), piece("-", 2), piece("-", 1)))
-        .when(text.rlike(r"^\d{1,2}\.\d{1,2}\.\d{4}$"), ymd(piece(".", 3), piece(".", 2), piece(".", 1)))
-    )
-    day = iso.try_cast("date")
-    return F.when(day.between(F.lit(MIN_DATE).cast("date"), F.lit(MAX_DATE).cast("date")), day)
+    year, month, day = F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2)
+    other = text
+    for pattern, replacement in _REWRITES:
+        other = F.regexp_replace(other, pattern, replacement)
+    usual = text.rlike(r"^\d\d/\d\d/\d{4}$")
+    return F.when(usual, F.concat_ws("-", year, month, day)).otherwise(other).try_cast("date")
 
 
-def conversion_failed(raw: Column, cleaned: Column) -> Column:
-    """True where a non-blank text did not yield a value."""
-    return cleaned.isNull() & ~is_blank(raw)
+def in_date_range(day: Column) -> Column:
+    """The day itself, or NULL outside the supported range."""
+    return F.when(day.between(F.lit(MIN_DATE).cast("date"), F.lit(MAX_DATE).cast("date")), day)

@@ -63,11 +63,6 @@ def null_tokens(value: Column) -> Column:
     return F.when(~value.isin(*NULL_TOKENS), value)
 
 
-def join_or_null(parts: Column, separator: str) -> Column:
-    """Join an array of strings; an empty array gives NULL."""
-    return F.when(F.size(parts) > 0, F.array_join(parts, separator))
-
-
 def uuid_from(*parts: Column) -> Column:
     """A UUID-shaped id derived from its inputs, so a recomputed task yields the same id."""
     digest = F.md5(F.concat_ws("\u0001", *parts))

@@ -11,8 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rawlane.functions.clean import conversion_failed, parse_date, parse_number
-from rawlane.functions.text import is_blank, join_or_null
+from rawlane.functions.clean import day_month_year, in_date_range, parse_date, parse_number
+from rawlane.functions.text import is_blank, strip
 from rawlane.specs import REJECTION_SCHEMA, DatasetSpec
 
 VALUE_LIMIT = 500
@@ -20,30 +20,9 @@ VALUE_LIMIT = 500
 
 def missing_mandatory(spec: DatasetSpec) -> Column:
     """Names of the mandatory columns that are NULL or blank, in contract order, joined by ', '; NULL when complete."""
+    # concat_ws leaves NULLs out.
     absent = [F.when(is_blank(F.col(c)), F.lit(c)) for c in spec.mandatory]
-    anything = F.lit(False)
-    for column in spec.mandatory:
-        anything = anything | is_blank(F.col(column))
-    # The array is built only for the few rows that need it.
-    return F.when(anything, join_or_null(F.array_compact(F.array(*absent)), ", "))
-
-
-def first_error(spec: DatasetSpec, raw: dict[str, Column], cleaned: dict[str, Column]) -> Column:
-    """Column, raw value and message of the first cell that cannot be typed; numeric columns are tried before dates."""
-    checks = [(c, "Valor numérico inválido em '") for c in spec.numeric_columns]
-    checks += [(c, "Data inválida em '") for c in spec.date_columns]
-    if not checks:
-        return F.lit(None).cast("struct<campo:string,valor:string,motivo:string>")
-    result = None
-    for column, text in checks:
-        value = F.struct(
-            F.lit(column).alias("campo"),
-            raw[column].alias("valor"),
-            F.concat(F.lit(f"{text}{column}': "), raw[column]).alias("motivo"),
-        )
-        failed = conversion_failed(raw[column], cleaned[column])
-        result = F.when(failed, value) if result is None else result.when(failed, value)
-    return result
+    return F.nullif(F.concat_ws(", ", *absent), F.lit(""))
 
 
 def row_snapshot(columns: Sequence[Column]) -> Column:
@@ -55,28 +34,41 @@ def clean_table(df: DataFrame, spec: DatasetSpec, keep: Sequence[str] = ()) -> D
     """Type every numeric and date column of a conformed text table.
 
     Result: the ``keep`` columns, the target columns with their target types, and three columns that are NULL on clean
-    rows: ``missing`` (names of empty mandatory columns), ``first_error`` (struct) and ``registro`` (raw row as JSON).
+    rows: ``missing`` (names of empty mandatory columns), ``first_error`` (column and raw value of the first cell that
+    cannot be typed, numeric columns before date columns) and ``registro`` (raw row as JSON).
     """
-    raw = {f.name: F.col(f.name) for f in spec.target}
-    typed = {}
-    for field in spec.target:
-        if field.name in spec.numeric_columns:
-            typed[field.name] = parse_number(raw[field.name], field.dataType)
-        elif field.name in spec.date_columns:
-            typed[field.name] = parse_date(raw[field.name]).cast(field.dataType)
-    # Two projections: parse once, then test the parsed columns.
-    parsed = df.select("*", *[value.alias(f"_typed_{name}") for name, value in typed.items()])
-    cleaned = {name: F.col(f"_typed_{name}") for name in typed}
-    flagged = parsed.select(
-        "*", missing_mandatory(spec).alias("missing"), first_error(spec, raw, cleaned).alias("first_error")
+    names = [*spec.numeric_columns, *spec.date_columns]
+    kinds = {f.name: f.dataType for f in spec.target}
+    dates = set(spec.date_columns)
+    text = {n: F.col(f"_text_{n}") for n in names}
+    typed = {n: F.col(f"_typed_{n}") for n in names}
+    # One narrow step per projection, so that nothing is computed twice and no step's generated code gets too large.
+    # Blank text becomes NULL here, so that afterwards "has text but no value" means a failed conversion.
+    steps = df.select("*", *[F.nullif(strip(F.col(n)), F.lit("")).alias(f"_text_{n}") for n in names])
+    if dates:
+        steps = steps.withColumns({f"_text_{n}": day_month_year(text[n]) for n in spec.date_columns})
+    steps = steps.select(
+        "*",
+        *[(parse_date(text[n]) if n in dates else parse_number(text[n], kinds[n])).alias(f"_typed_{n}") for n in names],
     )
-    snapshot = F.col("_snapshot") if "_snapshot" in df.columns else row_snapshot(list(raw.values()))
-    return flagged.select(
+    if dates:
+        steps = steps.withColumns({f"_typed_{n}": in_date_range(typed[n]).cast(kinds[n]) for n in spec.date_columns})
+    place = F.lit(None).cast("int")
+    for i, n in reversed(list(enumerate(names, start=1))):
+        place = F.when(typed[n].isNull() & text[n].isNotNull(), i).otherwise(place)
+    steps = steps.select("*", place.alias("_place"), missing_mandatory(spec).alias("missing"))
+    error = F.lit(None).cast("struct<campo:string,valor:string>")
+    if names:
+        at = lambda values: F.element_at(F.array(*values), F.col("_place"))
+        found = F.struct(at([F.lit(n) for n in names]).alias("campo"), at([F.col(n) for n in names]).alias("valor"))
+        error = F.when(F.col("_place").isNotNull(), found)
+    snapshot = F.col("_snapshot") if "_snapshot" in df.columns else row_snapshot([F.col(n) for n in kinds])
+    return steps.select(
         *keep,
-        *[cleaned.get(f.name, raw[f.name]).alias(f.name) for f in spec.target],
+        *[typed.get(n, F.col(n)).alias(n) for n in kinds],
         "missing",
-        "first_error",
-        F.when(F.col("missing").isNotNull() | F.col("first_error").isNotNull(), snapshot).alias("registro"),
+        error.alias("first_error"),
+        F.when(F.col("missing").isNotNull() | F.col("_place").isNotNull(), snapshot).alias("registro"),
     )
 
 
@@ -105,14 +97,10 @@ def _entries(staged: DataFrame, spec: DatasetSpec, field: Column, reason: Column
 def error_entries(staged: DataFrame, spec: DatasetSpec) -> DataFrame:
     """One ERROR per row that cannot be typed, naming its first failing column. Needs ``run_id`` and ``numero_linha``."""
     rows = staged.filter(F.col("first_error").isNotNull())
-    return _entries(
-        rows,
-        spec,
-        F.coalesce(F.col("first_error.campo"), F.lit("data_cleaning")),
-        F.col("first_error.motivo"),
-        F.col("first_error.valor"),
-        "ERROR",
-    )
+    field, value = F.coalesce(F.col("first_error.campo"), F.lit("data_cleaning")), F.col("first_error.valor")
+    kind = F.when(field.isin(spec.numeric_columns), F.lit("Valor numérico inválido")).otherwise(F.lit("Data inválida"))
+    reason = F.concat(kind, F.lit(" em '"), field, F.lit("': "), value)
+    return _entries(rows, spec, field, reason, value, "ERROR")
 
 
 def warn_entries(staged: DataFrame, spec: DatasetSpec) -> DataFrame:

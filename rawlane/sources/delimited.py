@@ -91,8 +91,9 @@ def _read_group(spark: SparkSession, paths: list[str], sep: str, encoding: str,
         .option("columnPruning", False)
         .csv([literal_path(p) for p in paths])
     )
-    # ``_line`` is set only on records whose field count differs from the header.
-    line = F.col("_line")
+    # ``_line`` is set only on records whose field count differs from the header. Naming a cell next to it is needed
+    # as well: the reader refuses to produce that column alone, as a mere count would ask for.
+    line = F.when(F.col(cells[0]).isNotNull() | F.col("_line").isNotNull(), F.col("_line"))
     kept = rows.select(
         *cells,
         "_line",

@@ -32,6 +32,7 @@ def ingest_stream(
     """
     arrivals = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .load(path)

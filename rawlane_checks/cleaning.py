@@ -29,7 +29,7 @@ def by_key(step: int, texts: list[Column | str]) -> Column:
     return chosen
 
 
-@check(f"SELECT o_orderkey, {NUMBER_SQL} AS valor, o_orderkey % 97 = 0 AS erro FROM orders")
+@check(f"SELECT o_orderkey, {NUMBER_SQL} AS valor, o_orderkey % 97 = 0 AS erro FROM orders", money=["valor"])
 def parse_br_number(t: Tables) -> DataFrame:
     return cleaned(t, NUMBER, number_text())
 
@@ -63,7 +63,8 @@ _ODD_BAD = ", ".join(str(i) for i, (_, _, bad) in enumerate(ODD_NUMBERS) if bad)
 
 @check(
     f"""SELECT o_orderkey, CAST(CASE o_orderkey % {len(ODD_NUMBERS)} {_ODD_CASES} END AS DECIMAL(18,2)) AS valor,
-          o_orderkey % {len(ODD_NUMBERS)} IN ({_ODD_BAD}) AS erro FROM orders"""
+          o_orderkey % {len(ODD_NUMBERS)} IN ({_ODD_BAD}) AS erro FROM orders""",
+    money=["valor"],
 )
 def parse_odd_numbers(t: Tables) -> DataFrame:
     return cleaned(t, NUMBER, by_key(len(ODD_NUMBERS), [text for text, _, _ in ODD_NUMBERS]))
@@ -72,14 +73,15 @@ def parse_odd_numbers(t: Tables) -> DataFrame:
 @check(
     """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL WHEN o_orderkey % 4 = 2
             THEN -CAST(o_custkey AS DECIMAL(18,2)) ELSE CAST(0 AS DECIMAL(18,2)) END AS valor,
-         o_orderkey % 4 = 3 AS erro FROM orders"""
+         o_orderkey % 4 = 3 AS erro FROM orders""",
+    money=["valor"],
 )
 def dash_as_zero(t: Tables) -> DataFrame:
     negative = F.concat(F.lit("-"), F.col("o_custkey").cast("string"))
     return cleaned(t, NUMBER, by_key(4, ["-", "  -  ", negative, "- -"]))
 
 
-@check(f"SELECT o_orderkey, {DATE_SQL} AS dia, o_orderkey % 79 = 0 AS erro FROM orders")
+@check(f"SELECT o_orderkey, {DATE_SQL} AS dia, o_orderkey % 79 = 0 AS erro FROM orders", dates=["dia"])
 def parse_dates(t: Tables) -> DataFrame:
     return cleaned(t, DATE, date_text())
 
@@ -90,7 +92,8 @@ def day() -> Column:
 
 @check(
     """SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 2 THEN CAST(o_orderdate AS DATE) END AS dia,
-         o_orderkey % 4 >= 2 AS erro FROM orders"""
+         o_orderkey % 4 >= 2 AS erro FROM orders""",
+    dates=["dia"],
 )
 def parse_date_dmy(t: Tables) -> DataFrame:
     padded, short = F.date_format(day(), "dd/MM/yyyy"), F.date_format(day(), "d/M/yyyy")
@@ -100,7 +103,8 @@ def parse_date_dmy(t: Tables) -> DataFrame:
 @check(
     """SELECT o_orderkey,
          CAST((CASE WHEN o_custkey % 100 <= 68 THEN 2000 ELSE 1900 END + o_custkey % 100) || '-03-' ||
-              lpad(CAST(o_orderkey % 28 + 1 AS VARCHAR), 2, '0') AS DATE) AS dia, FALSE AS erro FROM orders"""
+              lpad(CAST(o_orderkey % 28 + 1 AS VARCHAR), 2, '0') AS DATE) AS dia, FALSE AS erro FROM orders""",
+    dates=["dia"],
 )
 def parse_date_two_digit_year(t: Tables) -> DataFrame:
     year = F.lpad((F.col("o_custkey") % 100).cast("string"), 2, "0")
@@ -109,7 +113,8 @@ def parse_date_two_digit_year(t: Tables) -> DataFrame:
 
 @check(
     """SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS dia,
-         o_orderkey % 4 = 3 AS erro FROM orders"""
+         o_orderkey % 4 = 3 AS erro FROM orders""",
+    dates=["dia"],
 )
 def parse_month_year(t: Tables) -> DataFrame:
     names = F.split(F.lit("jan fev mar abr mai jun jul ago set out nov dez"), " ")
@@ -125,7 +130,8 @@ def parse_month_year(t: Tables) -> DataFrame:
 
 @check(
     """SELECT o_orderkey, CASE WHEN o_orderkey % 7 < 5 THEN CAST(o_orderdate AS DATE) END AS dia,
-         o_orderkey % 7 >= 5 AS erro FROM orders"""
+         o_orderkey % 7 >= 5 AS erro FROM orders""",
+    dates=["dia"],
 )
 def parse_date_fallback(t: Tables) -> DataFrame:
     texts = ["yyyy-MM-dd", "yyyy-MM-dd' 'HH:mm:ss", "yyyyMMdd", "d-M-yyyy", "d.M.yyyy", "yyyy/MM/dd", "MMM yyyy"]
@@ -134,20 +140,22 @@ def parse_date_fallback(t: Tables) -> DataFrame:
 
 @check(
     """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN DATE '1677-09-22' WHEN 1 THEN DATE '2262-04-11' END AS dia,
-         o_orderkey % 5 BETWEEN 2 AND 4 AS erro FROM orders"""
+         o_orderkey % 5 BETWEEN 2 AND 4 AS erro FROM orders""",
+    dates=["dia"],
 )
 def date_range_guard(t: Tables) -> DataFrame:
     return cleaned(t, DATE, by_key(5, ["22/09/1677", "11/04/2262", "21/09/1677", "12/04/2262", "10/10/5022"]))
 
 
 @check(
-    """SELECT o_orderkey, CAST(NULL AS DATE) AS dia, o_orderkey % 3 = 0 AS erro FROM orders"""
+    """SELECT o_orderkey, CAST(NULL AS DATE) AS dia, o_orderkey % 3 = 0 AS erro FROM orders""",
+    dates=["dia"],
 )
 def conversion_failed(t: Tables) -> DataFrame:
     return cleaned(t, DATE, by_key(3, ["nunca", " \t ", F.lit(None).cast("string")]))
 
 
-@check("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dia, strftime(o_orderdate, '%Y-%m-%d') AS iso FROM orders")
+@check("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dia, strftime(o_orderdate, '%Y-%m-%d') AS iso FROM orders", dates=["dia"])
 def date_to_iso(t: Tables) -> DataFrame:
     rows = cleaned(t, DATE, F.date_format(F.col("o_orderdate"), "yyyy-MM-dd HH:mm:ss"))
     return rows.select("o_orderkey", "dia", F.col("dia").cast("string").alias("iso"))

@@ -11,7 +11,7 @@ from rawlane.specs import FATURAMENTO
 from rawlane.streaming.intake import ingest_stream
 from rawlane_checks.registry import Tables, check
 from rawlane_checks.routing import ERROR_SQL, WARN_SQL
-from rawlane_checks.sources import ROWS_PER_FILE
+from rawlane_checks.sources import ROWS_PER_FILE, lote_of, lotes_in, one_file_each
 from rawlane_checks.views import DIRTY_SQL, dirty_faturamento
 
 LOADED = ["numero_documento", "cnpj", "valor_da_conta", "data_fat", "empresa", "observacao"]
@@ -23,17 +23,22 @@ def drop_folder(t: Tables) -> str:
     """Dirty billing files: semicolon and UTF-8 for even file numbers, comma and Latin-1 for odd ones."""
     path = work_path(t.spark, "drop")
     rows = dirty_faturamento(t).withColumns(
-        {"lote": F.floor(F.col("o_orderkey") / ROWS_PER_FILE), "observacao": F.lit("observação")}
+        {"lote": lote_of(F.col("o_orderkey")), "observacao": F.lit("observação")}
     )
     known = set(rows.columns)
     target = {FATURAMENTO.rename.get(c, c): c for c in FATURAMENTO.header}
     cells = [(F.col(n) if n in known else F.lit(None).cast("string")).alias(c) for n, c in target.items()]
+    lotes = lotes_in(t)
     for odd, sep, encoding in ((0, ";", "UTF-8"), (1, ",", "ISO-8859-1")):
-        part = rows.filter(F.col("lote") % 2 == odd).repartition("lote").sortWithinPartitions("lote", "o_orderkey")
+        part = rows.filter(F.col("lote") % 2 == odd).withColumn("lote", F.floor(F.col("lote") / 2))
+        files = (lotes + 1 - odd) // 2
+        if not files:
+            continue
         (
-            part.select("lote", *cells)
-            .write.partitionBy("lote")
-            .mode("append")
+            one_file_each(part, files)
+            .sortWithinPartitions("o_orderkey")
+            .select(*cells)
+            .write.mode("append")
             .option("header", True)
             .option("mapreduce.output.basename", "faturamento")
             .option("sep", sep)
@@ -48,10 +53,10 @@ def drop_folder(t: Tables) -> str:
 
 
 def batch(t: Tables) -> Store:
-    return ingest(t.spark, f"{drop_folder(t)}/*", work_path(t.spark, "store"), user="teste")
+    return ingest(t.spark, drop_folder(t), work_path(t.spark, "store"), user="teste")
 
 
-@check(LOADED_SQL)
+@check(LOADED_SQL, money=["valor_da_conta"], dates=["data_fat"])
 def ingest_loaded(t: Tables) -> DataFrame:
     return batch(t).read_table(t.spark, FATURAMENTO).select(*LOADED)
 
@@ -98,16 +103,16 @@ def ingest_history(t: Tables) -> DataFrame:
 def ingest_twice(t: Tables) -> DataFrame:
     """A second run over the same folder adds no run and no row."""
     folder, out = drop_folder(t), work_path(t.spark, "store")
-    ingest(t.spark, f"{folder}/*", out)
-    store = ingest(t.spark, f"{folder}/*", out)
+    ingest(t.spark, folder, out)
+    store = ingest(t.spark, folder, out)
     runs = store.read_history(t.spark).agg(F.count(F.lit(1)).alias("execucoes"))
     rows = store.read_table(t.spark, FATURAMENTO).agg(F.count(F.lit(1)).alias("linhas"))
     return runs.crossJoin(rows).select(F.lit(2).cast("long").alias("entregas"), "execucoes", "linhas")
 
 
-@check(LOADED_SQL)
+@check(LOADED_SQL, money=["valor_da_conta"], dates=["data_fat"])
 def incremental_intake(t: Tables) -> DataFrame:
     out = work_path(t.spark, "store")
-    query = ingest_stream(t.spark, f"{drop_folder(t)}/*", out, work_path(t.spark, "progress"), max_files_per_trigger=1000)
+    query = ingest_stream(t.spark, drop_folder(t), out, work_path(t.spark, "progress"), max_files_per_trigger=1000)
     query.awaitTermination()
     return Store(out).read_table(t.spark, FATURAMENTO).select(*LOADED)

@@ -20,7 +20,7 @@ MONEY = "decimal(18,2)"
 TOTAL = "decimal(38,2)"
 
 
-@check(f"WITH {FATURAMENTO_SQL} SELECT numero_documento AS documento, cnpj, data_fat FROM faturamento")
+@check(f"WITH {FATURAMENTO_SQL} SELECT numero_documento AS documento, cnpj, data_fat FROM faturamento", dates=["data_fat"])
 def projection_alias(t: Tables) -> DataFrame:
     return faturamento(t).select(F.col("numero_documento").alias("documento"), "cnpj", "data_fat")
 
@@ -40,7 +40,8 @@ def not_null_filter(t: Tables) -> DataFrame:
 
 @check(
     f"""WITH {FATURAMENTO_SQL} SELECT numero_documento, data_fat FROM faturamento
-        WHERE data_fat >= DATE '1998-01-01' AND data_fat < DATE '1999-07-01'"""
+        WHERE data_fat >= DATE '1998-01-01' AND data_fat < DATE '1999-07-01'""",
+    dates=["data_fat"],
 )
 def date_range_filter(t: Tables) -> DataFrame:
     day = F.col("data_fat")
@@ -88,7 +89,8 @@ def group_by_columns(t: Tables) -> DataFrame:
 
 @check(
     f"""WITH {FATURAMENTO_SQL} SELECT CAST(date_trunc('month', data_fat) AS DATE) AS mes, count(*) AS qtd
-        FROM faturamento GROUP BY 1"""
+        FROM faturamento GROUP BY 1""",
+    dates=["mes"],
 )
 def group_by_expression(t: Tables) -> DataFrame:
     return faturamento(t).groupBy(F.trunc("data_fat", "MM").alias("mes")).agg(F.count(F.lit(1)).alias("qtd"))
@@ -98,7 +100,8 @@ def group_by_expression(t: Tables) -> DataFrame:
     f"""WITH {FATURAMENTO_SQL} SELECT empresa, count(*) AS linhas, count(valor_da_conta) AS valores,
           CAST(sum(valor_da_conta) AS DECIMAL(38,2)) AS total, min(data_fat) AS primeira, max(data_fat) AS ultima,
           max(cliente_nome_fantasia) AS maior_nome
-        FROM faturamento GROUP BY empresa"""
+        FROM faturamento GROUP BY empresa""",
+    money=["total"], dates=["primeira", "ultima"],
 )
 def aggregates(t: Tables) -> DataFrame:
     return (
@@ -140,7 +143,8 @@ def string_agg_distinct(t: Tables) -> DataFrame:
 
 @check(
     f"""WITH {FATURAMENTO_SQL} SELECT cnpj, CAST(sum(valor_da_conta) AS DECIMAL(38,2)) AS total FROM faturamento
-        GROUP BY cnpj HAVING sum(valor_da_conta) > 2500000"""
+        GROUP BY cnpj HAVING sum(valor_da_conta) > 2500000""",
+    money=["total"],
 )
 def having(t: Tables) -> DataFrame:
     totals = faturamento(t).groupBy("cnpj").agg(F.sum("valor_da_conta").cast(TOTAL).alias("total"))
@@ -158,7 +162,8 @@ def order_by_nulls(t: Tables) -> DataFrame:
 
 @check(
     f"""WITH {FATURAMENTO_SQL} SELECT numero_documento, valor_da_conta FROM faturamento
-        WHERE valor_da_conta IS NOT NULL ORDER BY valor_da_conta DESC, numero_documento LIMIT 100"""
+        WHERE valor_da_conta IS NOT NULL ORDER BY valor_da_conta DESC, numero_documento LIMIT 100""",
+    money=["valor_da_conta"],
 )
 def top_k(t: Tables) -> DataFrame:
     rows = faturamento(t).select("numero_documento", "valor_da_conta").dropna()
@@ -167,7 +172,8 @@ def top_k(t: Tables) -> DataFrame:
 
 @check(
     f"""WITH {FATURAMENTO_SQL} SELECT numero_documento, CAST(date_trunc('month', data_fat) AS DATE) AS mes
-        FROM faturamento"""
+        FROM faturamento""",
+    dates=["mes"],
 )
 def month_trunc(t: Tables) -> DataFrame:
     return faturamento(t).select("numero_documento", F.trunc("data_fat", "MM").alias("mes"))

@@ -10,6 +10,7 @@ from rawlane.operators.load import clustered_write, replace_by_source_file
 from rawlane.operators.rejections import append_rejections, read_rejections, rejection_records
 from rawlane.operators.routing import clean_table, error_entries, rejections, run_metrics, valid_rows, warn_entries
 from rawlane.session import work_path
+from rawlane.sources.storage import materialize
 from rawlane.specs import FATURAMENTO, MONEY, DatasetSpec
 from rawlane_checks.registry import Tables, check
 from rawlane_checks.views import DIRTY_SQL, conformed_dirty, every
@@ -30,7 +31,9 @@ WARN_SQL = """SELECT o_orderkey AS numero_linha, missing AS campo_falha,
 
 
 def staged(t: Tables) -> DataFrame:
+    """Staged rows, written once as an intake does: filters on them then read the result instead of parsing again."""
     rows = clean_table(conformed_dirty(t), FATURAMENTO, keep=["o_orderkey"])
+    rows = materialize(rows, work_path(t.spark, "staged"))
     return rows.withColumns(
         {"run_id": F.lit("run"), "numero_linha": F.col("o_orderkey"), "source_filename": F.lit("pedidos.csv")}
     )
@@ -63,6 +66,7 @@ def errors(t: Tables) -> DataFrame:
     f"""WITH {DIRTY_SQL} SELECT numero_documento, cnpj, valor AS valor_da_conta, data_fat, empresa,
           'pedidos.csv' AS source_filename FROM routed WHERE campo IS NULL""",
     name="valid_rows",
+    money=["valor_da_conta"], dates=["data_fat"],
 )
 def loadable(t: Tables) -> DataFrame:
     rows = valid_rows(staged(t), FATURAMENTO)
@@ -156,7 +160,7 @@ def redelivery(t: Tables) -> DataFrame:
     return t.spark.read.schema("o_orderkey long, entrega int, source_filename string").parquet(path)
 
 
-@check("SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS dia FROM orders", name="clustered_write")
+@check("SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS dia FROM orders", name="clustered_write", dates=["dia"])
 def clustered(t: Tables) -> DataFrame:
     path = work_path(t.spark, "clustered")
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("dia"))

@@ -192,7 +192,8 @@ def validation_summary(t: Tables) -> DataFrame:
         SELECT n AS "rows", CAST(7 AS BIGINT) AS "columns", 'segmento' AS "column", s AS nulls,
                CAST(round(s * 100.0 / n, 1) AS DECIMAL(4,1)) AS pct FROM totals WHERE s > 0
         UNION ALL SELECT n, CAST(7 AS BIGINT), 'responsavel', r, CAST(round(r * 100.0 / n, 1) AS DECIMAL(4,1))
-        FROM totals WHERE r > 0"""
+        FROM totals WHERE r > 0""",
+    money=["pct"],
 )
 def profile_nulls(t: Tables) -> DataFrame:
     return rules.profile_nulls(base_oficial(t))

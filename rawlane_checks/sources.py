@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rawlane.functions.text import NULL_TOKENS, null_tokens
@@ -90,12 +90,25 @@ def tokens(t: Tables) -> DataFrame:
 ROWS_PER_FILE = 2500
 
 
-def write_lines(rows: DataFrame, path: str, name: str) -> None:
+def one_file_each(rows: DataFrame, lotes: int) -> DataFrame:
+    """One task, and so one file, per ``lote`` (0, 1, ...)."""
+    return rows.repartitionById(lotes, F.col("lote").cast("int"))
+
+
+def lote_of(key: Column) -> Column:
+    return F.floor(key / ROWS_PER_FILE)
+
+
+def lotes_in(t: Tables) -> int:
+    return t.orders.agg(F.max(lote_of(F.col("o_orderkey")))).first()[0] + 1
+
+
+def write_lines(rows: DataFrame, lotes: int, path: str, name: str) -> None:
     """Write ``value`` lines to one file per ``lote``, in ``place`` order, exactly as they are."""
-    placed = rows.repartition("lote").sortWithinPartitions("lote", "place").select("lote", "value")
+    lines = rows.select("lote", "place", F.posexplode(F.split("value", "\n")).alias("part", "value"))
+    placed = one_file_each(lines, lotes).sortWithinPartitions("place", "part").select("value")
     (
-        placed.write.partitionBy("lote")
-        .option("mapreduce.output.basename", name)
+        placed.write.option("mapreduce.output.basename", name)
         .option("sep", "\u0001")
         .option("quote", "")
         .option("ignoreLeadingWhiteSpace", False)
@@ -120,11 +133,10 @@ def ragged_folder(t: Tables) -> str:
         .when(key % 31 == 0, F.concat(text, F.lit(';"a\nb"'), F.lit(";c"), tail))
         .otherwise(usual)
     )
-    lote = F.floor(key / ROWS_PER_FILE)
-    rows = t.orders.select(lote.alias("lote"), key.alias("place"), value.alias("value"))
+    rows = t.orders.select(lote_of(key).alias("lote"), key.alias("place"), value.alias("value"))
     heads = rows.select("lote").distinct().select("lote", F.lit(-1).alias("place"), F.lit(";".join(USUARIOS.header)).alias("value"))
     path = work_path(t.spark, "ragged")
-    write_lines(rows.union(heads), path, "usuarios")
+    write_lines(rows.union(heads), lotes_in(t), path, "usuarios")
     return path
 
 
@@ -140,7 +152,7 @@ RAGGED_SQL = f"""ragged AS (
 
 
 def ragged(t: Tables, whole_file_bytes: int) -> DataFrame:
-    manifest = route_files(build_manifest(t.spark, f"{ragged_folder(t)}/*", whole_file_bytes))
+    manifest = route_files(build_manifest(t.spark, ragged_folder(t), whole_file_bytes))
     return with_record_numbers(read_delimited(t.spark, manifest, USUARIOS))
 
 
