@@ -6,6 +6,8 @@ reader would guess a date format from the data, a fixed list of formats is tried
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,8 +45,9 @@ def parse_number(text: Column, target: T.DataType) -> Column:
     plain = F.when(text == "-", F.lit("0")).otherwise(F.translate(text, ",.", "."))
     if isinstance(target, T.DecimalType):
         return plain.try_cast(target)
-    # Floating targets would accept words such as "Infinity" and suffixes such as "1d".
-    return F.when(plain.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), plain.try_cast(target))
+    # Floating targets would accept words such as "Infinity", suffixes such as "1d" and numbers out of range.
+    value = plain.try_cast(target)
+    return F.when(plain.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$") & (F.abs(value) != float("inf")), value)
 
 
 def day_month_year(text: Column) -> Column:
@@ -75,4 +78,4 @@ def parse_date(text: Column) -> Column:
 
 def in_date_range(day: Column) -> Column:
     """The day itself, or NULL outside the supported range."""
-    return F.when(day.between(F.lit(MIN_DATE).cast("date"), F.lit(MAX_DATE).cast("date")), day)
+    return F.when(day.between(dt.date.fromisoformat(MIN_DATE), dt.date.fromisoformat(MAX_DATE)), day)

@@ -75,12 +75,11 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def plan_files(manifest: DataFrame, specs: Sequence[DatasetSpec], history: DataFrame, run: str) -> DataFrame:
-    """Decide per file: dataset, header verdict, run id; leave out unrouted, unreadable and already loaded files.
+    """Decide per routed file: header verdict and run id; leave out unreadable and already loaded files.
 
     ``superseded`` marks a file that another file of the same name, later in path order, replaces in this delivery.
     """
-    routed = route_files(manifest, specs).filter(F.col("header").isNotNull())
-    checked = skip_seen_files(header_contract(routed, specs), history)
+    checked = skip_seen_files(header_contract(manifest.filter(F.col("header").isNotNull()), specs), history)
     last = checked.filter("ok").groupBy("dataset", "file_name").agg(F.max("path").alias("_last"))
     script, table = F.lit(None).cast("string"), F.lit(None).cast("string")
     for spec in specs:
@@ -140,7 +139,9 @@ def ingest(
     store, run = Store(out), uuid.uuid4().hex
     work = work_path(spark, "ingest")
     try:
-        manifest = build_manifest(spark, paths, whole_file_bytes, work)
+        # Written once: the plan below looks at the manifest several times, the input must be hashed a single time.
+        manifest = route_files(build_manifest(spark, paths, whole_file_bytes, work), specs)
+        manifest = materialize(manifest, f"{work}/manifest")
         plan = materialize(plan_files(manifest, specs, store.read_history(spark), run), f"{work}/plan")
         total = plan.count()
         batches = -(-total // files_per_batch)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rawlane.functions.text import null_tokens, percent_decoded
+from rawlane.functions.text import null_tokens_sql, percent_decoded
 from rawlane.operators.schema import conform_cells, first_positions
 from rawlane.sources.manifest import ASSEMBLED, BLANKS, LATIN1, WHOLE, prefix_before, read_lines
 from rawlane.sources.quoting import bare_text, number_records
@@ -101,8 +101,7 @@ def _read_group(spark: SparkSession, paths: list[str], sep: str, encoding: str,
         percent_decoded(F.col("_metadata.file_name")).alias("source_filename"),
         F.col("_metadata.file_block_start").alias("block"),
     ).filter(line.isNull() | keep_record(line, sep, columns))
-    # The counter runs over kept rows only, without gaps inside a split.
-    return kept.select("uri", "source_filename", "block", F.monotonically_increasing_id().alias("pos"), *cells)
+    return kept.select("uri", "source_filename", "block", *cells)
 
 
 def _json_object(names: Column, values: Column) -> Column:
@@ -116,20 +115,17 @@ def _json_object(names: Column, values: Column) -> Column:
 
 def _conform_group(spark: SparkSession, rows: DataFrame, files: list[Row], spec: DatasetSpec) -> DataFrame:
     cells = _cell_names(len(files[0].header))
+    lineage = [c for c in LINEAGE if c in rows.columns]
     if spec.header is not None:
         at = first_positions(files[0].header, spec.rename)
-        target = [
-            (null_tokens(F.col(cells[at[f.name]])) if f.name in at else F.lit(None).cast("string")).alias(f.name)
-            for f in spec.target
-        ]
-        return rows.select(*LINEAGE, *target)
+        cell = lambda name: null_tokens_sql(cells[at[name]]) if name in at else "CAST(NULL AS STRING)"
+        return rows.selectExpr(*lineage, *[f"{cell(f.name)} AS `{f.name}`" for f in spec.target])
     # No template: each file has its own column order. The lookup has one row per file of the batch.
     headers = spark.createDataFrame([(f.uri, list(f.header)) for f in files], "uri string, _header array<string>")
-    joined = rows.join(F.broadcast(headers), "uri").withColumn(
-        "_cells", F.array(*[null_tokens(F.col(c)) for c in cells])
-    )
+    listed = F.expr(f"array({', '.join(null_tokens_sql(c) for c in cells)})")
+    joined = rows.join(F.broadcast(headers), "uri").withColumn("_cells", listed)
     return joined.select(
-        *LINEAGE,
+        *lineage,
         *conform_cells(F.col("_cells"), F.col("_header"), spec),
         _json_object(F.col("_header"), F.col("_cells")).alias("_snapshot"),
     )
@@ -151,11 +147,21 @@ def read_delimited(spark: SparkSession, manifest: DataFrame | Sequence[Row], spe
     for file in manifest:
         shape = tuple(file.header) if spec.header is not None else len(file.header)
         groups[file.sep, file.encoding, file.layout, shape].append(file)
-    parts = []
+    lines, assembled = [], []
     for (sep, encoding, layout, _), files in sorted(groups.items(), key=lambda item: str(item[0])):
         columns = len(files[0].header)
         rows = _read_group(spark, [f.path for f in files], sep, encoding, layout, columns)
-        parts.append(_conform_group(spark, rows, files, spec))
+        (assembled if layout == ASSEMBLED else lines).append(_conform_group(spark, rows, files, spec))
+    parts = []
+    if lines:
+        # The counter runs over kept rows only, without gaps inside a split. Being above the union it also keeps later
+        # projections there, so that their code is generated once and not per group.
+        together = reduce(DataFrame.unionByName, lines)
+        names = [c for c in together.columns if c not in LINEAGE]
+        counter = F.monotonically_increasing_id().alias("pos")
+        parts.append(together.select("uri", "source_filename", "block", counter, *names))
+    if assembled:
+        parts.append(reduce(DataFrame.unionByName, assembled))
     if not parts:
         strings = ", ".join(f"{f.name} string" for f in spec.target)
         return spark.createDataFrame([], f"uri string, source_filename string, block long, pos long, {strings}")

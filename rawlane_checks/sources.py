@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rawlane.functions.text import NULL_TOKENS, null_tokens
+from rawlane.functions.text import NULL_TOKENS, null_tokens_sql
 from rawlane.session import work_path
 from rawlane.sources.delimited import read_delimited, with_record_numbers
 from rawlane.sources.manifest import build_manifest, describe_content, route_files
@@ -82,7 +82,7 @@ def tokens(t: Tables) -> DataFrame:
     cell = F.col("o_orderpriority")
     for i, text in enumerate(texts):
         cell = F.when(F.col("o_orderkey") % (len(texts) + 1) == i, text).otherwise(cell)
-    return t.orders.select("o_orderkey", null_tokens(cell).alias("cell"))
+    return t.orders.select("o_orderkey", cell.alias("cell")).selectExpr("o_orderkey", f"{null_tokens_sql('cell')} AS cell")
 
 
 # --- ragged files ---------------------------------------------------------------------------------------------------

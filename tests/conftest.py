@@ -1,17 +1,22 @@
+import contextlib
 import os
+import sys
+from pathlib import Path
 
 import pytest
 
-from rawlane.session import get_session
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from rawlane.session import get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = get_session(
         "rawlane-tests",
-        master=f"local[{os.environ.get('TEST_CPUS', '4')}]",
+        master=f"local[{os.environ.get('TEST_CPUS', '8')}]",
         spark__ui__enabled="false",
-        spark__driver__memory="4g",
+        spark__driver__memory="6g",
         spark__sql__shuffle__partitions="4",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
@@ -19,3 +24,22 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def settings(spark):
+    """Session settings that hold inside a ``with`` block."""
+
+    @contextlib.contextmanager
+    def changed(**conf):
+        names = {k.replace("__", "."): v for k, v in conf.items()}
+        before = {k: spark.conf.get(k, None) for k in names}
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        try:
+            yield
+        finally:
+            for k, v in before.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+    return changed
