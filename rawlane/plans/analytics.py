@@ -108,41 +108,42 @@ def billing_by_customer_seller(
 def top_customers(faturamento: DataFrame, company: str, since: dt.date, limit: int = 10) -> DataFrame:
     """Customers with the highest billing, their sellers in order, months with activity, first and last sale.
 
-    Totals are ranked first; the seller lists are then built for the ``limit`` customers that remain, so no list is
-    ever built for a customer that is not shown.
+    Customers are ranked first, on nothing but their totals. Everything else is then worked out for the ``limit``
+    customers that remain: their invoices are picked by a join with that short list and combined by name, seller and
+    month before anything is gathered per customer, so a customer with a third of all invoices stays spread out.
     """
     rows = faturamento.filter(
         (F.col("empresa") == company) & (F.col("data_fat") >= F.lit(since)) & _complete("cnpj", "valor_da_conta")
     )
-    detail = rows.groupBy("cnpj", "vendedor", _month("data_fat").alias("mes")).agg(
-        F.max("cliente_nome_fantasia").alias("cliente"),
-        F.sum("valor_da_conta").alias("total"),
-        F.count(F.lit(1)).alias("n"),
-        F.min("data_fat").alias("primeira"),
-        F.max("data_fat").alias("ultima"),
+    leading = (
+        rows.groupBy("cnpj")
+        .agg(F.sum("valor_da_conta").alias("_total"))
+        .filter(F.col("_total") > 0)
+        .orderBy(F.desc("_total"), "cnpj")
+        .limit(limit)
     )
-    ranked = (
-        detail.groupBy("cnpj")
+    # Names are grouping keys here, not a text maximum: that would turn hash aggregation into sorting.
+    combined = (
+        rows.join(leading.select("cnpj"), "cnpj", "left_semi")
+        .groupBy("cnpj", "cliente_nome_fantasia", "vendedor", _month("data_fat").alias("mes"))
+        .agg(
+            F.sum("valor_da_conta").alias("total"),
+            F.count(F.lit(1)).alias("n"),
+            F.min("data_fat").alias("primeira"),
+            F.max("data_fat").alias("ultima"),
+        )
+    )
+    return (
+        combined.groupBy("cnpj")
         .agg(
-            F.max("cliente").alias("cliente"),
+            F.max("cliente_nome_fantasia").alias("cliente"),
+            distinct_list(F.col("vendedor")).alias("responsaveis"),
             F.sum("total").cast(MONEY_TOTAL).alias("faturamento_total"),
             F.sum("n").alias("qtd_notas"),
-            F.count_distinct("mes").alias("meses_ativos"),
+            F.size(F.collect_set("mes")).cast("long").alias("meses_ativos"),
             F.min("primeira").alias("primeira_venda"),
             F.max("ultima").alias("ultima_venda"),
         )
-        .filter(F.col("faturamento_total") > 0)
-        .orderBy(F.desc("faturamento_total"), "cnpj")
-        .limit(limit)
-    )
-    sellers = (
-        detail.select("cnpj", "vendedor")
-        .join(ranked.select("cnpj"), "cnpj", "left_semi")
-        .groupBy("cnpj")
-        .agg(distinct_list(F.col("vendedor")).alias("responsaveis"))
-    )
-    return (
-        ranked.join(sellers, "cnpj")
         .select(
             "cliente",
             "cnpj",

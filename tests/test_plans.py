@@ -36,7 +36,14 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     schema = text.split("ReadSchema: ")[1].split(">")[0]
     assert "vendedor" not in schema and "numero_documento" not in schema
     text = plan(analytics.top_customers(stored, "P", dt.date(1998, 1, 1)))
-    assert "GreaterThanOrEqual(data_fat,1998-01-01)" in text and "TakeOrderedAndProject" in text
+    assert "(data_fat" in text and ">= 1998-01-01)" in text.split("DataFilters: ")[1]
+    assert "TakeOrderedAndProject" in text
+
+
+def test_totals_are_ranked_without_sorting_invoices(spark):
+    text = plan(analytics.top_customers(faturamento(Tables(spark, FOLDER)), "P", dt.date(1998, 1, 1)))
+    ranking = text[text.index("TakeOrderedAndProject") :]
+    assert "HashAggregate" in ranking and "SortAggregate" not in ranking
 
 
 def test_invoices_are_summed_before_they_are_joined(spark, settings):
