@@ -36,7 +36,7 @@ from rawlane.specs import DEFAULT_SPECS, REJECTION_SCHEMA, RUN_EVENT_SCHEMA, Dat
 
 log = logging.getLogger(__name__)
 
-FILES_PER_BATCH = 2000
+FILES_PER_BATCH = 10_000
 MESSAGE_LIMIT = 2000
 
 
@@ -143,12 +143,14 @@ def ingest(
         manifest = route_files(build_manifest(spark, paths, whole_file_bytes, work), specs)
         manifest = materialize(manifest, f"{work}/manifest")
         plan = materialize(plan_files(manifest, specs, store.read_history(spark), run), f"{work}/plan")
-        total = plan.count()
-        batches = -(-total // files_per_batch)
+        batches = max(-(-plan.count() // files_per_batch), 1)
         # Files of one name go to one batch, so that the last of them wins.
-        number = F.pmod(F.xxhash64("dataset", "file_name"), F.lit(max(batches, 1)))
+        plan = plan.withColumn("batch", F.pmod(F.xxhash64("dataset", "file_name"), F.lit(batches)))
+        if batches > 1:
+            # One folder per batch, so that a batch does not read the plan of all others.
+            plan = materialize(plan.repartition("batch"), f"{work}/batches", "batch")
         for batch in range(batches):
-            files = plan.filter(number == batch)
+            files = plan.filter(F.col("batch") == batch)
             append_events(run_start_events(files, user), store.history)
             rejected = files.filter(~F.col("ok"))
             append_events(run_end_events(rejected, FAILURE, F.col("message")), store.history)

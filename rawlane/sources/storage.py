@@ -13,13 +13,14 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write a table and read it back.
+def materialize(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """Write a table and read it back, in folders per ``partition_by`` value if given.
 
     Cuts the lineage at storage every executor can reach, and gives the planner the table's true size, so that a join
     with it is broadcast only when it is really small.
     """
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
