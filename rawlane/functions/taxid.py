@@ -73,9 +73,8 @@ def cnpj_problem(digits: Column) -> Column:
     )
 
 
-def tax_id_problem(value: Column) -> Column:
-    """NULL for a valid CPF or CNPJ, else a message. Formatting characters are ignored."""
-    digits = digits_of(value)
+def tax_id_problem(value: Column, digits: Column) -> Column:
+    """NULL for a valid CPF or CNPJ, else a message. ``digits`` is a column holding ``digits_of(value)``."""
     length = F.length(digits)
     return (
         F.when(value.isNull() | (value.cast("string") == ""), F.lit("CPF/CNPJ não pode ser vazio."))

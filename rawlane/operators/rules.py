@@ -6,15 +6,15 @@ runs in one scan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawlane.functions.taxid import tax_id_problem
+from rawlane.functions.taxid import digits_of, tax_id_problem
 from rawlane.functions.text import is_blank
 
 EMPTY_NUMBER = "O valor numérico não pode ser vazio."
@@ -22,9 +22,17 @@ EMPTY_NUMBER = "O valor numérico não pode ser vazio."
 
 @dataclass(frozen=True)
 class Rule:
+    """``prepared`` holds columns to compute first, for rules that look at a derived value many times."""
+
     name: str
     column: str
     problem: Column
+    prepared: Mapping[str, Column] = field(default_factory=dict)
+
+
+def _prepared(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    columns = {name: column for rule in rules for name, column in rule.prepared.items()}
+    return df.withColumns(columns) if columns else df
 
 
 def _text(column: str) -> Column:
@@ -97,7 +105,9 @@ def date_typed(column: str) -> Rule:
 
 def tax_id(column: str) -> Rule:
     """Fails unless the digits form a valid CPF (11) or CNPJ (14)."""
-    return Rule("tax_id", column, tax_id_problem(F.col(column)))
+    digits = f"_digits_{column}"
+    problem = tax_id_problem(F.col(column), F.col(digits))
+    return Rule("tax_id", column, problem, {digits: digits_of(F.col(column))})
 
 
 def _is_number(value: Column, kind: str) -> Column:
@@ -180,13 +190,13 @@ def validate(df: DataFrame, rules: Sequence[Rule], key: str, failures_only: bool
     )
     if failures_only:
         outcomes = F.filter(outcomes, lambda o: ~o["ok"])
-    return df.select(F.col(key).alias("row_key"), F.inline(outcomes))
+    return _prepared(df, rules).select(F.col(key).alias("row_key"), F.inline(outcomes))
 
 
 def validation_summary(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Per rule: rows checked, rows that pass, rows that fail. One aggregate over the table, all rules at once."""
     failed = [F.count_if(r.problem.isNotNull()).alias(f"failed_{i}") for i, r in enumerate(rules)]
-    totals = df.agg(F.count(F.lit(1)).alias("total"), *failed)
+    totals = _prepared(df, rules).agg(F.count(F.lit(1)).alias("total"), *failed)
     outcomes = F.array(
         *[
             F.struct(F.lit(r.column).alias("column"), F.lit(r.name).alias("rule"), F.col(f"failed_{i}").alias("failed"))
