@@ -39,6 +39,9 @@ log = logging.getLogger(__name__)
 FILES_PER_BATCH = 10_000
 MESSAGE_LIMIT = 2000
 
+# What the driver holds of each file of a batch.
+FILE_FACTS = ("dataset", "path", "uri", "sep", "encoding", "layout", "header", "superseded")
+
 
 @dataclass(frozen=True)
 class Store:
@@ -100,22 +103,28 @@ def stage(spark: SparkSession, files: Sequence[Row], spec: DatasetSpec, run: str
     return clean_table(rows, spec, keep=LINEAGE).withColumn("run_id", uuid_from(F.lit(run), F.col("uri")))
 
 
-def _load_batch(spark: SparkSession, files: DataFrame, spec: DatasetSpec, store: Store, run: str, work: str) -> None:
-    """Stage one batch of one dataset, then load, log and close its runs.
+def _load_batch(
+    spark: SparkSession, files: DataFrame, listed: Sequence[Row], spec: DatasetSpec, store: Store, run: str, work: str
+) -> None:
+    """Stage one batch of one dataset, then load, log and close its runs. ``listed`` are the collected ``files``.
 
     Staged rows are written once: the source text is parsed a single time, the load starts only when everything could
     be read, and lost executors do not repeat the parsing.
     """
-    collected = files.select("path", "uri", "sep", "encoding", "layout", "header", "superseded").collect()
-    if not collected:
-        return
-    staged = materialize(stage(spark, collected, spec, run), f"{work}/staged")
+    staged = materialize(stage(spark, listed, spec, run), f"{work}/staged")
     offsets = materialize(record_offsets(staged), f"{work}/offsets")
-    names = files.select(F.col("file_name").alias("source_filename"))
-    replaced = [row.uri for row in collected if row.superseded]
-    current = staged.filter(~F.col("uri").isin(replaced)) if replaced else staged
-    replace_by_source_file(valid_rows(current, spec), names, store.table(spec), spec.cluster)
-    flagged = staged.filter(F.col("missing").isNotNull() | F.col("first_error").isNotNull())
+    # Superseded files are read for their counters and log entries only.
+    names, current = files.filter(~F.col("superseded")), staged
+    if any(row.superseded for row in listed):
+        current = staged.join(files.filter("superseded").select("uri"), "uri", "left_anti")
+    replace_by_source_file(
+        valid_rows(current, spec),
+        names.select(F.col("file_name").alias("source_filename")),
+        store.table(spec),
+        spec.cluster,
+    )
+    # Only flagged rows have a snapshot; asking for that lets the scan skip row groups without any.
+    flagged = staged.filter(F.col("registro").isNotNull())
     append_rejections(rejections(with_record_numbers(flagged, offsets), spec), store.rejections)
     metrics = files.select("run_id").join(run_metrics(staged, ["run_id"]), "run_id", "left")
     append_events(run_end_events(metrics, SUCCESS), store.history)
@@ -144,24 +153,29 @@ def ingest(
         manifest = materialize(manifest, f"{work}/manifest")
         plan = materialize(plan_files(manifest, specs, store.read_history(spark), run), f"{work}/plan")
         batches = max(-(-plan.count() // files_per_batch), 1)
-        # Files of one name go to one batch, so that the last of them wins.
-        plan = plan.withColumn("batch", F.pmod(F.xxhash64("dataset", "file_name"), F.lit(batches)))
+        plan = plan.withColumn("batch", F.pmod(F.xxhash64("path"), F.lit(batches)))
         if batches > 1:
             # One folder per batch, so that a batch does not read the plan of all others.
             plan = materialize(plan.repartition("batch"), f"{work}/batches", "batch")
         for batch in range(batches):
             files = plan.filter(F.col("batch") == batch)
-            append_events(run_start_events(files, user), store.history)
-            rejected = files.filter(~F.col("ok"))
-            append_events(run_end_events(rejected, FAILURE, F.col("message")), store.history)
+            refused = run_end_events(files.filter(~F.col("ok")), FAILURE, F.col("message"))
+            append_events(run_start_events(files, user).unionByName(refused), store.history)
+            listed = files.filter("ok").select(*FILE_FACTS).collect()
             for spec in specs:
+                mine = [row for row in listed if row.dataset == spec.name]
+                if not mine:
+                    continue
                 accepted = files.filter(F.col("ok") & (F.col("dataset") == spec.name))
+                folder = f"{work}/{spec.name}-{batch}"
                 try:
-                    _load_batch(spark, accepted, spec, store, run, f"{work}/{spec.name}-{batch}")
+                    _load_batch(spark, accepted, mine, spec, store, run, folder)
                 except Exception as error:  # noqa: BLE001 - whatever went wrong is recorded; other batches go on
                     log.exception("load of dataset %s, batch %s failed", spec.name, batch)
                     reason = F.lit(str(error)[:MESSAGE_LIMIT])
                     append_events(run_end_events(accepted, FAILURE, reason), store.history)
+                finally:
+                    drop_work(spark, folder)
     finally:
         drop_work(spark, work)
     return store
