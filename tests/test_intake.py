@@ -157,12 +157,14 @@ def test_delivering_a_file_again_replaces_its_rows(spark, drop):
     assert store.read_history(spark).count() == 4
 
 
-def test_same_name_in_two_folders_keeps_the_last(spark, drop):
-    drop("1/faturamento.csv", billing({}))
-    drop("2/faturamento.csv", billing({"numero_documento": "2"}))
-    store = ingest(spark, f"{drop.folder}/*", drop.out)
-    assert [r.numero_documento for r in loaded(spark, store)] == ["2"]
-    assert [r.status for r in store.read_history(spark).collect()] == ["sucesso", "sucesso"]
+@pytest.mark.parametrize("files_per_batch", [1, 100])
+def test_same_name_in_several_folders_keeps_the_last(spark, drop, files_per_batch):
+    for i in range(1, 5):
+        drop(f"{i}/faturamento.csv", billing({"numero_documento": str(i), "cnpj": ""}))
+    store = ingest(spark, f"{drop.folder}/*", drop.out, files_per_batch=files_per_batch)
+    assert [r.numero_documento for r in loaded(spark, store)] == ["4"]
+    assert [r.status for r in store.read_history(spark).collect()] == ["sucesso"] * 4
+    assert store.read_rejections(spark).count() == 4
 
 
 def test_small_and_odd_files(spark, drop):
