@@ -19,7 +19,6 @@ from rawlane.operators.audit import (
     FAILURE,
     SUCCESS,
     append_events,
-    read_events,
     run_end_events,
     run_start_events,
     run_state,
