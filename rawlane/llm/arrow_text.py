@@ -63,7 +63,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def parts(column: pa.Array, most_bytes: int = 1 << 22) -> Iterator[tuple[int, pa.Array]]:
+def parts(column: pa.Array, most_bytes: int = 1 << 18) -> Iterator[tuple[int, pa.Array]]:
     """Consecutive texts of about ``most_bytes`` bytes, each run with the number of its first row.
 
     A longer text comes by itself, as several arrays of one text each, cut before white space; concatenated they are the

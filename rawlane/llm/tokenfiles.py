@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from rawlane.llm.subwords import encoder
 
 #: Tokens in an Arrow batch on their way to the writer.
-BATCH_TOKENS = 1 << 20
+BATCH_TOKENS = 1 << 18
 
 
 def write_token_files(
