@@ -135,8 +135,8 @@ WITH base AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
 ), cut AS (
   SELECT r, doc_id, text,
-    list_filter(regexp_split_to_array(text, '{SPACES}+'), w -> w <> '') AS words,
-    list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+    list_filter(regexp_split_to_array(text, '{SPACES}+'), lambda w: w <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
   FROM base
 ), windows AS (
   SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w
@@ -146,12 +146,12 @@ WITH base AS (
 ), covered AS (
   SELECT r, count(DISTINCT i + k) AS n FROM repeated, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r
 ), counted AS (
-  SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, w -> length(w))), 0)::BIGINT AS word_chars,
+  SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
     len(regexp_extract_all(text, '{SYMBOLS}'))::BIGINT AS n_symbols,
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
-    len(list_filter(words, w -> lower(w) IN ({", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))}))) AS n_stop,
-    len(list_filter(lines, l -> regexp_matches(l, '(\.\.\.|…){SPACES}*$'))) AS n_ellipsis,
-    len(list_filter(lines, l -> regexp_matches(l, '^{SPACES}*[-*•‣●]'))) AS n_bullet, len(lines) AS n_lines
+    len(list_filter(words, lambda w: lower(w) IN ({", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))}))) AS n_stop,
+    len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…){SPACES}*$'))) AS n_ellipsis,
+    len(list_filter(lines, lambda l: regexp_matches(l, '^{SPACES}*[-*•‣●]'))) AS n_bullet, len(lines) AS n_lines
   FROM cut LEFT JOIN covered USING (r)
 ), judged AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted

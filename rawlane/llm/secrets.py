@@ -224,5 +224,5 @@ def spelled_spans(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
 
     rank = F.create_map(*(F.lit(x) for pair in zip((*kinds, "random"), range(len(kinds) + 1), strict=True) for x in pair))
     every = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    counts = [F.size(F.filter(F.col("base")["kind"], F.lit(kind).eqNullSafe)).cast("long").alias(f"n_{kind}") for kind in kinds]
     return found.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(every).alias("spans"))
