@@ -87,22 +87,26 @@ def write_token_files(
     )
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """``rows`` of the files with ``start``: the tokens of all documents before.
+
+    The table of parts has one row per file written, at most the session's shuffle partitions, so it may be broadcast.
+    """
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("of_part"))
+    parts = parts.select("part", F.coalesce(F.sum("of_part").over(before), F.lit(0)).alias("part_start"))
+    return rows.join(F.broadcast(parts), "part").withColumn("start", F.col("part_start") + F.col("start_in_part"))
+
+
 def token_index(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, part`` of every document: where its tokens lie among all. Reads no tokens."""
     rows = spark.read.parquet(path).select("doc_id", "part", "start_in_part", "n_tokens")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file part
-    parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("of_part"))
-    parts = parts.select("part", F.coalesce(F.sum("of_part").over(before), F.lit(0)).alias("part_start"))
-    return rows.join(parts, "part").select("doc_id", (F.col("part_start") + F.col("start_in_part")).alias("start"), "n_tokens", "part")
+    return _placed(rows).select("doc_id", "start", "n_tokens", "part")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, tokens`` of every document, read back from the files."""
-    rows = spark.read.parquet(path)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("of_part"))
-    parts = parts.select("part", F.coalesce(F.sum("of_part").over(before), F.lit(0)).alias("part_start"))
-    return rows.join(parts, "part").select("doc_id", (F.col("part_start") + F.col("start_in_part")).alias("start"), "n_tokens", "tokens")
+    return _placed(spark.read.parquet(path)).select("doc_id", "start", "n_tokens", "tokens")
 
 
 def with_crc32(tokens: DataFrame) -> DataFrame:
