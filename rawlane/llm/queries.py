@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawlane.llm import counts, packing, quality, secrets, setjoin, tokenfiles, urlfilter, warc
+from rawlane.llm import counts, decontaminate, packing, pii, quality, secrets, setjoin, tokenfiles, urlfilter, warc
 from rawlane.session import work_path
 
 WORD_BPE = "word_bpe_49k.json"
@@ -18,6 +18,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shared", "n_item")
+
+
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = work_path(spark, "warc")
     warc.write_warc(_table(spark, folder, "pages"), path)
@@ -38,6 +43,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return setjoin.similar_sets(_table(spark, folder, "documents"), width=4, percent=85)
 
 
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.spelled_spans(pii.personal_spans(_table(spark, folder, "documents")))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(_table(spark, folder, "documents"), public_tokenizers.path(WORD_BPE), end_id=1, length=2048)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -139,6 +148,6 @@ def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_warc, op3_ngram_jaccard_join, op5_packing, op6_quality_rules, op7_token_files, op8_token_counts, op9_url_filters, op10_secret_scans)
+    f.__name__: f for f in (op1_decontamination, op2_warc, op3_ngram_jaccard_join, op4_personal_data, op5_packing, op6_quality_rules, op7_token_files, op8_token_counts, op9_url_filters, op10_secret_scans)
 }
-ORACLE_SQL: dict[str, str] = {"op6_quality_rules": quality.SQL, "op9_url_filters": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": decontaminate.SQL, "op6_quality_rules": quality.SQL, "op9_url_filters": OP9_SQL}
