@@ -1,7 +1,8 @@
 """Jaccard join of documents as sets of word shingles, by a token-group matrix.
 
-Documents with equal sets are one node. Nodes are range-partitioned by their smallest hashes under two permutations, so
-similar ones become neighbours, and every partition is cut into groups of bounded size. A group links its own nodes in one
+Documents with equal sets are one node. Nodes are range-partitioned by a step of their size and then by their smallest
+hashes under two permutations, so similar ones become neighbours, and every partition is cut into groups of bounded size
+and one step of sizes: linked sets are at most one step apart. A group links its own nodes in one
 task. For links across groups the matrix holds, per group, the union of its members' tokens; what a query shares with that
 union bounds what it shares with any member. The bound is applied twice: on short prefixes of all sets in hash order, with
 one row per token and group, which finds the groups worth opening; and inside an opened group on the whole union, before
@@ -16,6 +17,7 @@ hashes of shingles, nodes told apart by a 64-bit hash of their set.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +34,8 @@ from rawlane.session import work_path
 
 #: A group ends with whichever comes first; a document with more tokens than that is a group with few others.
 GROUP_NODES, GROUP_TOKENS = 2048, 2_000_000
-#: A node's number is its group's number times this, plus its place in the group.
-PLACES = 1 << 20
+#: Bits of a node's number: step of sizes, partition, group in the partition, place in the group.
+STEP_BITS, PARTITION_BITS, CHUNK_BITS, PLACE_BITS = 7, 24, 20, 12
 #: Queries of one group that a task answers before another task opens the group too.
 QUERIES_PER_BLOCK = 4096
 
@@ -44,8 +46,16 @@ def least_shared(n: np.ndarray | int, percent: int):
 
 
 def extra(n: np.ndarray | int):
-    """By how much prefixes in hash order are longer than needed: so many more tokens have to agree."""
-    return n // 25
+    """By how much prefixes in hash order are longer than needed: so many more tokens have to agree.
+
+    With as many again as are needed, a passage that makes up less than half of a document no longer sends it anywhere.
+    """
+    return n * 3 // 20
+
+
+def size_step(n: int, percent: int) -> int:
+    """Sizes in steps by which linked sets differ at most by one (the width is a little more than their largest ratio)."""
+    return min(int(math.log(n) / (1.001 * math.log(100 / percent))), (1 << STEP_BITS) - 1) if percent < 100 else 0
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -131,8 +141,8 @@ def _set_key(tokens: np.ndarray) -> int:
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
-def _prepare(docs: DataFrame, width: int) -> DataFrame:
-    """One row per different set and task: two smallest hashes, key of the set, compressed text."""
+def _prepare(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """One row per different set and task: step of its size, two smallest hashes, key, compressed text."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -143,12 +153,12 @@ def _prepare(docs: DataFrame, width: int) -> DataFrame:
                 if len(tokens) and (key := _set_key(tokens)) not in seen:
                     seen.add(key)
                     least, second = tokens[0], mix(tokens ^ _SECOND).min()
-                    rows.append((np.uint64(least).view(np.int64), second.view(np.int64), key, pack.compress(batch.column(0)[i].as_py().encode())))
+                    rows.append((size_step(len(tokens), percent), np.uint64(least).view(np.int64), second.view(np.int64), key, pack.compress(batch.column(0)[i].as_py().encode())))
             if rows:
-                first, second, keys, texts = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(keys, pa.int64()), pa.array(texts, pa.binary())], ["m1", "m2", "key", "packed"])
+                *longs, texts = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in longs), pa.array(texts, pa.binary())], ["step", "m1", "m2", "key", "packed"])
 
-    return docs.select("text").mapInArrow(sets, "m1 long, m2 long, key long, packed binary")
+    return docs.select("text").mapInArrow(sets, "step long, m1 long, m2 long, key long, packed binary")
 
 
 def _tokens(packed: list[bytes], width: int) -> list[np.ndarray]:
@@ -160,39 +170,45 @@ def _group(prepared: DataFrame, groups: int, width: int, percent: int) -> DataFr
     """Nodes dealt into groups and linked inside them: ``node, key, root, n, packed``."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, last = TaskContext.get().partitionId() << 20, None
+        part, chunk, last, step = TaskContext.get().partitionId(), 0, None, None
         held: list[tuple[int, bytes]] = []
         sets: list[np.ndarray] = []
         size = 0
 
         def close() -> pa.RecordBatch:
-            base = number * PLACES
+            base = ((step << PARTITION_BITS | part) << CHUNK_BITS | chunk) << PLACE_BITS
             roots = local_roots(sets, percent)
             columns = [base + np.arange(len(sets)), np.array([k for k, _ in held], np.int64), base + roots, np.array([len(s) for s in sets], np.int64)]
             return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([p for _, p in held], pa.binary())], ["node", "key", "root", "n", "packed"])
 
         for batch in batches:
-            keys = batch.column(0).to_pylist()
+            steps, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for begin in range(0, len(keys), 256):
-                packed = batch.column(1).slice(begin, 256).to_pylist()
-                for key, text, tokens in zip(keys[begin : begin + 256], packed, _tokens(packed, width), strict=True):
+                packed, run = batch.column(2).slice(begin, 256).to_pylist(), slice(begin, begin + 256)
+                for its, key, text, tokens in zip(steps[run], keys[run], packed, _tokens(packed, width), strict=True):
                     if key == last:
                         continue
-                    if held and (len(held) >= GROUP_NODES or size + len(tokens) > GROUP_TOKENS):
+                    if held and (its != step or len(held) >= GROUP_NODES or size + len(tokens) > GROUP_TOKENS):
                         yield close()
-                        number, held, sets, size = number + 1, [], [], 0
+                        chunk, held, sets, size = chunk + 1, [], [], 0
+                    step = its
                     held.append((key, text))
                     sets.append(tokens)
                     size, last = size + len(tokens), key
         if held:
             yield close()
 
-    ordered = prepared.repartitionByRange(groups, "m1", "m2", "key").sortWithinPartitions("m1", "m2", "key")
-    return ordered.select("key", "packed").mapInArrow(link, "node long, key long, root long, n long, packed binary")
+    order = ("step", "m1", "m2", "key")
+    ordered = prepared.repartitionByRange(groups, *order).sortWithinPartitions(*order)
+    return ordered.select("step", "key", "packed").mapInArrow(link, "node long, key long, root long, n long, packed binary")
 
 
 def _group_of(node: str) -> Column:
-    return F.shiftright(node, 20)
+    return F.shiftright(node, PLACE_BITS)
+
+
+def _step_of(group: Column) -> Column:
+    return F.shiftright(group, PARTITION_BITS + CHUNK_BITS)
 
 
 def _matrix(nodes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -262,28 +278,30 @@ def _written(df: DataFrame, path: str) -> DataFrame:
 
 
 def similar_sets(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs``.
+    """``doc_id, n_shingles, component_id, text_hash`` of every row of ``docs``.
 
     A document's set are its distinct ``width``-word shingles after folding A-Z, over the whole text. Documents are linked
     when 100 * intersection >= ``percent`` * union; a component's id is the smallest document id in it. Documents without
     words, NULL text included, are linked with nothing: each is its own component. Every row gives one row, repeated rows
     too; a row with a NULL id belongs to its component like any other, whose id is the smallest that is not NULL (NULL if
-    there is none). Other columns are ignored.
+    there is none). Other columns are ignored. ``text_hash`` tells rows with equal ids apart.
     """
     spark, folder = docs.sparkSession, work_path(docs.sparkSession, "setjoin")
     docs = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    keyed = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("key", T.LongType()), T.StructField("n_shingles", T.LongType())])
+    docs = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    longs = [T.StructField(c, T.LongType()) for c in ("text_hash", "key", "n_shingles")]
+    keyed = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *longs])
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_hashes(batch.column(1), width)
             named = [_set_key(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(named, pa.int64()), pa.array([len(s) for s in sets], pa.int64())], keyed.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(named, pa.int64()), pa.array([len(s) for s in sets], pa.int64())], keyed.names)
 
-    rows = _written(docs.mapInArrow(keys, keyed), f"{folder}/rows")
+    rows = _written(docs.select("doc_id", "text", "text_hash").mapInArrow(keys, keyed), f"{folder}/rows")
     classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
     groups = max(1, -(-classes.count() // (GROUP_NODES * 3 // 4)))
-    nodes = _written(_group(_prepare(docs, width), groups, width, percent), f"{folder}/nodes")
+    nodes = _written(_group(_prepare(docs, width, percent), groups, width, percent), f"{folder}/nodes")
     components = _across(spark, nodes, folder, width, percent)
 
     of_key = nodes.select("key", "root").join(components.withColumnRenamed("node", "root"), "root", "left")
@@ -292,7 +310,25 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str
     least = of_key.groupBy("component").agg(F.min("least").alias("component_id"))
     named = of_key.join(least, "component").select("key", "component_id")
     out = rows.join(named, "key", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), "text_hash", (F.col("key").isNull()).alias("without_words"))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that stay when one document of each component does.
+
+    It is the one with the smallest id (NULL counts as larger than any), of several texts with that id the one with the
+    smallest hash, of repeated rows any one. Documents without words are linked with nothing and all stay.
+    """
+    found = similar_sets(docs, width, percent, doc_id, text)
+    apart = F.when(F.col("without_words"), F.struct("doc_id", "text_hash"))
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    stay = found.groupBy("component_id", apart.alias("apart")).agg(F.min(rank).alias("stay"), F.first("without_words").alias("each"))
+    stay = stay.select(F.col("stay.doc_id").alias("_id"), F.col("stay.text_hash").alias("_hash"), F.col("each").alias("_each"))
+    hashed = docs.withColumn("_hash_of_text", F.xxhash64(F.coalesce(docs[text], F.lit(""))))
+    met = hashed.join(stay, (hashed["_hash_of_text"] == stay["_hash"]) & hashed[doc_id].eqNullSafe(stay["_id"])).drop("_id", "_hash")
+    every, once = met.where("_each"), met.where("NOT _each").dropDuplicates(["_hash_of_text", doc_id])
+    return once.unionByName(every).select(*docs.columns)
 
 
 def _across(spark: SparkSession, nodes: DataFrame, folder: str, width: int, percent: int) -> DataFrame:
@@ -303,10 +339,10 @@ def _across(spark: SparkSession, nodes: DataFrame, folder: str, width: int, perc
     shared = _written(spread.where("lo < hi").select("token", "root").distinct(), f"{folder}/matrix")
     # what a component's members have to share at least, on their prefixes, with any member of another group
     sizes = F.ceil(F.col("n") * percent / F.lit(100))
-    least = nodes.groupBy("root").agg(F.min(1 + F.floor(sizes / 25)).alias("need"), F.count("*").alias("members"))
+    least = nodes.groupBy("root").agg(F.min(1 + F.floor(sizes * 3 / 20)).alias("need"), F.count("*").alias("members"))
 
     unions = shared.select("token", group.alias("goal")).distinct()
-    met = shared.join(unions, "token").where(_group_of("root") < F.col("goal"))
+    met = shared.join(unions, "token").where((group < F.col("goal")) & (_step_of(F.col("goal")) - _step_of(group) <= 1))
     worth = met.groupBy("root", "goal").agg(F.count("*").alias("shared")).join(least, "root").where("shared >= need")
     worth = _written(worth.select("root", "goal", "members"), f"{folder}/worth")
 
