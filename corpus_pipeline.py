@@ -8,23 +8,51 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawlane.llm import packing
+from rawlane.llm import decontaminate, packing, quality, secrets, setjoin
 from rawlane.session import work_path
 
 WORD_BPE = "word_bpe_49k.json"
 
 
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no quality rule rejects. Empty and NULL texts have too few words."""
+    return quality.kept_documents(docs)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates: five-word shingles, Jaccard similarity of 0.8 or more."""
+    return setjoin.one_of_each(docs, width=5, percent=80)
+
+
+def unseen_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold less than 80 per cent of the five-word shingles of every benchmark item."""
+    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id", "text_hash").distinct()
+    hashed = docs.withColumn("_hash_of_text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = (hashed["_hash_of_text"] == found["text_hash"]) & hashed["doc_id"].eqNullSafe(found["doc_id"])
+    return hashed.join(found, same, "left_anti").select(*docs.columns)
+
+
+def documents_without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts masked, ``n_chars`` counted anew."""
+    out = secrets.masked(docs)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document of the table before in pieces of training sequences."""
+    """Every document in pieces of training sequences of at most 2048 tokens."""
     pieces = packing.pack(docs, public_tokenizers.path(WORD_BPE), end_id=1, length=2048)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", good_documents),
+    ("near-duplicates", distinct_documents),
+    ("decontamination", unseen_documents),
+    ("secrets", documents_without_secrets),
     ("packing", packed_sequences),
 ]
 
-#: Token ids and similarity joins are beyond SQL; tests/llm compares the stages with brute force instead.
+#: Similarity joins, randomness tests and token ids are beyond SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL: str | None = None
 
 

@@ -130,6 +130,17 @@ def quality_rules(
     return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0))
 
 
+def kept_documents(docs: DataFrame, thresholds: Sequence[Threshold] = THRESHOLDS, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that the rules keep.
+
+    A filter on ``kept`` alone would be pushed through the projections and their expressions repeated inside one another;
+    a column that cannot be computed twice holds it back.
+    """
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text].alias("text"))
+    judged = quality_rules(rows, thresholds, doc_id="row").withColumn("_place", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("_place") >= 0)).select("doc_id.*")
+
+
 SQL = rf"""
 WITH base AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents

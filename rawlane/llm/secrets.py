@@ -216,6 +216,35 @@ def secret_spans(docs: DataFrame, q: float = 0.01, doc_id: str = "doc_id", text:
     return scanned.select("doc_id", "base", added.alias("added"))
 
 
+def masked(docs: DataFrame, q: float = 0.01, text: str = "text", mask: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every secret in ``text`` replaced by ``mask``; spans that overlap or touch become one. Other columns
+    and rows without secrets stay as they are."""
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text].alias("text"))
+    found = secret_spans(rows, q, "row", "text")
+    spans = F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"], s["end"]))
+    flat = found.select(*(F.col("doc_id")[c].alias(f"c{i}") for i, c in enumerate(docs.columns)), F.array_sort(spans).alias("spans"))
+    names, at = docs.columns, docs.columns.index(text)
+
+    def hide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, touched = list(batch.columns[:-1]), {}
+            for i, spans_ in enumerate(batch.columns[-1].to_pylist()):
+                if spans_:
+                    whole, out, done = columns[at][i].as_py(), [], 0
+                    for s in spans_:
+                        start, end = s.values()
+                        if start > done or not out:
+                            out += [whole[done:start], mask]
+                        done = max(done, end)
+                    touched[i] = "".join(out) + whole[done:]
+            if touched:
+                values = columns[at].to_pylist()
+                columns[at] = pa.array([touched.get(i, v) for i, v in enumerate(values)], columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return flat.mapInArrow(hide, docs.schema)
+
+
 def spelled_spans(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     """``doc_id``, a count of base spans per kind, ``base_sha256`` and ``spans`` (base and added ones by start, then kind)."""
 
