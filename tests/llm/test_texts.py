@@ -1,0 +1,164 @@
+"""Quality rules, personal data and secrets."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from rawlane.llm import pii, quality, secrets
+
+
+def brute_measures(text):
+    text = text or ""
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    repeated = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)} if len(words) < 3000 else set()
+    lines = [x for x in text.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+    return len(words), sum(map(len, words)), len(re.findall("[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(repeated)
+
+
+def test_measures(spark, odd_docs, no_docs):
+    got = quality.quality_rules(odd_docs)
+    rows = sorted((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got.collect())
+    assert rows == sorted(brute_measures(r.text) for r in odd_docs.collect())
+    for r in got.collect():
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert r.kept == (not r.base_failed and not r.failed)
+    assert quality.quality_rules(no_docs).collect() == []
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_kept_documents_keep_their_columns(spark, odd_docs):
+    kept = quality.kept_documents(odd_docs, thresholds=())
+    want = [r for r in odd_docs.collect() if (m := brute_measures(r.text))[0] >= 50 and 100 * m[4] <= 50 * m[0]]
+    assert kept.columns == odd_docs.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize(
+    "name, text",
+    [
+        ("symbols", "the cat ### sat *** on %% the mat and " * 1),
+        ("stop_words", "zorb quux flim narg plok "),
+        ("repeated_lines", "the cat and the dog\n" * 3),
+        ("ellipses", "this is the end of it ...\n"),
+        ("bullets", "- this is the point of it\n"),
+        ("word_length", "a I o e y "),
+    ],
+)
+def test_each_rule_of_the_table(spark, name, text):
+    body = "".join(f"{text.rstrip(chr(10))} w{i}{chr(10) if text.endswith(chr(10)) else ' '}" for i in range(20))
+    if name == "repeated_lines":
+        body = text * 20
+    if name == "word_length":
+        body = text * 20
+    (row,) = quality.quality_rules(spark.createDataFrame([(1, body)], "doc_id long, text string")).collect()
+    assert name in row.failed
+
+
+def test_personal_data_in_odd_rows(spark, no_docs):
+    texts = [
+        "mail a.b@c.example, b@@x.org, x@y, 1.2.3.4 and 1.2.3.4.5.6.7.8 or 999.1.1.1",
+        "card 4111 1111 1111 1111 no 4111 1111 1111 1112, +1 (988) 555-2485, +12, 😀 q@w.e",
+        "",
+        None,
+        "a@b@c.com a@b.c@d.e " + "9" * 5000 + " " + "1." * 2000,
+    ]
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(None, texts[0], "x"), (0, texts[0], "x")]
+    got = pii.personal_spans(spark.createDataFrame(rows, "doc_id long, text string, base string"))
+    by_id = {r.doc_id: [tuple(s) for s in r.base] for r in got.collect()}
+    assert len(got.collect()) == len(rows) and by_id[None] == by_id[0]
+    assert by_id[0] == _emails(texts[0]) + _ips(texts[0])
+    for i, t in enumerate(texts):
+        assert [s for s in by_id[i] if s[0] == "email"] == _emails(t or "")
+        assert [s for s in by_id[i] if s[0] == "ip"] == _ips(t or "")
+    assert [s[0] for s in by_id[1]] == ["email", "card", "phone"]
+    assert pii.personal_spans(no_docs).collect() == []
+
+
+def _emails(t):
+    return [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+
+
+def _ips(t):
+    found = re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t[:6000])
+    return [("ip", *m.span()) for m in found if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+
+
+def test_labelers_are_weighed_and_spans_classified(spark):
+    """Held-out accuracy: planted personal data is found, look-alikes are not."""
+    rng = random.Random(3)
+
+    def iban(good):
+        while True:
+            body = "DE" + f"{rng.randrange(100):02d}" + "".join(str(rng.randrange(10)) for _ in range(18))
+            spaced = " ".join(body[i : i + 4] for i in range(0, 22, 4))
+            if pii._iban_checks(spaced) == good:
+                return spaced
+
+    rows = []
+    for i in range(300):
+        good = i % 2 == 0
+        rows.append((i, f"Some text. {'My IBAN is' if good else 'serial'} {iban(good)} and on."))
+    for i in range(300, 500):
+        good = i % 2 == 0
+        number = f"{rng.randrange(100, 600)}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)}"
+        rows.append((i, f"SSN: {number} was given." if good else f"order 000-{number[4:]} was shipped."))
+    found = {r.doc_id: r.added for r in pii.personal_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    right = sum(bool(found[i]) == (i % 2 == 0) for i in found)
+    assert right / len(rows) > 0.95
+
+
+def test_estimation_finds_the_better_labeler():
+    rng = np.random.default_rng(1)
+    truth = rng.random(4000) < 0.4
+    votes = np.stack([np.where(rng.random(4000) < right, truth, ~truth) * 2 - 1 for right in (0.95, 0.9, 0.6)], 1)
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    p, chances = pii.estimate(patterns, counts)
+    assert chances[0, 1, 2] > 0.85 > chances[2, 1, 2]
+    row = {tuple(v): x for v, x in zip(patterns, p, strict=True)}
+    assert row[(1, 1, -1)] > 0.9 > 0.1 > row[(-1, -1, 1)]
+
+
+def test_secrets_in_odd_rows(spark, odd_docs, no_docs):
+    texts = ['PassWord = "abc123", token:xyz, api_key=ABCDEF-1 😀 secret: a.b.c/d', "AKIA" + "A1" * 9, "f" * 24 + " " + "0" * 23, "paſſword=abcdef", None, ""]
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(None, texts[0], "x"), (0, texts[0], "x")]
+    got = secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string, base string")).collect()
+    by_id = {r.doc_id: [tuple(s) for s in r.base] for r in got}
+    assert len(got) == len(rows) and by_id[None] == by_id[0]
+    assert [texts[0][s:e] for _, s, e in by_id[0]] == ['PassWord = "abc123', "api_key=ABCDEF-1", "secret: a.b.c/d"]
+    assert by_id[1] == [("access", 0, 22)] and by_id[2] == [("hex", 0, 24)] and by_id[3] == by_id[4] == by_id[5] == []
+    assert secrets.secret_spans(no_docs).collect() == []
+    masked = secrets.masked(odd_docs)
+    assert masked.columns == odd_docs.columns and sorted(map(str, masked.collect())) == sorted(map(str, odd_docs.collect()))
+    hidden = {r.doc_id: r.text for r in secrets.masked(spark.createDataFrame(rows[:6], "doc_id long, text string, base string")).collect()}
+    assert hidden[0] == '[SECRET]", token:xyz, [SECRET] 😀 [SECRET]' and hidden[2] == "[SECRET] " + "0" * 23 and hidden[4] is None
+
+
+def test_random_tokens_are_told_from_words(spark):
+    """Planted keys are found, long words, paths and numbers are left alone."""
+    rng = random.Random(5)
+    words = "the of and window paper mountain river because thought different people something kitchen yesterday language morning".split()
+    rows, keys = [], set()
+    for i in range(600):
+        text = " ".join(rng.choice(words) for _ in range(120))
+        if i % 3 == 0:
+            key = "".join(rng.choice(secrets.ALPHABETS["base64"]) for _ in range(rng.randrange(32, 60)))
+            keys.add(i)
+            text += " " + key
+        if i % 3 == 1:
+            text += " Donau" + "dampfschifffahrtsgesellschaft /home/user/documents/projects/readme 123456789012345678901234567890 Internationalisierungsbeauftragter-Verordnung"
+        rows.append((i, text))
+    found = {r.doc_id for r in secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.added}
+    assert len(keys & found) >= 0.9 * len(keys) and len(found - keys) <= 0.02 * len(keys)
+
+
+def test_battery_on_random_and_regular_strings():
+    rng = np.random.default_rng(0)
+    random_scores = secrets.battery(rng.integers(0, 64, (500, 64)), 64)
+    assert 3 < np.median(random_scores) < 8  # Fisher's statistic of three uniform p-values has median 5.3
+    regular = np.stack([np.zeros(64), np.arange(64), np.tile([3, 60], 32)]).astype(np.int64)
+    assert (secrets.battery(regular, 64) > np.quantile(random_scores, 0.99)).all()
+    assert secrets.highest_accepted({40: 100}, {10: 5}, 0.05) == 39
+    assert secrets.highest_accepted({5: 100}, {10: 5}, 0.05) == -1
