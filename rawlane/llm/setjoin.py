@@ -341,6 +341,9 @@ def _across(spark: SparkSession, nodes: DataFrame, folder: str, width: int, perc
     sizes = F.ceil(F.col("n") * percent / F.lit(100))
     least = nodes.groupBy("root").agg(F.min(1 + F.floor(sizes * 3 / 20)).alias("need"), F.count("*").alias("members"))
 
+    # a component that shares too little with all other groups together shares too little with each
+    rich = shared.groupBy("root").agg(F.count("*").alias("shared")).join(least, "root").where("shared >= need").select("root")
+    shared = _written(shared.join(rich, "root", "left_semi"), f"{folder}/rich")
     unions = shared.select("token", group.alias("goal")).distinct()
     met = shared.join(unions, "token").where((group < F.col("goal")) & (_step_of(F.col("goal")) - _step_of(group) <= 1))
     worth = met.groupBy("root", "goal").agg(F.count("*").alias("shared")).join(least, "root").where("shared >= need")
@@ -351,14 +354,13 @@ def _across(spark: SparkSession, nodes: DataFrame, folder: str, width: int, perc
     components = connected_components(first)
 
     # then components of several nodes ask with all of them, where a component that shares tokens is not yet joined
-    several = worth.where("members > 1").select("root", "goal")
-    theirs = shared.select("token", F.col("root").alias("other"), group.alias("goal"))
-    pairs = shared.join(several, "root").join(theirs, ["token", "goal"]).groupBy("root", "other").agg(F.count("*").alias("shared"))
-    pairs = pairs.join(least, "root").where("shared >= need").select("root", "other")
     label = components.select(F.col("node").alias("root"), "component")
-    pairs = pairs.join(label, "root", "left").withColumn("mine", F.coalesce("component", "root")).drop("component")
-    pairs = pairs.join(label.withColumnRenamed("root", "other"), "other", "left").withColumn("its", F.coalesce("component", "other"))
-    rest = _written(pairs.where("mine <> its").select("root", _group_of("other").alias("goal")).distinct(), f"{folder}/rest")
+    labelled = shared.join(label, "root", "left").withColumn("component", F.coalesce("component", "root"))
+    mine = labelled.withColumnRenamed("component", "mine").join(worth.where("members > 1").select("root", "goal"), "root")
+    theirs = labelled.select("token", F.col("root").alias("other"), group.alias("goal"), F.col("component").alias("its"))
+    pairs = mine.join(theirs, ["token", "goal"]).where("mine <> its").groupBy("root", "other").agg(F.count("*").alias("shared"))
+    pairs = pairs.join(least, "root").where("shared >= need")
+    rest = _written(pairs.select("root", _group_of("other").alias("goal")).distinct(), f"{folder}/rest")
     if rest.limit(1).count() == 0:
         return components
     members = nodes.select("node", "root").join(rest, "root").select("node", "root", "goal")
