@@ -25,14 +25,14 @@ MAX_DATE = "2262-04-11"
 
 
 # Texts that are rewritten to year-month-day, tried one after the other. Two-digit years up to LAST_YEAR_OF_2000S come
-# first. The last pattern empties whatever is not a year-month-day text by then.
+# first; a time of day is dropped, and a day with a zone is the day as written, not moved to another zone. The last pattern empties whatever is not a year-month-day text by then.
 _REWRITES = (
-    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1"),
-    (r"^(\d{1,2})/(\d{1,2})/([0-5]\d|6[0-8])$", "20$3-$2-$1"),
-    (r"^(\d{1,2})/(\d{1,2})/(\d{2})$", "19$3-$2-$1"),
-    (r"^(\d{1,2})([.-])(\d{1,2})\2(\d{4})$", "$4-$3-$1"),
+    (r"^(\d{1,2}([/.-])\d{1,2}\2(?:\d{4}|\d{2}))[ Tt]([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,9})?)?$", "$1"),
+    (r"^(\d{1,2})([/.-])(\d{1,2})\2(\d{4})$", "$4-$3-$1"),
+    (r"^(\d{1,2})([/-])(\d{1,2})\2([0-5]\d|6[0-8])$", "20$4-$3-$1"),
+    (r"^(\d{1,2})([/-])(\d{1,2})\2(\d{2})$", "19$4-$3-$1"),
     (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
-    (r"^(\d{4}-\d{2}-\d{2})[ Tt]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,9})?)?$", "$1"),
+    (r"^(\d{4}-\d{2}-\d{2})[ Tt]([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,9})?)?([Zz]|[+-]\d{2}:?\d{2})?$", "$1"),
     (r"(?s)^(?!\d{4}-\d{1,2}-\d{1,2}$).*$", ""),
 )
 

@@ -15,6 +15,7 @@ from rawlane.functions.clean import day_month_year, in_date_range, parse_date, p
 from rawlane.functions.text import is_blank, strip
 from rawlane.specs import REJECTION_SCHEMA, DatasetSpec
 
+#: Characters of a value in a rejection record; the pipeline's own entries keep values whole.
 VALUE_LIMIT = 500
 
 
@@ -87,7 +88,7 @@ def _entries(staged: DataFrame, spec: DatasetSpec, field: Column, reason: Column
         F.col("numero_linha").cast("long").alias("numero_linha"),
         field.alias("campo_falha"),
         reason.alias("motivo_rejeicao"),
-        F.substring(value, 1, VALUE_LIMIT).alias("valor_recebido"),
+        value.alias("valor_recebido"),
         F.col("registro").alias("registro_completo"),
         F.current_timestamp().alias("data_rejeicao"),
         F.lit(severity).alias("severidade"),

@@ -160,7 +160,8 @@ def top_customers(faturamento: DataFrame, company: str, since: dt.date, limit: i
 
 def distinct_list(value: Column, separator: str = ", ") -> Column:
     """Aggregate: the distinct values in order, joined; NULL when there is none."""
-    return F.nullif(F.array_join(F.array_sort(F.collect_set(value)), separator), F.lit(""))
+    found = F.collect_set(value)
+    return F.when(F.size(found) > 0, F.array_join(F.array_sort(found), separator))
 
 
 def latest_rejections(log: DataFrame, limit: int = 100) -> DataFrame:

@@ -36,9 +36,11 @@ from rawlane.specs import DEFAULT_SPECS, REJECTION_SCHEMA, RUN_EVENT_SCHEMA, Dat
 log = logging.getLogger(__name__)
 
 FILES_PER_BATCH = 10_000
-MESSAGE_LIMIT = 2000
 
 # What the driver holds of each file of a batch.
+#: Message of a run whose file ends inside a quoted field.
+UNCLOSED = "Arquivo ilegível: termina dentro de um campo entre aspas"
+
 FILE_FACTS = ("dataset", "path", "uri", "sep", "encoding", "layout", "header", "superseded")
 
 
@@ -81,14 +83,18 @@ def plan_files(manifest: DataFrame, specs: Sequence[DatasetSpec], history: DataF
 
     ``superseded`` marks a file that another file of the same name, later in path order, replaces in this delivery.
     """
-    checked = skip_seen_files(header_contract(manifest.filter(F.col("header").isNotNull()), specs), history)
+    checked = header_contract(manifest.filter(F.col("header").isNotNull()), specs)
+    # A file that ends inside quotes can't be told apart into records: nothing of it is read or replaced.
+    cut_short = F.when(F.col("unclosed"), F.lit(UNCLOSED))
+    checked = checked.withColumns({"ok": F.col("ok") & ~F.col("unclosed"), "message": F.coalesce("message", cut_short)})
+    checked = skip_seen_files(checked, history)
     last = checked.filter("ok").groupBy("dataset", "file_name").agg(F.max("path").alias("_last"))
     script, table = F.lit(None).cast("string"), F.lit(None).cast("string")
     for spec in specs:
         script = F.when(F.col("dataset") == spec.name, F.lit(spec.script)).otherwise(script)
         table = F.when(F.col("dataset") == spec.name, F.lit(spec.table)).otherwise(table)
     return checked.join(last, ["dataset", "file_name"], "left").select(
-        *[c for c in checked.columns if c not in ("expected", "missing", "extra")],
+        *[c for c in checked.columns if c not in ("expected", "missing", "extra", "unclosed")],
         script.alias("script"),
         table.alias("table"),
         uuid_from(F.lit(run), F.col("uri")).alias("run_id"),
@@ -171,7 +177,7 @@ def ingest(
                     _load_batch(spark, accepted, mine, spec, store, run, folder)
                 except Exception as error:  # noqa: BLE001 - whatever went wrong is recorded; other batches go on
                     log.exception("load of dataset %s, batch %s failed", spec.name, batch)
-                    reason = F.lit(str(error)[:MESSAGE_LIMIT])
+                    reason = F.lit(str(error))
                     append_events(run_end_events(accepted, FAILURE, reason), store.history)
                 finally:
                     drop_work(spark, folder)

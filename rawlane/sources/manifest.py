@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rawlane.functions.text import percent_decoded, strip
 from rawlane.session import work_path
-from rawlane.sources.quoting import opens_quote
+from rawlane.sources.quoting import ends_in_quotes, opens_quote
 from rawlane.sources.storage import materialize
 from rawlane.specs import DEFAULT_SPECS, DatasetSpec
 
@@ -42,6 +42,7 @@ MANIFEST_COLUMNS = (
     "sep",
     "header",
     "layout",
+    "unclosed",
 )
 
 BLANKS = " \t\r\n"
@@ -97,6 +98,7 @@ def describe_content(files: DataFrame) -> DataFrame:
         "sep",
         F.when(strip(F.col("_header")) != "", header_cells(F.col("_header"), F.col("sep"))).alias("header"),
         F.when(text.contains('"') | blank_record, F.lit(WHOLE)).otherwise(F.lit(LINES)).alias("layout"),
+        ends_in_quotes(_without_bom(text), F.col("sep")).alias("unclosed"),
     )
 
 
@@ -190,6 +192,7 @@ def describe_lines(spark: SparkSession, paths: str | Sequence[str], larger_than:
         "sep",
         F.when(strip(F.col("_header")) != "", header_cells(F.col("_header"), F.col("sep"))).alias("header"),
         F.when(hidden, F.lit(ASSEMBLED)).otherwise(F.lit(LINES)).alias("layout"),
+        F.lit(False).alias("unclosed"),
     )
 
 

@@ -29,6 +29,14 @@ def opens_quote(line: Column, sep: str) -> Column:
     return line.contains('"') & bare_text(line, sep).rlike(f'(^|{_mark(sep)})"')
 
 
+def ends_in_quotes(text: Column, sep: Column) -> Column:
+    """True when a whole file's text ends inside a quoted field, by the rules of ``bare_text`` over all its lines."""
+    start = F.concat(F.lit("(^|[\\r\\n"), sep, F.lit("])\""))
+    single = F.replace(text, F.lit('""'), F.lit(""))
+    bare = F.regexp_replace(single, F.concat(start, F.lit('[^"]*+"')), F.lit("$1"))
+    return text.contains('"') & F.regexp_like(bare, start)
+
+
 def _stays_open(line: Column, sep: str) -> Column:
     """True when a line that starts inside quotes ends inside them."""
     single = F.replace(line, F.lit('""'), F.lit(""))

@@ -34,6 +34,8 @@ def ingest_stream(
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", "*.csv")
+        # Files keep their time when they are moved into the folder: no age is too old.
+        .option("maxFileAge", "36500d")
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .load(path)
         .select("path")

@@ -138,6 +138,12 @@ def parse_date_fallback(t: Tables) -> DataFrame:
     return cleaned(t, DATE, by_key(7, [F.date_format(day(), p) for p in texts]))
 
 
+@check("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dia, false AS erro FROM orders", dates=["dia"])
+def parse_date_with_time(t: Tables) -> DataFrame:
+    texts = ["dd/MM/yyyy' 00:00:00'", "d/M/yyyy' 9:30'", "dd-MM-yyyy' 10:30:59.5'", "d.M.yyyy'T'HH:mm", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd' 23:59:59+02:00'"]
+    return cleaned(t, DATE, by_key(6, [F.date_format(day(), p) for p in texts]))
+
+
 @check(
     """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN DATE '1677-09-22' WHEN 1 THEN DATE '2262-04-11' END AS dia,
          o_orderkey % 5 BETWEEN 2 AND 4 AS erro FROM orders""",

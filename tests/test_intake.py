@@ -242,3 +242,17 @@ def test_counts_add_up(spark, drop):
     for r in store.read_history(spark).collect():
         assert r.linhas_processadas == r.linhas_inseridas + errors.get(r.id, 0)
         assert r.linhas_erro == errors.get(r.id, 0) + warns.get(r.id, 0)
+
+
+def test_a_file_that_ends_inside_quotes_is_refused_and_replaces_nothing(spark, drop):
+    text = billing(*({"numero_documento": str(i)} for i in range(1, 6)))
+    drop("faturamento_x.csv", text)
+    drop("faturamento_y.csv", billing({"numero_documento": "7", "categorioa": 'a;""b""\nc'}))
+    run(spark, drop)
+    head, first, *rest = text.split("\n")
+    drop("faturamento_x.csv", "\n".join([head, first, '"' + rest[0], *rest[1:]]))
+    store = run(spark, drop)
+    assert sorted(r.numero_documento for r in loaded(spark, store)) == ["1", "2", "3", "4", "5", "7"]
+    states = store.read_history(spark).select("status", "linhas_inseridas", "mensagem_erro").collect()
+    assert sorted((r.status, r.linhas_inseridas) for r in states) == [("erro", 0), ("sucesso", 1), ("sucesso", 5)]
+    assert [r.mensagem_erro for r in states if r.status == "erro"] == [ingest_module.UNCLOSED]
