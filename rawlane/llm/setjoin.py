@@ -104,34 +104,26 @@ class Group:
         return out[(self.sizes[out] >= least) & (least_shared(self.sizes[out], self.percent) <= n)]
 
 
-def _find(parents: np.ndarray, i: int) -> int:
-    while parents[i] != i:
-        parents[i] = parents[parents[i]]
-        i = int(parents[i])
-    return i
-
-
 def local_roots(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """The smallest place reachable by links inside a group, for every place."""
-    group, parents = Group(sets, percent), np.arange(len(sets))
+    group, roots = Group(sets, percent), np.arange(len(sets))
 
     def join(i: int, j: int) -> None:
-        a, b = sorted((_find(parents, i), _find(parents, j)))
-        parents[b] = a
+        low, high = sorted((roots[i], roots[j]))
+        roots[roots == high] = low
 
     for i in range(1, len(sets)):  # neighbours in the order of smallest hashes are often copies
-        if linked(sets[i], sets[i - 1], percent) or linked(sets[i], sets[_find(parents, i - 1)], percent):
+        if linked(sets[i], sets[i - 1], percent) or linked(sets[i], sets[roots[i - 1]], percent):
             join(i, i - 1)
     for i in range(len(sets)):
         others = group.candidates(sets[i])
-        others = others[others > i]
-        if len(others) == 0:
-            continue
-        while len(others := others[np.array([_find(parents, int(j)) for j in others]) != _find(parents, i)]):
-            if linked(sets[i], sets[others[0]], percent):
-                join(i, int(others[0]))
-            others = others[1:]
-    return np.array([_find(parents, i) for i in range(len(sets))])
+        others = others[(others > i) & (roots[others] != roots[i])]
+        while len(others):
+            j, others = int(others[0]), others[1:]
+            if linked(sets[i], sets[j], percent):
+                join(i, j)
+                others = others[roots[others] != roots[i]]
+    return roots
 
 
 def _set_key(tokens: np.ndarray) -> int:
