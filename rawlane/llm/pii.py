@@ -33,12 +33,12 @@ _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
-#: Wide patterns of what else may be personal.
+#: Wide patterns of what else may be personal, the most particular first.
 CANDIDATES = {
     "email_spelled": re.compile(r"\b[A-Za-z0-9][A-Za-z0-9._-]{1,40}\s?(?:\(at\)|\[at\]|\{at\})\s?[A-Za-z0-9-]{2,40}(?:\s?(?:\.|\(dot\)|\[dot\]|\{dot\})\s?[A-Za-z0-9-]{2,20}){1,3}\b", re.ASCII),
-    "phone_local": re.compile(r"(?<![0-9+.\-])(?:\([0-9]{2,4}\)\x20?|0[0-9]{1,4}[\x20/-]|[0-9]{3}[.\x20-])[0-9]{3,4}[.\x20-][0-9]{3,5}(?![0-9.\-])"),
-    "national_id": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "iban": re.compile(r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b", re.ASCII),
+    "national_id": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
+    "phone_local": re.compile(r"(?<![0-9+.\-])(?:\([0-9]{2,4}\)\x20?|0[0-9]{1,4}[\x20/-]|[0-9]{3}[.\x20-])[0-9]{3,4}[.\x20-][0-9]{3,5}(?![0-9.\-])"),
     "person": re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Sr|Sra|Mme|Monsieur|Madame)\.?\x20[A-Z][a-z]{1,20}(?:\x20[A-Z][a-z]{1,20}){0,2}\b", re.ASCII),
 }
 # Gazetteers.

@@ -123,21 +123,22 @@ def tokens(text: str, spans: list[Span]) -> list[tuple[int, int, str, int, int]]
 def null_scores(texts: list[str]) -> dict[tuple[str, int, int], int]:
     """Scores of running text: how often each (encoding, length class, step) occurs.
 
-    Of every text and for every alphabet, the characters that belong to it (after folding case where the alphabet has one
-    case) form a string; its stretch of the shortest length of one class, the class and the place given by the text's own
-    length, is scored.
+    Of every text without its tokens, and for every alphabet, the characters that belong to it (after folding case where the alphabet has one
+    case) form a string; for every class of lengths one stretch of it, of the class's shortest length and at a place given
+    by the text's own length, is scored.
     """
     drawn: dict[tuple[str, int], list[np.ndarray]] = {}
     for text in texts:
-        raw = text.encode("ascii", "ignore")
+        raw = TOKEN.sub(" ", text).encode("ascii", "ignore")
         for encoding, table in _CODES.items():
             folded = raw.upper() if encoding == "base32" else raw.lower() if encoding == "hex" else raw
             codes = table[np.frombuffer(folded, np.uint8)]
             codes = codes[codes >= 0]
-            k = len(raw) % len(LENGTHS)
-            if len(codes) >= LENGTHS[k]:
-                at = (len(raw) // len(LENGTHS)) % (len(codes) - LENGTHS[k] + 1)
-                drawn.setdefault((encoding, k), []).append(codes[at : at + LENGTHS[k]])
+            for k, n in enumerate(LENGTHS):
+                if len(codes) < n:
+                    break
+                at = len(raw) * (k + 1) % (len(codes) - n + 1)
+                drawn.setdefault((encoding, k), []).append(codes[at : at + n])
     out: dict[tuple[str, int, int], int] = {}
     for (encoding, k), rows in drawn.items():
         steps = np.minimum(battery(np.stack(rows).astype(np.int64), len(ALPHABETS[encoding])) / STEP, STEPS).astype(int)

@@ -1,5 +1,6 @@
 """Quality rules, personal data and secrets."""
 
+import collections
 import random
 import re
 
@@ -13,7 +14,8 @@ def brute_measures(text):
     text = text or ""
     words = re.findall("[^\x20\x09-\x0d]+", text)
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
-    repeated = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)} if len(words) < 3000 else set()
+    times = collections.Counter(windows)
+    repeated = {i + k for i, w in enumerate(windows) if times[w] > 1 for k in range(3)}
     lines = [x for x in text.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
     return len(words), sum(map(len, words)), len(re.findall("[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(repeated)
 
@@ -48,7 +50,7 @@ def test_kept_documents_keep_their_columns(spark, odd_docs):
     ],
 )
 def test_each_rule_of_the_table(spark, name, text):
-    body = "".join(f"{text.rstrip(chr(10))} w{i}{chr(10) if text.endswith(chr(10)) else ' '}" for i in range(20))
+    body = "".join(f"{text[:2]}w{i} {text[2:]}" for i in range(20))
     if name == "repeated_lines":
         body = text * 20
     if name == "word_length":
@@ -82,7 +84,7 @@ def _emails(t):
 
 
 def _ips(t):
-    found = re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t[:6000])
+    found = re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t)
     return [("ip", *m.span()) for m in found if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
 
 
