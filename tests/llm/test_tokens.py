@@ -93,7 +93,8 @@ def test_every_id_is_packed_once_without_padding(spark, odd_docs, no_docs, libra
         assert at <= 256 and at & (at - 1) == 0
     want = collections.Counter()
     for r in odd_docs.collect():
-        want.update((r.doc_id, len(ids_of(library, r.text)) + 1, i) for i in range(len(ids_of(library, r.text)) + 1))
+        n = len(ids_of(library, r.text)) + 1
+        want.update((r.doc_id, n, i) for i in range(n))
     got = collections.Counter()
     for p in pieces:
         got.update((p.doc_id, p.doc_tokens, p.start + i) for i in range(p.length))
