@@ -40,7 +40,7 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return setjoin.similar_sets(_table(spark, folder, "documents"), width=4, percent=85)
+    return setjoin.similar_sets(_table(spark, folder, "documents"), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
 def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:

@@ -300,10 +300,10 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str
     of_key = of_key.select("key", F.coalesce("component", "root").alias("component"))
     of_key = classes.join(of_key, "key")
     least = of_key.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = of_key.join(least, "component").select("key", "component_id")
+    named = of_key.join(least, "component").select("key", "component_id", "component")
     out = rows.join(named, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), "text_hash", (F.col("key").isNull()).alias("without_words"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), "text_hash", F.col("key").isNull().alias("without_words"), "component")
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -315,7 +315,7 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str
     found = similar_sets(docs, width, percent, doc_id, text)
     apart = F.when(F.col("without_words"), F.struct("doc_id", "text_hash"))
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
-    stay = found.groupBy("component_id", apart.alias("apart")).agg(F.min(rank).alias("stay"), F.first("without_words").alias("each"))
+    stay = found.groupBy("component", apart.alias("apart")).agg(F.min(rank).alias("stay"), F.first("without_words").alias("each"))
     stay = stay.select(F.col("stay.doc_id").alias("_id"), F.col("stay.text_hash").alias("_hash"), F.col("each").alias("_each"))
     hashed = docs.withColumn("_hash_of_text", F.xxhash64(F.coalesce(docs[text], F.lit(""))))
     met = hashed.join(stay, (hashed["_hash_of_text"] == stay["_hash"]) & hashed[doc_id].eqNullSafe(stay["_id"])).drop("_id", "_hash")
