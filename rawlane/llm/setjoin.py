@@ -2,11 +2,15 @@
 
 Documents with equal sets are one node. Nodes are range-partitioned by a step of their size and then by their smallest
 hashes under two permutations, so similar ones become neighbours, and every partition is cut into groups of bounded size
-and one step of sizes: linked sets are at most one step apart. A group links its own nodes in one
-task. For links across groups the matrix holds, per group, the union of its members' tokens; what a query shares with that
-union bounds what it shares with any member. The bound is applied twice: on short prefixes of all sets in hash order, with
-one row per token and group, which finds the groups worth opening; and inside an opened group on the whole union, before
-any member is looked at.
+and one step of sizes: linked sets are at most one step apart. A group links its own nodes in one task. For links across
+groups the matrix holds, per group, the union of its members' tokens; what a query shares with that union bounds what it
+shares with any member. The bound is applied twice: on short prefixes of all sets in one common order, with one row per
+token and group, which finds the groups worth opening; and inside an opened group on the whole union, before any member is
+looked at.
+
+The common order puts tokens last that are frequent inside some group, by a table of counts of fixed size (tokens that
+share an entry share its count), so a passage that many documents hold rarely gets into their prefixes. Links are complete
+under any order: the table only decides how many groups are opened in vain.
 
 Within a group, prefixes follow the group's own token frequencies, rarest first, so passages that many documents share
 bring up no candidates. Links are verified exactly on the sets. Two nodes already known to be in one component are not
@@ -36,6 +40,8 @@ from rawlane.session import work_path
 GROUP_NODES, GROUP_TOKENS = 2048, 2_000_000
 #: Bits of a node's number: step of sizes, partition, group in the partition, place in the group.
 STEP_BITS, PARTITION_BITS, CHUNK_BITS, PLACE_BITS = 7, 24, 20, 12
+#: Members of a group that hold a token before the group reports it as frequent, and entries of the table of counts.
+FREQUENT_MEMBERS, COUNT_ENTRIES = 8, 1 << 20
 #: Queries of one group that a task answers before another task opens the group too.
 QUERIES_PER_BLOCK = 4096
 
@@ -46,7 +52,7 @@ def least_shared(n: np.ndarray | int, percent: int):
 
 
 def extra(n: np.ndarray | int):
-    """By how much prefixes in hash order are longer than needed: so many more tokens have to agree.
+    """By how much prefixes in the common order are longer than needed: so many more tokens have to agree.
 
     With as many again as are needed, a passage that makes up less than half of a document no longer sends it anywhere.
     """
@@ -104,9 +110,9 @@ class Group:
         return out[(self.sizes[out] >= least) & (least_shared(self.sizes[out], self.percent) <= n)]
 
 
-def local_roots(sets: list[np.ndarray], percent: int) -> np.ndarray:
+def local_roots(group: Group) -> np.ndarray:
     """The smallest place reachable by links inside a group, for every place."""
-    group, roots = Group(sets, percent), np.arange(len(sets))
+    sets, percent, roots = group.sets, group.percent, np.arange(len(group.sets))
 
     def join(i: int, j: int) -> None:
         low, high = sorted((roots[i], roots[j]))
@@ -159,7 +165,8 @@ def _tokens(packed: list[bytes], width: int) -> list[np.ndarray]:
 
 
 def _group(prepared: DataFrame, groups: int, width: int, percent: int) -> DataFrame:
-    """Nodes dealt into groups and linked inside them: ``node, key, root, n, packed``."""
+    """Nodes dealt into groups and linked inside them: ``node, key, root, n, packed``, and in a group's first row
+    ``entries, members``: how many members hold each of its frequent tokens, by entry of the table of counts."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, chunk, last, step = TaskContext.get().partitionId(), 0, None, None
@@ -169,9 +176,12 @@ def _group(prepared: DataFrame, groups: int, width: int, percent: int) -> DataFr
 
         def close() -> pa.RecordBatch:
             base = ((step << PARTITION_BITS | part) << CHUNK_BITS | chunk) << PLACE_BITS
-            roots = local_roots(sets, percent)
-            columns = [base + np.arange(len(sets)), np.array([k for k, _ in held], np.int64), base + roots, np.array([len(s) for s in sets], np.int64)]
-            return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([p for _, p in held], pa.binary())], ["node", "key", "root", "n", "packed"])
+            group = Group(sets, percent)
+            columns = [base + np.arange(len(sets)), np.array([k for k, _ in held], np.int64), base + local_roots(group), group.sizes]
+            often = group.frequency >= FREQUENT_MEMBERS
+            counts = (_entries(group.union[often]).astype(np.int32), group.frequency[often].astype(np.int32))
+            counts = [pa.array([c, *[None] * (len(sets) - 1)], pa.list_(pa.int32())) for c in counts]
+            return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([p for _, p in held], pa.binary()), *counts], ["node", "key", "root", "n", "packed", "entries", "members"])
 
         for batch in batches:
             steps, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -192,7 +202,21 @@ def _group(prepared: DataFrame, groups: int, width: int, percent: int) -> DataFr
 
     order = ("step", "m1", "m2", "key")
     ordered = prepared.repartitionByRange(groups, *order).sortWithinPartitions(*order)
-    return ordered.select("step", "key", "packed").mapInArrow(link, "node long, key long, root long, n long, packed binary")
+    return ordered.select("step", "key", "packed").mapInArrow(link, "node long, key long, root long, n long, packed binary, entries array<int>, members array<int>")
+
+
+def _entries(tokens: np.ndarray) -> np.ndarray:
+    return (tokens & np.uint64(COUNT_ENTRIES - 1)).astype(np.int64)
+
+
+def _rank_of_entries(nodes: DataFrame) -> np.ndarray:
+    """Per entry of the table of counts the logarithm of how many members of reporting groups hold its tokens; zero for
+    most. The table has ``COUNT_ENTRIES`` entries at most, one byte each, however many documents there are."""
+    reported = nodes.where("entries IS NOT NULL").select(F.explode(F.arrays_zip("entries", "members")).alias("e")).select("e.*")
+    summed = reported.groupBy("entries").agg(F.floor(F.log2(F.sum("members"))).cast("int").alias("rank")).toArrow()
+    ranks = np.zeros(COUNT_ENTRIES, np.uint8)
+    ranks[summed["entries"].to_numpy()] = summed["rank"].to_numpy()
+    return ranks
 
 
 def _group_of(node: str) -> Column:
@@ -204,14 +228,16 @@ def _step_of(group: Column) -> Column:
 
 
 def _matrix(nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """``token, root``: for every local component, the union of its members' prefixes in hash order."""
+    """``token, root``: for every local component, the union of its members' prefixes in the common order."""
+    ranks = _rank_of_entries(nodes)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens, roots = [], []
             for begin in range(0, batch.num_rows, 256):
                 for own, root in zip(_tokens(batch.column(1).slice(begin, 256).to_pylist(), width), batch.column(0).slice(begin, 256).to_pylist(), strict=True):
-                    own = own[: len(own) - least_shared(len(own), percent) + 1 + extra(len(own))]
+                    order = np.argsort(ranks[_entries(own)], kind="stable")  # tokens of equal rank stay in hash order
+                    own = own[order[: len(own) - least_shared(len(own), percent) + 1 + extra(len(own))]]
                     tokens.append(own)
                     roots.append(np.full(len(own), root, np.int64))
             pairs = np.unique(np.stack([np.concatenate(roots), np.concatenate(tokens).view(np.int64)]), axis=1) if len(set(batch.column(0).to_pylist())) < batch.num_rows else np.stack([np.concatenate(roots), np.concatenate(tokens).view(np.int64)])

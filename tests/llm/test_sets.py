@@ -55,6 +55,7 @@ def test_join_of_odd_rows(spark, odd_docs, no_docs, monkeypatch, most):
 def test_join_of_random_rows(spark, monkeypatch, most):
     """Families of copies with few and with many changes, all with one long passage in common."""
     monkeypatch.setattr(setjoin, "GROUP_NODES", most)
+    monkeypatch.setattr(setjoin, "FREQUENT_MEMBERS", 2)
     rng = random.Random(7)
     passage = [f"p{i}" for i in range(40)]
     rows = []
