@@ -37,10 +37,10 @@ log = logging.getLogger(__name__)
 
 FILES_PER_BATCH = 10_000
 
-# What the driver holds of each file of a batch.
 #: Message of a run whose file ends inside a quoted field.
 UNCLOSED = "Arquivo ilegível: termina dentro de um campo entre aspas"
 
+# What the driver holds of each file of a batch.
 FILE_FACTS = ("dataset", "path", "uri", "sep", "encoding", "layout", "header", "superseded")
 
 
@@ -158,7 +158,8 @@ def ingest(
         manifest = materialize(manifest, f"{work}/manifest")
         plan = materialize(plan_files(manifest, specs, store.read_history(spark), run), f"{work}/plan")
         batches = max(-(-plan.count() // files_per_batch), 1)
-        plan = plan.withColumn("batch", F.pmod(F.xxhash64("path"), F.lit(batches)))
+        # Files of one name come into one batch: a superseded file never counts as loaded when the last one fails.
+        plan = plan.withColumn("batch", F.pmod(F.xxhash64("dataset", "file_name"), F.lit(batches)))
         if batches > 1:
             # One folder per batch, so that a batch does not read the plan of all others.
             plan = materialize(plan.repartition("batch"), f"{work}/batches", "batch")

@@ -196,7 +196,8 @@ def text_functions(t: Tables) -> DataFrame:
         WHERE EXISTS (SELECT 1 FROM faturamento f WHERE f.cnpj = b.cnpj AND f.empresa = 'P')"""
 )
 def existence_probe(t: Tables) -> DataFrame:
-    found = faturamento(t).filter(F.col("empresa") == "P").select("cnpj")
+    # A semi join cannot be split on its right side: repeated keys go before they are dealt out.
+    found = faturamento(t).filter(F.col("empresa") == "P").select("cnpj").distinct()
     return base_oficial(t).join(found, "cnpj", "left_semi").select("cnpj")
 
 

@@ -256,3 +256,12 @@ def test_a_file_that_ends_inside_quotes_is_refused_and_replaces_nothing(spark, d
     states = store.read_history(spark).select("status", "linhas_inseridas", "mensagem_erro").collect()
     assert sorted((r.status, r.linhas_inseridas) for r in states) == [("erro", 0), ("sucesso", 1), ("sucesso", 5)]
     assert [r.mensagem_erro for r in states if r.status == "erro"] == [ingest_module.UNCLOSED]
+
+
+def test_files_of_one_name_fail_together(spark, drop, monkeypatch):
+    for i in range(1, 4):
+        drop(f"{i}/faturamento.csv", billing({"numero_documento": str(i)}))
+    monkeypatch.setattr(ingest_module, "replace_by_source_file", lambda *a, **k: 1 / 0)
+    store = ingest(spark, f"{drop.folder}/*", drop.out, files_per_batch=1)
+    assert loaded(spark, store) == []
+    assert [(r.status, r.linhas_inseridas) for r in store.read_history(spark).collect()] == [("erro", 0)] * 3
