@@ -156,6 +156,26 @@ def test_random_tokens_are_told_from_words(spark):
     assert len(keys & found) >= 0.9 * len(keys) and len(found - keys) <= 0.02 * len(keys)
 
 
+@pytest.mark.parametrize("slug", ["state-of-the-art-reference-results-here", "terms-and-conditions"])
+def test_a_slug_in_a_third_of_the_documents_hides_no_secret(spark, slug):
+    rng = random.Random(7)
+    words = "the of and window paper mountain river because thought different people something kitchen yesterday language morning".split()
+    rows = [(i, " ".join(rng.choice(words) for _ in range(120)) + (f" {slug} " if i % 3 == 0 else " ")) for i in range(1500)]
+    keys = {100 * i + 1: "".join(rng.choice(secrets.ALPHABETS["base64"]) for _ in range(22 if slug[0] == "t" else 40)) for i in range(15)}
+    rows = [(i, text + keys.get(i, "")) for i, text in rows]
+    found = {r.doc_id for r in secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.added}
+    # Keys of 22 characters aren't all told from running text: without the slug 11 are found as well.
+    assert len(found & set(keys)) >= (11 if slug[0] == "t" else 14) and not found - set(keys)
+
+
+def test_a_repeated_stretch_of_running_text_counts_once():
+    rng = random.Random(1)
+    passage = " ".join("".join(rng.choice(secrets.ALPHABETS["base64"]) for _ in range(9)) for _ in range(40))
+    once, often = secrets.null_scores([passage]), secrets.null_scores([passage] * 50)
+    assert {k: n for k, n in once.items() if k[2] <= secrets.LOW} == {k: n for k, n in often.items() if k[2] <= secrets.LOW} != {}
+    assert all(often[k] == 50 * n for k, n in once.items() if k[2] > secrets.LOW)
+
+
 def test_battery_on_random_and_regular_strings():
     rng = np.random.default_rng(0)
     random_scores = secrets.battery(rng.integers(0, 64, (500, 64)), 64)
