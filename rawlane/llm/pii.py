@@ -1,14 +1,16 @@
 """Personal data by weak supervision: labelers vote on candidate spans, their reliabilities are estimated, a classifier decides.
 
 Candidates are spans of a wide pattern per kind. Three families of labelers vote yes, no or nothing on each: regular
-expressions and checksums (form), word lists (gazetteers), and what stands around a span (context). Spans are counted by
-kind, votes and a few features; from that table, which has a bounded number of rows whatever the corpus, expectation
+expressions and checksums (form), word lists (gazetteers), and what stands around a span (context). Different spans are
+counted by kind, votes and a few features: a value counts once per votes and features, so copies of a passage, whatever
+stands around them, have no weight. From that table, which has a bounded number of rows whatever the corpus, expectation
 maximisation estimates how reliable every labeler is and how likely every pattern of votes is personal. A logistic
 classifier of votes and features, fitted to these probabilities, then decides on every candidate span.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections.abc import Iterator, Sequence
@@ -143,7 +145,7 @@ def features(kind: str, text: str, start: int, end: int) -> tuple[int, ...]:
 
 
 def candidate_spans(text: str, base: Sequence[Span]) -> list[tuple]:
-    """Candidates that touch no base span and none of an earlier kind: kind, start, end, votes, features."""
+    """Candidates that touch no base span and none of an earlier kind: kind, start, end, votes, features, hash of the value."""
     taken, out = list(base), []
     for kind, pattern in CANDIDATES.items():
         free = free_of(taken)
@@ -151,7 +153,8 @@ def candidate_spans(text: str, base: Sequence[Span]) -> list[tuple]:
             if free(m.start(), m.end()):
                 where = (kind, m.start(), m.end())
                 taken.append(where)
-                out.append((*where, list(votes(kind, text, m.start(), m.end())), list(features(kind, text, m.start(), m.end()))))
+                name = int.from_bytes(hashlib.blake2b(m[0].encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+                out.append((*where, list(votes(kind, text, m.start(), m.end())), list(features(kind, text, m.start(), m.end())), name))
     return out
 
 
@@ -205,10 +208,10 @@ def personal_spans(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id",
     row, repeated ones too; a NULL id stays; other columns are ignored; without any candidate nothing is added.
     """
     spark = docs.sparkSession
-    schema = T.StructType.fromDDL("base array<struct<kind:string,start:bigint,end:bigint>>, candidates array<struct<kind:string,start:bigint,end:bigint,votes:array<int>,features:array<int>>>")
+    schema = T.StructType.fromDDL("base array<struct<kind:string,start:bigint,end:bigint>>, candidates array<struct<kind:string,start:bigint,end:bigint,votes:array<int>,features:array<int>,value:bigint>>")
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), *schema.fields])
     span = [("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]
-    more = [("votes", pa.list_(pa.int32())), ("features", pa.list_(pa.int32()))]
+    more = [("votes", pa.list_(pa.int32())), ("features", pa.list_(pa.int32())), ("value", pa.int64())]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [n for n, _ in span + more]
@@ -224,7 +227,7 @@ def personal_spans(docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id",
     path = work_path(spark, "pii")
     docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).mapInArrow(scan, schema).write.parquet(path)
     scanned = spark.read.parquet(path)
-    each = scanned.select(F.explode("candidates").alias("c")).select("c.kind", "c.votes", "c.features")
+    each = scanned.select(F.explode("candidates").alias("c")).select("c.kind", "c.votes", "c.features", "c.value").distinct()
     counted = each.groupBy("kind", "votes", "features").count().orderBy("kind", "votes", "features").collect()
     accepted: dict[str, list[str]] = {}
     for kind in ADDED_KINDS:

@@ -112,6 +112,25 @@ def test_labelers_are_weighed_and_spans_classified(spark):
     assert right / len(rows) > 0.95
 
 
+def test_copies_of_a_passage_leave_the_verdict_on_other_spans(spark):
+    rng = random.Random(4)
+
+    def number():
+        return f"{rng.randrange(200, 999)}-{rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}"
+
+    texts = [f"you may call {number()} now." for _ in range(40)] + [f"so it was {number()} then." for _ in range(60)]
+    texts += [f"so it was {number()[:9]}00 then." for _ in range(40)] + [f"the order {number()} came." for _ in range(20)]
+    passage = f"and the order {number()} was shipped"
+
+    def verdicts(copies):
+        rows = list(enumerate(texts)) + [(1000 + i, f"text {i} {'x' * (i % 30)} {passage} on day {i}.") for i in range(copies)]
+        found = pii.personal_spans(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id < 1000").collect()
+        return {r.doc_id: [tuple(s) for s in r.added] for r in found}
+
+    once = verdicts(1)
+    assert sum(map(bool, once.values())) >= 40 and verdicts(2000) == once
+
+
 def test_estimation_finds_the_better_labeler():
     rng = np.random.default_rng(1)
     truth = rng.random(4000) < 0.4
