@@ -7,13 +7,14 @@ row or one task: they are described from their lines, which Spark reads in split
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rawlane.functions.text import percent_decoded, strip
 from rawlane.session import work_path
-from rawlane.sources.quoting import ends_in_quotes, opens_quote
+from rawlane.sources.quoting import ends_in_quotes, files_ending_in_quotes, opens_quote
 from rawlane.sources.storage import materialize
 from rawlane.specs import DEFAULT_SPECS, DatasetSpec
 
@@ -129,7 +130,8 @@ def describe_lines(spark: SparkSession, paths: str | Sequence[str], larger_than:
     """The same facts for files larger than ``larger_than`` bytes, gathered from their split lines.
 
     The fingerprint combines a hash of (line number, line) over all lines, so it depends on content and order but not
-    on how the file was split. Two scans: one counts lines per split, one hashes with the line numbers that gives.
+    on how the file was split. Two scans: one counts lines per split, one hashes with the line numbers that gives. Files
+    with quotes that hide line ends are scanned once more, to see whether they end inside quotes.
     """
     # The filter on file size is applied to the file listing: smaller files are not opened.
     lines = read_lines(spark, paths).filter(F.col("length") > larger_than)
@@ -181,7 +183,7 @@ def describe_lines(spark: SparkSession, paths: str | Sequence[str], larger_than:
     hidden = F.col("tabs") & (F.col("sep") == "\t")
     for i, sep in enumerate(SEPARATORS):
         hidden = hidden | (F.col(f"opens_{i}") & (F.col("sep") == sep))
-    return facts.select(
+    described = facts.select(
         "uri",
         "file_name",
         "length",
@@ -192,8 +194,17 @@ def describe_lines(spark: SparkSession, paths: str | Sequence[str], larger_than:
         "sep",
         F.when(strip(F.col("_header")) != "", header_cells(F.col("_header"), F.col("sep"))).alias("header"),
         F.when(hidden, F.lit(ASSEMBLED)).otherwise(F.lit(LINES)).alias("layout"),
-        F.lit(False).alias("unclosed"),
     )
+    described = materialize(described, f"{work}/described")
+    # The state at the end of the last split, found from the lines as assembled reading sees them.
+    ended = F.rtrim("value", F.lit("\r")).alias("value")
+    unclosed = []
+    for sep in SEPARATORS:
+        mine = described.filter((F.col("layout") == ASSEMBLED) & (F.col("sep") == sep)).select("uri")
+        quoted = lines.filter(F.col("value").contains('"')).join(mine, "uri", "left_semi")
+        unclosed.append(files_ending_in_quotes(quoted.select("uri", "block", "pos", ended), sep))
+    unclosed = reduce(DataFrame.unionByName, unclosed).withColumn("unclosed", F.lit(True))
+    return described.join(unclosed, "uri", "left").withColumn("unclosed", F.coalesce("unclosed", F.lit(False)))
 
 
 def build_manifest(

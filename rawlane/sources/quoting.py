@@ -45,29 +45,25 @@ def _stays_open(line: Column, sep: str) -> Column:
     return ~single.contains('"') | opens_quote(rest, sep)
 
 
-def number_records(lines: DataFrame, sep: str) -> DataFrame:
-    """Add ``record``: 0 for the header line, then 1, 2, ... along each file, counting blank lines too.
-
-    ``lines`` has ``uri, block, pos, value``. Windows run over one split each, whose size is bounded; across splits
-    only per-split summaries are combined.
-    """
+def _stepped(lines: DataFrame, sep: str) -> DataFrame:
+    """Add what a split's lines up to each one do to the state: ``_flips``, and ``_fixed``, the last state set and when."""
     inside, outside = _stays_open(F.col("value"), sep).cast("int"), opens_quote(F.col("value"), sep).cast("int")
-    split = Window.partitionBy("uri", "block").orderBy("pos")
-    so_far = split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
+    so_far = Window.partitionBy("uri", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     stepped = lines.withColumns({"_if_out": outside, "_if_in": inside})
     stepped = stepped.withColumn("_flips", F.sum(((F.col("_if_out") == 1) & (F.col("_if_in") == 0)).cast("int")).over(so_far))
     fixed = F.when(F.col("_if_out") == F.col("_if_in"), F.struct(F.col("_if_out").alias("state"), F.col("_flips").alias("at")))
-    stepped = stepped.withColumn("_fixed", F.last(fixed, ignorenulls=True).over(so_far))
+    return stepped.withColumn("_fixed", F.last(fixed, ignorenulls=True).over(so_far))
 
-    # Per split: what the whole split does to the state; then the state before each split.
+
+def _split_steps(stepped: DataFrame) -> DataFrame:
+    """Per split what the whole of it does to the state: ``set`` to a state, or NULL, and the flips up to its end of
+    all splits of the file that only flip it."""
     file = Window.partitionBy("uri").orderBy("block")
-    before = file.rowsBetween(Window.unboundedPreceding, -1)
     splits = stepped.groupBy("uri", "block").agg(F.max_by(F.struct("_flips", "_fixed"), "pos").alias("end"))
     ends_fixed = F.when(
         F.col("end._fixed").isNotNull(), (F.col("end._fixed.state") + F.col("end._flips") - F.col("end._fixed.at")) % 2
     )
-    splits = splits.select(
+    return splits.select(
         "uri",
         "block",
         ends_fixed.alias("set"),
@@ -75,6 +71,35 @@ def number_records(lines: DataFrame, sep: str) -> DataFrame:
             file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ).alias("flips"),
     )
+
+
+def files_ending_in_quotes(lines: DataFrame, sep: str) -> DataFrame:
+    """``uri`` of the files whose last line ends inside a quoted field. ``lines`` has ``uri, block, pos, value``.
+
+    Lines without a quote leave the state as it is, so only those with one are looked at.
+    """
+    splits = _split_steps(_stepped(lines.filter(F.col("value").contains('"')), sep))
+    last = splits.groupBy("uri").agg(
+        F.max_by(F.struct("set", "flips"), F.when(F.col("set").isNotNull(), F.col("block"))).alias("last"),
+        F.max_by("flips", "block").alias("flips"),
+    )
+    state = F.coalesce(F.col("last.set"), F.lit(0)) + F.col("flips") - F.coalesce(F.col("last.flips"), F.lit(0))
+    return last.filter(state % 2 == 1).select("uri")
+
+
+def number_records(lines: DataFrame, sep: str) -> DataFrame:
+    """Add ``record``: 0 for the header line, then 1, 2, ... along each file, counting blank lines too.
+
+    ``lines`` has ``uri, block, pos, value``. Windows run over one split each, whose size is bounded; across splits
+    only per-split summaries are combined.
+    """
+    split = Window.partitionBy("uri", "block").orderBy("pos")
+    so_far = split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stepped = _stepped(lines, sep)
+    # Then the state before each split.
+    file = Window.partitionBy("uri").orderBy("block")
+    before = file.rowsBetween(Window.unboundedPreceding, -1)
+    splits = _split_steps(stepped)
     last_set = F.last(F.when(F.col("set").isNotNull(), F.struct("set", "flips")), ignorenulls=True).over(before)
     flips_before = F.coalesce(F.lag("flips").over(file), F.lit(0))
     splits = splits.select("uri", "block", last_set.alias("last"), flips_before.alias("flips"))

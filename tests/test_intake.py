@@ -258,6 +258,25 @@ def test_a_file_that_ends_inside_quotes_is_refused_and_replaces_nothing(spark, d
     assert [r.mensagem_erro for r in states if r.status == "erro"] == [ingest_module.UNCLOSED]
 
 
+@pytest.mark.parametrize("block", [None, 64])
+def test_a_large_file_that_ends_inside_quotes_is_refused_and_replaces_nothing(spark, drop, settings, block):
+    conf = {"spark__sql__files__maxPartitionBytes": str(block), "spark__sql__files__openCostInBytes": "1"} if block else {}
+    with settings(**conf):
+        text = billing(*({"numero_documento": str(i)} for i in range(1, 6)))
+        drop("faturamento_x.csv", text)
+        drop("faturamento_y.csv", billing({"numero_documento": "7", "categorioa": 'a;""b""\nc'}))
+        run(spark, drop, whole_file_bytes=0)
+        head, first, *rest = text.split("\n")
+        drop("faturamento_x.csv", "\n".join([head, first, '"' + rest[0], *rest[1:]]))
+        drop("faturamento_z.csv", "\n".join([head, first, '"' + rest[0], 'a"', rest[1].replace("1", "8"), ""]))
+        store = run(spark, drop, whole_file_bytes=0)
+        states = {(r.tabela_origem, r.status, r.mensagem_erro) for r in store.read_history(spark).collect()}
+        numbers = [r.numero_documento for r in loaded(spark, store) if r.source_filename == "faturamento_x.csv"]
+    assert sorted(numbers) == ["1", "2", "3", "4", "5"]
+    assert ("faturamento_x.csv", "erro", ingest_module.UNCLOSED) in states and ("faturamento_x.csv", "sucesso", None) in states
+    assert {s[1] for s in states if s[0] in ("faturamento_y.csv", "faturamento_z.csv")} == {"sucesso"}
+
+
 def test_files_of_one_name_fail_together(spark, drop, monkeypatch):
     for i in range(1, 4):
         drop(f"{i}/faturamento.csv", billing({"numero_documento": str(i)}))
