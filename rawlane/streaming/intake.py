@@ -3,16 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
-from rawlane.plans.ingest import FILES_PER_BATCH, ingest
+from rawlane.plans.ingest import FILES_PER_BATCH, Store, ingest
+from rawlane.session import work_path
 from rawlane.sources.manifest import WHOLE_FILE_BYTES
-from rawlane.sources.storage import literal_path
+from rawlane.sources.storage import drop_work, exists, literal_path, materialize
 from rawlane.specs import DEFAULT_SPECS, DatasetSpec
 
+#: What tells one delivery from another.
+DELIVERY = "path string, modified timestamp, length long"
+
+
+@dataclass(frozen=True)
+class Intake:
+    """An intake that has ended."""
+
+    store: Store
+
+    def awaitTermination(self, timeout: float | None = None) -> bool:  # noqa: N802 - as streaming queries name it
+        return True
+
+
+def _taken_in(spark: SparkSession, path: str) -> DataFrame:
+    if not exists(spark, path):
+        return spark.createDataFrame([], DELIVERY)
+    return spark.read.schema(DELIVERY).parquet(path)
+
 
 def ingest_stream(
     spark: SparkSession,
@@ -24,32 +44,29 @@ def ingest_stream(
     user: str | None = None,
     max_files_per_trigger: int = FILES_PER_BATCH,
     whole_file_bytes: int = WHOLE_FILE_BYTES,
-) -> StreamingQuery:
-    """Take in the files that arrived since the last run, then stop.
+) -> Intake:
+    """Take in the files that arrived since the last run, of any age, then return.
 
-    The stream only carries file names: the micro-batch is handed to the batch plan, which reads the content. A
-    micro-batch that is run again after a failure finds its finished files in the history and skips them.
+    The folder is listed, and what has the path, time and length of a file in the table of earlier deliveries below
+    ``checkpoint`` is left out, so a file that was overwritten under its name comes again. New files go to the batch plan
+    in batches of about ``max_files_per_trigger``, those of one name together. A batch is noted once it is through; one
+    that is run again after a failure finds its finished files in the history and skips them.
     """
-    arrivals = (
-        spark.readStream.format("binaryFile")
-        .schema("path string, modificationTime timestamp, length long, content binary")
-        .option("pathGlobFilter", "*.csv")
-        # Files keep their time when they are moved into the folder: no age is too old.
-        .option("maxFileAge", "36500d")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .load(path)
-        .select("path")
-    )
-
-    def take_in(files: DataFrame, _batch: int) -> None:
-        # At most ``max_files_per_trigger`` names.
-        paths = [literal_path(row.path) for row in files.select(F.col("path")).collect()]
-        if paths:
-            ingest(spark, paths, out, specs, user=user, whole_file_bytes=whole_file_bytes)
-
-    return (
-        arrivals.writeStream.foreachBatch(take_in)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    seen, work = f"{checkpoint}/deliveries", work_path(spark, "arrivals")
+    try:
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+        listed = listed.select("path", F.col("modificationTime").alias("modified"), "length")
+        new = materialize(listed.join(_taken_in(spark, seen), ["path", "modified", "length"], "left_anti"), f"{work}/new")
+        batches = -(-new.count() // max_files_per_trigger)
+        batch = F.pmod(F.xxhash64(F.substring_index("path", "/", -1)), F.lit(max(batches, 1))).alias("batch")
+        # One folder per batch, so that a batch does not read the names of all others.
+        arrivals = materialize(new.select("*", batch).repartition("batch"), f"{work}/batches", "batch")
+        for number in range(batches):
+            files = arrivals.filter(F.col("batch") == number).select("path", "modified", "length")
+            paths = [literal_path(row.path) for row in files.select("path").collect()]
+            if paths:
+                ingest(spark, paths, out, specs, user=user, whole_file_bytes=whole_file_bytes)
+                files.write.mode("append").parquet(seen)
+    finally:
+        drop_work(spark, work)
+    return Intake(Store(out))

@@ -1,6 +1,7 @@
 """Whole intakes over small files."""
 
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -232,6 +233,22 @@ def test_stream_takes_in_what_is_new(spark, drop, tmp_path):
     assert store.read_history(spark).count() == 4
 
 
+def test_stream_takes_in_a_file_that_comes_again_under_its_name(spark, drop, tmp_path):
+    def go():
+        ingest_stream(spark, drop.folder, drop.out, str(tmp_path / "progress")).awaitTermination()
+
+    drop("faturamento_1.csv", billing({"numero_documento": "1"}))
+    drop("faturamento_2.csv", billing({"numero_documento": "2"}))
+    go()
+    again = drop("faturamento_1.csv", billing({"numero_documento": "3"}))  # of the same length
+    os.utime(again, (1, 1))
+    go()
+    go()
+    store = ingest_module.Store(drop.out)
+    assert sorted(r.numero_documento for r in loaded(spark, store)) == ["2", "3"]
+    assert store.read_history(spark).count() == 3
+
+
 def test_counts_add_up(spark, drop):
     rows = [{"numero_documento": str(i), "valor_da_conta": "x" if i % 3 == 0 else "1,0", "cnpj": "" if i % 4 == 0 else "1"} for i in range(50)]
     drop("faturamento_1.csv", billing(*rows[:30]))
