@@ -148,3 +148,12 @@ def shingle_hashes(column: pa.Array, width: int) -> list[np.ndarray]:
         else:
             out.append(np.zeros(0, np.uint64))
     return out
+
+
+def runs(offsets: np.ndarray, most_bytes: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of about ``most_bytes`` bytes, at least one text each; no text is split."""
+    begin = 0
+    while begin < len(offsets) - 1:
+        end = max(int(np.searchsorted(offsets, offsets[begin] + most_bytes, side="right")) - 1, begin + 1)
+        yield begin, end
+        begin = end

@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawlane.llm import counts, decontaminate, packing, pii, quality, secrets, setjoin, tokenfiles, urlfilter, warc
+from rawlane.llm import bytepair, counts, decontaminate, infill, interactions, packing, pii, quality, secrets, setjoin, tokenfiles, urlfilter, warc
 from rawlane.session import work_path
 
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -147,7 +148,24 @@ def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.spelled_spans(secrets.secret_spans(_table(spark, folder, "documents")), secrets.KINDS)
 
 
+
+def op11_infill(spark: SparkSession, folder: str) -> DataFrame:
+    cut = infill.fill_in_middle(_table(spark, folder, "documents"))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return interactions.filter_audit(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(BYTE_BPE)
+    there_and_back = bytepair.decode(bytepair.encode(_table(spark, folder, "documents"), path), path)
+    return there_and_back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_warc, op3_ngram_jaccard_join, op4_personal_data, op5_packing, op6_quality_rules, op7_token_files, op8_token_counts, op9_url_filters, op10_secret_scans)
+    f.__name__: f for f in (op1_decontamination, op2_warc, op3_ngram_jaccard_join, op4_personal_data, op5_packing, op6_quality_rules, op7_token_files, op8_token_counts, op9_url_filters, op10_secret_scans, op11_infill, op12_filter_audit, op13_byte_bpe)
 }
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": decontaminate.SQL, "op6_quality_rules": quality.SQL, "op9_url_filters": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": decontaminate.SQL, "op6_quality_rules": quality.SQL, "op9_url_filters": OP9_SQL, "op11_infill": infill.SQL, "op12_filter_audit": interactions.SQL}
