@@ -26,8 +26,12 @@ from rawlane.llm.arrow_text import buffers, runs
 
 #: Code points of a long text that are looked at together.
 CHUNK = 1 << 18
-#: Bytes of different pieces remembered by a process; beyond that it starts afresh.
-REMEMBERED_BYTES = 1 << 24
+#: Different pieces, and bytes of them, remembered by a process; beyond that it starts afresh.
+REMEMBERED, REMEMBERED_BYTES = 1 << 18, 1 << 24
+#: Pieces up to this length are merged many at a time, longer ones (few) one by one.
+TOGETHER_BYTES = 64
+#: Ids that are decoded at a time.
+DECODED_TOGETHER = 1 << 16
 
 LETTER, NUMBER, OTHER, CONTRACTION_2, CONTRACTION_3, INNER_SPACE, LAST_BLANK, LAST_SPACE = SYMBOLS = range(8)
 # States: what the code points since the last beginning are. A blank is a U+0020 that the next piece begins with.
@@ -94,11 +98,14 @@ def code_point_classes() -> np.ndarray:
     bytes: it leaves out what its pattern doesn't match.
     """
     if not _CLASSES:
-        every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+        every = np.arange(0x110000, dtype="<u4")
+        every = every[(every < 0xD800) | (every > 0xDFFF)]
         classes = np.full(0x110000, OTHER, np.uint8)
         for pattern, kind in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"\s", INNER_SPACE)):
             asked = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
-            classes[np.frombuffer(bytes(asked.encode_ordinary(every)).decode().encode("utf-32-le"), "<u4")] = kind
+            for some in np.array_split(every, 32):
+                matched = bytes(asked.encode_ordinary(some.tobytes().decode("utf-32-le")))
+                classes[np.frombuffer(matched.decode().encode("utf-32-le"), "<u4")] = kind
         _CLASSES.append(classes)
     return _CLASSES[0]
 
@@ -179,7 +186,7 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarra
 
 
 class Ranks:
-    """A vocabulary of ranks, the pieces merged so far, and the bytes of every id."""
+    """A vocabulary of ranks, and the pieces merged so far."""
 
     def __init__(self, path: str):
         with open(path, "rb") as file:
@@ -189,63 +196,114 @@ class Ranks:
         self.lengths[[self.ranks[t] for t in tokens]] = [len(t) for t in tokens]
         self.firsts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.merged = _Merged(self.ranks)
+        self.pairs: tuple[np.ndarray, np.ndarray] | None = None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes: dict[bytes, int] = {}  # number of every piece met so far
+        self.ids, self.bounds = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
+        self.held = 0
+
+    def _keep(self, found: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
+        known, used = len(self.codes), int(self.bounds[len(self.codes)])
+        while known + len(found) + 1 > len(self.bounds):
+            self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
+        while used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[used : used + len(ids)] = ids
+        self.bounds[known + 1 : known + len(found) + 1] = used + np.cumsum(counts)
+        self.codes.update(zip(found, range(known, known + len(found)), strict=True))
+        self.held += sum(map(len, found))
+
+    def _learn(self, found: set[bytes]) -> None:
+        whole = [x for x in found if x in self.ranks]
+        self._keep(whole, np.array([self.ranks[x] for x in whole], np.int32), np.ones(len(whole), np.int64))
+        short = [x for x in found if len(x) <= TOGETHER_BYTES and x not in self.ranks]
+        if short:
+            if self.pairs is None:
+                self.pairs = pair_ranks(self.ranks)
+            self._keep(short, *merged_together(short, self.ranks, *self.pairs))
+        for x in found:
+            if len(x) > TOGETHER_BYTES and x not in self.ranks:
+                ids = merge(x, self.ranks)
+                self._keep([x], np.array(ids, np.int32), np.array([len(ids)]))
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Runs of texts: number of the first row, ids of its texts one after another, ids before each text."""
         for row, data, starts, firsts in pieces(column):
-            self.merged.make_room()
+            if len(self.codes) > REMEMBERED or self.held > REMEMBERED_BYTES:
+                self._forget()
             ends = [*starts.tolist(), len(data)]
             slices = [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-            codes = np.fromiter(map(self.merged.__getitem__, slices), np.int64, len(slices))
-            yield row, *self.merged.ids_of(codes, firsts)
+            if found := set(slices).difference(self.codes):
+                self._learn(found)
+            codes = np.fromiter(map(self.codes.__getitem__, slices), np.int64, len(slices))
+            lengths = self.bounds[codes + 1] - self.bounds[codes]
+            before = np.append(0, np.cumsum(lengths))
+            yield row, self.ids[np.repeat(self.bounds[codes] - before[:-1], lengths) + np.arange(before[-1])], before[firsts]
 
     def text(self, ids: np.ndarray, offsets: np.ndarray) -> bytes:
         """The bytes of ids, each put where ``offsets`` says that it begins (from the first one on)."""
-        if not len(ids):
-            return b""
-        lengths = self.lengths[ids]
-        begins = offsets - offsets[0]
-        if (np.diff(begins) != lengths[:-1]).any():
+        if (np.diff(offsets) != self.lengths[ids[:-1]]).any():
             raise ValueError("ids and offsets don't belong together")
-        places = np.arange(int(begins[-1] + lengths[-1]))
-        return self.bytes[np.repeat(self.firsts[ids] - begins, lengths) + places].tobytes()
-
-
-class _Merged(dict):
-    """Number of every piece met so far; a new one is merged when it is asked for."""
-
-    def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
-        self.ranks = ranks
-        self._forget()
-
-    def _forget(self) -> None:
-        self.clear()
-        self.ids, self.bounds, self.held = [], [0], 0
-        self.arrays = (np.zeros(0, np.int32), np.zeros(1, np.int64))
-
-    def make_room(self) -> None:
-        if self.held > REMEMBERED_BYTES:
-            self._forget()
-
-    def __missing__(self, piece: bytes) -> int:
-        self.ids.extend(merge(piece, self.ranks))
-        self.bounds.append(len(self.ids))
-        self.held += len(piece) + 64
-        self[piece] = len(self.bounds) - 2
-        return len(self.bounds) - 2
-
-    def ids_of(self, codes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces one after another, and how many come before each of the pieces ``firsts``."""
-        ids, bounds = self.arrays
-        if len(bounds) < len(self.bounds):
-            ids = np.append(ids, np.array(self.ids[len(ids) :], np.int32))
-            bounds = np.append(bounds, np.array(self.bounds[len(bounds) :], np.int64))
-            self.arrays = (ids, bounds)
-        lengths = bounds[codes + 1] - bounds[codes]
-        before = np.append(0, np.cumsum(lengths))
-        return ids[np.repeat(bounds[codes] - before[:-1], lengths) + np.arange(before[-1])], before[firsts]
+        out = []
+        for at in range(0, len(ids), DECODED_TOGETHER):
+            some, begins = ids[at : at + DECODED_TOGETHER], offsets[at : at + DECODED_TOGETHER]
+            begins, lengths = begins - begins[0], self.lengths[some]
+            places = np.arange(int(begins[-1] + lengths[-1]))
+            out.append(self.bytes[np.repeat(self.firsts[some] - begins, lengths) + places].tobytes())
+        return b"".join(out)
+
+
+def pair_ranks(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all pairs of ids whose bytes together have a rank (left id, then 32 bits of right id), ascending, and that rank."""
+    found = {}
+    for token, rank in ranks.items():
+        for cut in range(1, len(token)):
+            if (left := ranks.get(token[:cut])) is not None and (right := ranks.get(token[cut:])) is not None:
+                found[left << 32 | right] = rank
+    keys = np.array(sorted(found), np.int64)
+    return keys, np.array([found[k] for k in keys.tolist()], np.int64)
+
+
+_NEVER = np.int64(1 << 62)
+
+
+def merged_together(found: list[bytes], ranks: dict[bytes, int], keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of many pieces one after another, and how many each has, by joining the best pair of every piece at a time."""
+    of_byte = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+    parts = of_byte[np.frombuffer(b"".join(found), np.uint8)]
+    piece = np.repeat(np.arange(len(found)), [len(x) for x in found])
+
+    def rank_after(at: np.ndarray) -> np.ndarray:
+        """Of parts and the ones after them; never for the last one of a piece."""
+        right = np.minimum(at + 1, len(parts) - 1)
+        asked = parts[at] << 32 | parts[right]
+        place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        return np.where((keys[place] == asked) & (piece[at] == piece[right]) & (right > at), values[place], _NEVER)
+
+    best, done = rank_after(np.arange(len(parts))), []
+    while len(parts):
+        firsts = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
+        lengths = np.diff(np.append(firsts, len(parts)))
+        least = np.repeat(np.minimum.reduceat(best, firsts), lengths)
+        ended = least == _NEVER
+        if ended.any():
+            done.append((piece[ended], parts[ended]))
+            parts, piece, best, least = (x[~ended] for x in (parts, piece, best, least))
+            if not len(parts):
+                break
+        at = np.flatnonzero(best == least)
+        at = at[np.append(True, piece[at[1:]] != piece[at[:-1]])]  # the leftmost of each piece
+        parts[at] = best[at]  # the rank of a pair is the id of the two together
+        stay = np.ones(len(parts), bool)
+        stay[at + 1] = False
+        at = at - np.arange(len(at))  # where they are without the parts after them: one goes before each next one
+        parts, piece, best = parts[stay], piece[stay], best[stay]
+        touched = np.union1d(at, np.maximum(at - 1, 0))
+        best[touched] = rank_after(touched)
+    pieces_, ids = (np.concatenate(x) for x in zip(*done, strict=True))
+    return ids[np.argsort(pieces_, kind="stable")].astype(np.int32), np.bincount(pieces_, minlength=len(found))
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -294,20 +352,30 @@ def encode(docs: DataFrame, ranks_path: str, doc_id: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = ranks(ranks_path)
+
+        def rows(names: pa.Array, ids: list[bytes], offsets: list[bytes]) -> pa.RecordBatch:
+            counts = pa.array([len(x) // 4 for x in ids], pa.int64())
+            return pa.RecordBatch.from_arrays([names, counts, pa.array(ids, pa.binary()), pa.array(offsets, pa.binary())], schema.names)
+
         for batch in batches:
-            ids, offsets = ([[] for _ in range(batch.num_rows)] for _ in range(2))
-            size = [0] * batch.num_rows
+            names, last, held = batch.column(0), None, ([], [], 0)  # of a text in several runs
             for row, found, bounds in vocabulary.encode(batch.column(1)):
+                if last is not None and row != last:
+                    yield rows(names.slice(last, 1), [b"".join(held[0])], [b"".join(held[1])])
+                    last, held = None, ([], [], 0)
                 lengths = vocabulary.lengths[found]
                 begins = np.cumsum(lengths) - lengths
-                for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True), row):
-                    if b > a:
-                        ids[i].append(found[a:b].astype("<u4").tobytes())
-                        offsets[i].append((begins[a:b] - begins[a] + size[i]).astype("<u4").tobytes())
-                        size[i] += int(begins[b - 1] + lengths[b - 1] - begins[a])
-            joined = [b"".join(x) for x in ids]
-            columns = [batch.column(0), pa.array([len(x) // 4 for x in joined], pa.int64()), pa.array(joined, pa.binary()), pa.array([b"".join(x) for x in offsets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
+                if len(bounds) == 2:
+                    held[0].append(found.astype("<u4").tobytes())
+                    held[1].append((begins + held[2]).astype("<u4").tobytes())
+                    last, held = row, (held[0], held[1], held[2] + int(lengths.sum()))
+                    continue
+                own = np.repeat(np.append(begins, 0)[np.minimum(bounds[:-1], len(begins))], np.diff(bounds))
+                flat, placed, at = found.astype("<u4").tobytes(), (begins - own).astype("<u4").tobytes(), (4 * bounds).tolist()
+                cuts = list(zip(at, at[1:], strict=False))
+                yield rows(names.slice(row, len(cuts)), [flat[a:b] for a, b in cuts], [placed[a:b] for a, b in cuts])
+            if last is not None:
+                yield rows(names.slice(last, 1), [b"".join(held[0])], [b"".join(held[1])])
 
     return docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).mapInArrow(run, schema)
 
@@ -323,8 +391,10 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = ranks(ranks_path)
         for batch in batches:
-            pairs = zip(batch.column(of_ids).to_pylist(), batch.column(of_offsets).to_pylist(), strict=True)
-            texts = [vocabulary.text(np.frombuffer(i, "<u4"), np.frombuffer(o, "<u4").astype(np.int64)) for i, o in pairs]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in at), pa.array(texts, pa.binary())], schema.names)
+            for begin in range(0, batch.num_rows, 256):
+                some = batch.slice(begin, 256)
+                pairs = zip(some.column(of_ids).to_pylist(), some.column(of_offsets).to_pylist(), strict=True)
+                texts = [vocabulary.text(np.frombuffer(i, "<u4"), np.frombuffer(o, "<u4")) for i, o in pairs]
+                yield pa.RecordBatch.from_arrays([*(some.column(i) for i in at), pa.array(texts, pa.binary())], schema.names)
 
     return encoded.mapInArrow(run, schema)
