@@ -4,6 +4,7 @@ import collections
 import hashlib
 import re
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -64,6 +65,13 @@ def test_all_rows(spark, odd_docs, no_docs):
     assert got == collections.Counter(plain_version(*r) for r in given_rows)
     assert {r.form for r in rows} == {"plain", "psm", "spm"}
     assert collections.Counter((r.doc_id, r.restored) for r in rows) == collections.Counter((i, t or "") for i, t in given_rows)
+    with duckdb.connect() as db:
+        db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        db.executemany("INSERT INTO documents VALUES (?, ?)", given_rows)
+        names = ("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+        found = db.execute(f"SELECT {', '.join(names)} FROM ({infill.SQL})").fetchall()
+    digest = lambda x: hashlib.sha256((x or "").encode()).hexdigest()
+    assert collections.Counter(found) == collections.Counter((*p[:5], digest(p[5]), digest(r[1])) for r, p in ((r, plain_version(*r)) for r in given_rows))
     clashing = infill.fill_in_middle(odd_docs.withColumn("form", F.lit(1)).withColumn("output", F.lit("x")))
     assert clashing.count() == odd_docs.count()
     assert infill.fill_in_middle(no_docs).collect() == []
