@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from rawlane.functions.text import null_tokens_sql, percent_decoded
 from rawlane.operators.schema import conform_cells, first_positions
-from rawlane.sources.manifest import ASSEMBLED, BLANKS, LATIN1, WHOLE, prefix_before, read_lines
-from rawlane.sources.quoting import bare_text, number_records
+from rawlane.sources.manifest import ASSEMBLED, BLANKS, LATIN1, prefix_before, read_lines
+from rawlane.sources.quoting import bare_text, number_records, pieces, record_cells
 from rawlane.sources.storage import literal_path
 from rawlane.specs import DatasetSpec
 
@@ -38,7 +38,7 @@ def keep_record(line: Column, sep: str, columns: int) -> Column:
 
 
 def _read_split_records(spark: SparkSession, paths: list[str], sep: str, encoding: str, columns: int) -> DataFrame:
-    """Records of large files in which quotes hide line ends: put together from split lines, then parsed."""
+    """Records of files in which quotes hide line ends: put together from the pieces of split lines, then parsed."""
     lines = read_lines(spark, [literal_path(p) for p in paths]).withColumnRenamed("file_name", "source_filename")
     if encoding == LATIN1:
         lines = lines.withColumn("value", F.decode(F.col("value").cast("binary"), LATIN1))
@@ -47,10 +47,11 @@ def _read_split_records(spark: SparkSession, paths: list[str], sep: str, encodin
         "source_filename",
         "block",
         F.monotonically_increasing_id().alias("pos"),
-        F.rtrim("value", F.lit("\r")).alias("value"),
+        "value",
     )
-    numbered = number_records(lines, sep)
-    parts = F.sort_array(F.collect_list(F.struct("block", "pos", "value")))
+    numbered = number_records(pieces(lines), sep)
+    parts = F.sort_array(F.collect_list(F.struct("block", "pos", "value", "end")))
+    text = F.concat_ws("", F.flatten(F.transform("parts", lambda p: F.array(p["value"], p["end"]))))
     records = (
         numbered.groupBy("uri", "source_filename", "record")
         .agg(parts.alias("parts"))
@@ -59,17 +60,16 @@ def _read_split_records(spark: SparkSession, paths: list[str], sep: str, encodin
             "source_filename",
             "record",
             F.col("parts")[0]["block"].alias("block"),
-            F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("_line"),
+            # without the line end after the record
+            F.substring(text, F.lit(1), F.length(text) - F.length(F.element_at("parts", -1)["end"])).alias("_line"),
         )
         .filter((F.col("record") > 0) & keep_record(F.col("_line"), sep, columns))
     )
     # A split starts a bounded number of records, so this window is bounded too.
     pos = F.row_number().over(Window.partitionBy("uri", "block").orderBy("record"))
     cells = _cell_names(columns)
-    parsed = F.from_csv("_line", ", ".join(f"{c} string" for c in cells), {"sep": sep, "escape": '"'})
-    return records.select(
-        "uri", "source_filename", "block", pos.cast("long").alias("pos"), parsed.alias("_cells")
-    ).select("uri", "source_filename", "block", "pos", "_cells.*")
+    parsed = records.select("uri", "source_filename", "block", pos.cast("long").alias("pos"), record_cells(F.col("_line"), sep).alias("_cells"))
+    return parsed.select("uri", "source_filename", "block", "pos", *[F.get("_cells", F.lit(i)).alias(c) for i, c in enumerate(cells)])
 
 
 def _read_group(spark: SparkSession, paths: list[str], sep: str, encoding: str, layout: str, columns: int) -> DataFrame:
@@ -84,7 +84,6 @@ def _read_group(spark: SparkSession, paths: list[str], sep: str, encoding: str,
         .option("sep", sep)
         .option("encoding", encoding)
         .option("escape", '"')
-        .option("multiLine", layout == WHOLE)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_line")
         # With pruning on, records would be measured against the selected columns only.

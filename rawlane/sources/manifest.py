@@ -1,7 +1,8 @@
 """The manifest: one row per input file with everything needed to route, check and read it.
 
 Files up to ``whole_file_bytes`` are described from their bytes, one file per row. Larger files are never held in one
-row or one task: they are described from their lines, which Spark reads in splits.
+row or one task: they are described from their lines, which Spark reads in splits. Both give the same facts, so the limit
+may change at any time.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 
 from rawlane.functions.text import percent_decoded, strip
 from rawlane.session import work_path
-from rawlane.sources.quoting import ends_in_quotes, files_ending_in_quotes, opens_quote
+from rawlane.sources.digest import digest_of_lines, digest_of_splits, line_words, split_sums
+from rawlane.sources.quoting import ends_in_quotes, files_ending_in_quotes, hides_records, pieces
 from rawlane.sources.storage import materialize
 from rawlane.specs import DEFAULT_SPECS, DatasetSpec
 
@@ -22,8 +24,7 @@ WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
 # How a file's records are read.
 LINES = "lines"  # every line is a record: split freely
-WHOLE = "whole"  # quotes may hide line ends, small file: one task reads it
-ASSEMBLED = "assembled"  # quotes hide line ends, large file: records are put together from split lines
+ASSEMBLED = "assembled"  # quotes hide line ends: records are put together from pieces of lines
 
 # Separators in order of preference.
 SEPARATORS = (";", ",", "\t")
@@ -38,7 +39,6 @@ MANIFEST_COLUMNS = (
     "length",
     "modified",
     "file_hash",
-    "hash_kind",
     "encoding",
     "sep",
     "header",
@@ -80,7 +80,7 @@ def _first_line(text: Column) -> Column:
 
 
 def describe_content(files: DataFrame) -> DataFrame:
-    """Fingerprint, encoding, separator, header and layout of files given with their whole ``content``."""
+    """Fingerprint, MD5, encoding, separator, header and layout of files given with their whole ``content``."""
     valid = F.is_valid_utf8(F.col("content").cast("string"))
     decoded = files.withColumn("_utf8", valid).withColumn(
         "_text", F.when(F.col("_utf8"), F.col("content").cast("string")).otherwise(F.decode("content", LATIN1))
@@ -91,14 +91,21 @@ def describe_content(files: DataFrame) -> DataFrame:
     header_line = F.when(strip(first) != "", first).otherwise(_first_line(F.ltrim(text, F.lit(BLANKS))))
     lined = decoded.withColumns({"sep": detect_separator(first), "_header": _without_bom(header_line)})
     blank_record = (F.col("sep") == "\t") & text.rlike(r"(?m)^[ \t]*\t[ \t]*\r?$")
+    # One character per byte, so that lines have their bytes whatever the encoding.
+    lines = F.split(F.decode("content", LATIN1), "\n")
+
+    def any_hides(sep: str) -> Column:
+        return (F.col("sep") == sep) & F.exists(lines, lambda line: hides_records(line, sep))
+
+    hidden = reduce(Column.__or__, map(any_hides, SEPARATORS))
     return lined.select(
         *[c for c in files.columns if c != "content"],
-        F.md5("content").alias("file_hash"),
-        F.lit("md5").alias("hash_kind"),
+        digest_of_lines(F.length("content"), lines).alias("file_hash"),
+        F.md5("content").alias("md5"),
         F.when(F.col("_utf8"), F.lit(UTF8)).otherwise(F.lit(LATIN1)).alias("encoding"),
         "sep",
         F.when(strip(F.col("_header")) != "", header_cells(F.col("_header"), F.col("sep"))).alias("header"),
-        F.when(text.contains('"') | blank_record, F.lit(WHOLE)).otherwise(F.lit(LINES)).alias("layout"),
+        F.when((text.contains('"') & hidden) | blank_record, F.lit(ASSEMBLED)).otherwise(F.lit(LINES)).alias("layout"),
         ends_in_quotes(_without_bom(text), F.col("sep")).alias("unclosed"),
     )
 
@@ -129,67 +136,54 @@ def prefix_before(value: Column, file: str = "uri", block: str = "block") -> Col
 def describe_lines(spark: SparkSession, paths: str | Sequence[str], larger_than: int, work: str) -> DataFrame:
     """The same facts for files larger than ``larger_than`` bytes, gathered from their split lines.
 
-    The fingerprint combines a hash of (line number, line) over all lines, so it depends on content and order but not
-    on how the file was split. Two scans: one counts lines per split, one hashes with the line numbers that gives. Files
-    with quotes that hide line ends are scanned once more, to see whether they end inside quotes.
+    Two scans: one sums up every split, the digest of its lines included, the other picks the first lines of each file's
+    first split. Files with quotes that hide line ends are scanned once more, to see whether they end inside quotes.
     """
     # The filter on file size is applied to the file listing: smaller files are not opened.
     lines = read_lines(spark, paths).filter(F.col("length") > larger_than)
     lines = lines.withColumn("pos", F.monotonically_increasing_id())
     value = F.col("value")
     text_blank = F.btrim(value, F.lit(BLANKS)) == ""
-    blocks = lines.groupBy("uri", "file_name", "length", "modified", "block").agg(
+    blocks = lines.withColumn("_words", line_words(value)).groupBy("uri", "file_name", "length", "modified", "block").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("pos").alias("lo"),
         F.min(F.when(~text_blank, F.col("pos"))).alias("lo_text"),
         F.bool_and(F.is_valid_utf8(value)).alias("utf8"),
-        *[F.bool_or(opens_quote(value, sep)).alias(f"opens_{i}") for i, sep in enumerate(SEPARATORS)],
+        *[F.bool_or(hides_records(value, sep)).alias(f"hides_{i}") for i, sep in enumerate(SEPARATORS)],
         F.bool_or(text_blank & value.contains("\t")).alias("tabs"),
+        *split_sums(F.col("pos"), F.col("_words")),
     )
     blocks = materialize(blocks.withColumn("base", prefix_before(F.col("n"))), f"{work}/blocks")
     per_file = blocks.groupBy("uri", "file_name", "length", "modified").agg(
-        F.sum("n").alias("n"),
+        digest_of_splits(F.col("length"), F.col("n"), F.col("base"), F.col("lo")).alias("file_hash"),
         F.bool_and("utf8").alias("utf8"),
-        *[F.bool_or(f"opens_{i}").alias(f"opens_{i}") for i in range(len(SEPARATORS))],
+        *[F.bool_or(f"hides_{i}").alias(f"hides_{i}") for i in range(len(SEPARATORS))],
         F.bool_or("tabs").alias("tabs"),
-        F.min(F.col("base") + F.col("lo_text") - F.col("lo")).alias("header_no"),
-    )
-    numbered = lines.select("uri", "block", "pos", "value").join(
-        blocks.select("uri", "block", "base", "lo", F.col("lo_text")), ["uri", "block"]
     )
-    line_no = F.col("base") + F.col("pos") - F.col("lo")
-    # Only the first line and the first non-blank line of a split can be the separator or header line.
-    notable = (line_no == 0) | (F.col("pos") == F.col("lo_text"))
-    hashed = numbered.groupBy("uri").agg(
-        F.bit_xor(F.xxhash64(line_no, value)).alias("x"),
-        F.bit_xor(F.xxhash64(F.lit("b"), value, line_no)).alias("y"),
-        F.collect_list(F.when(notable & (F.col("block") == 0), F.struct(line_no.alias("no"), value))).alias("notable"),
+    # Only the first line and the first non-blank line of the first split can be the separator or header line.
+    first = blocks.filter("block = 0")
+    heads = first.select("uri", F.col("lo").alias("pos"), F.lit("first").alias("which")).unionByName(
+        first.filter("lo_text IS NOT NULL").select("uri", F.col("lo_text").alias("pos"), F.lit("text").alias("which"))
     )
-    facts = per_file.join(hashed, "uri")
+    heads = lines.filter("block = 0").select("uri", "pos", "value").join(heads, ["uri", "pos"])
+    heads = heads.groupBy("uri").agg(*[F.collect_list(F.when(F.col("which") == w, value))[0].alias(f"_{w}") for w in ("first", "text")])
 
-    def decoded(line: Column) -> Column:
-        text = F.when(F.col("utf8"), line).otherwise(F.decode(line.cast("binary"), LATIN1))
-        return F.rtrim(text, F.lit("\r"))
+    def decoded(line: str) -> Column:
+        return F.when(F.col("utf8"), F.col(line)).otherwise(F.decode(F.col(line).cast("binary"), LATIN1))
 
-    def line_at(number: Column) -> Column:
-        return F.get(F.filter("notable", lambda x: x["no"] == number), F.lit(0))["value"]
-
-    facts = facts.withColumns(
-        {
-            "sep": detect_separator(decoded(line_at(F.lit(0)))),
-            "_header": _without_bom(decoded(line_at(F.col("header_no")))),
-        }
-    )
+    facts = per_file.join(heads, "uri", "left")
+    start = _first_line(F.coalesce(decoded("_first"), F.lit("")))
+    header_line = F.when(strip(start) != "", start).otherwise(_first_line(F.ltrim(decoded("_text"), F.lit(BLANKS))))
+    facts = facts.withColumns({"sep": detect_separator(start), "_header": _without_bom(header_line)})
     hidden = F.col("tabs") & (F.col("sep") == "\t")
     for i, sep in enumerate(SEPARATORS):
-        hidden = hidden | (F.col(f"opens_{i}") & (F.col("sep") == sep))
+        hidden = hidden | (F.col(f"hides_{i}") & (F.col("sep") == sep))
     described = facts.select(
         "uri",
         "file_name",
         "length",
         "modified",
-        F.md5(F.concat_ws("|", "length", "n", "x", "y")).alias("file_hash"),
-        F.lit("lines").alias("hash_kind"),
+        "file_hash",
         F.when(F.col("utf8"), F.lit(UTF8)).otherwise(F.lit(LATIN1)).alias("encoding"),
         "sep",
         F.when(strip(F.col("_header")) != "", header_cells(F.col("_header"), F.col("sep"))).alias("header"),
@@ -197,12 +191,11 @@ def describe_lines(spark: SparkSession, paths: str | Sequence[str], larger_than:
     )
     described = materialize(described, f"{work}/described")
     # The state at the end of the last split, found from the lines as assembled reading sees them.
-    ended = F.rtrim("value", F.lit("\r")).alias("value")
     unclosed = []
     for sep in SEPARATORS:
         mine = described.filter((F.col("layout") == ASSEMBLED) & (F.col("sep") == sep)).select("uri")
         quoted = lines.filter(F.col("value").contains('"')).join(mine, "uri", "left_semi")
-        unclosed.append(files_ending_in_quotes(quoted.select("uri", "block", "pos", ended), sep))
+        unclosed.append(files_ending_in_quotes(pieces(quoted.select("uri", "block", "pos", "value")), sep))
     unclosed = reduce(DataFrame.unionByName, unclosed).withColumn("unclosed", F.lit(True))
     return described.join(unclosed, "uri", "left").withColumn("unclosed", F.coalesce("unclosed", F.lit(False)))
 
@@ -230,7 +223,7 @@ def build_manifest(
         )
     )
     # The length filter is pushed to the source: larger files are listed, but not read here.
-    small = describe_content(files.filter(F.col("length") <= whole_file_bytes))
+    small = describe_content(files.filter(F.col("length") <= whole_file_bytes)).drop("md5")
     manifest = small
     if not files.filter(F.col("length") > whole_file_bytes).select("uri").isEmpty():
         large = describe_lines(spark, paths, whole_file_bytes, work or work_path(spark, "manifest"))

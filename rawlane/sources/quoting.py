@@ -24,11 +24,52 @@ def bare_text(line: Column, sep: str) -> Column:
     return F.when(line.contains('"'), F.regexp_replace(single, f'(^|{_mark(sep)})"[^"]*+"', "$1")).otherwise(line)
 
 
+def has_tail(line: Column, sep: str) -> Column:
+    """True when text follows the closing quote of a field, before the next separator."""
+    single = F.replace(line, F.lit('""'), F.lit(""))
+    empty = line.rlike(f'(^|{_mark(sep)})(?:"")++[^"{_mark(sep)}\\r\\n]')
+    return line.contains('"') & (empty | single.rlike(f'(^|{_mark(sep)})"[^"]*+"[^{_mark(sep)}\\r\\n]'))
+
+
 def opens_quote(line: Column, sep: str) -> Column:
     """True when a line that starts outside quotes ends inside them."""
     return line.contains('"') & bare_text(line, sep).rlike(f'(^|{_mark(sep)})"')
 
 
+def hides_records(line: Column, sep: str) -> Column:
+    """True when a physical line (up to ``\\n``) cannot be read by itself by a reader of plain lines: it ends inside
+    quotes, has a lone ``\\r`` next to quotes, or has text after a closing quote."""
+    broken = F.rtrim(line, F.lit("\r")).contains("\r")
+    return line.contains('"') & (broken | opens_quote(F.rtrim(line, F.lit("\r")), sep) | has_tail(line, sep))
+
+
+def pieces(lines: DataFrame) -> DataFrame:
+    """Physical lines (up to ``\\n``) as pieces between any two line ends: ``\\n``, ``\\r\\n`` or a lone ``\\r``.
+
+    Each has ``value``, ``end`` (the characters of the line end after it, which count where they are quoted) and ``pos``,
+    now line and piece. A ``\\r`` before ``\\n`` belongs to it, so most lines are one piece.
+    """
+    others = [c for c in lines.columns if c not in ("pos", "value")]
+    whole = F.when(F.col("value").endswith("\r"), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    cut = lines.select(*others, "pos", F.col("value").endswith("\r").alias("_cr"), F.split(whole, "\r").alias("_parts"))
+    spread = cut.select(*others, "pos", "_cr", F.size("_parts").alias("_n"), F.posexplode("_parts").alias("_part", "value"))
+    end = F.when(F.col("_part") < F.col("_n") - 1, "\r").when(F.col("_cr"), "\r\n").otherwise("\n")
+    return spread.select(*others, F.struct("pos", F.col("_part").alias("part")).alias("pos"), "value", end.alias("end"))
+
+
+def record_cells(record: Column, sep: str) -> Column:
+    """The cells of a record. A quoted cell may hold separators and line ends; text after its closing quote belongs to it."""
+    mark = _mark(sep)
+    found = F.regexp_extract_all(F.concat(F.lit(sep), record), F.lit(f'{mark}("[^"]*+(?:""[^"]*+)*+"?+[^{mark}]*+|[^{mark}]*+)'), F.lit(1))
+    return F.transform(
+        found,
+        lambda c: F.when(
+            c.startswith('"'),
+            F.concat(F.replace(F.regexp_extract(c, '(?s)^"([^"]*+(?:""[^"]*+)*+)', 1), F.lit('""'), F.lit('"')), F.regexp_extract(c, '(?s)^"[^"]*+(?:""[^"]*+)*+"?+(.*)$', 1)),
+        ).otherwise(c),
+    )
+
+
 def ends_in_quotes(text: Column, sep: Column) -> Column:
     """True when a whole file's text ends inside a quoted field, by the rules of ``bare_text`` over all its lines."""
     start = F.concat(F.lit("(^|[\\r\\n"), sep, F.lit("])\""))
@@ -90,7 +131,7 @@ def files_ending_in_quotes(lines: DataFrame, sep: str) -> DataFrame:
 def number_records(lines: DataFrame, sep: str) -> DataFrame:
     """Add ``record``: 0 for the header line, then 1, 2, ... along each file, counting blank lines too.
 
-    ``lines`` has ``uri, block, pos, value``. Windows run over one split each, whose size is bounded; across splits
+    ``lines`` has ``uri, block, pos, value``, as ``pieces`` gives them. Windows run over one split each, whose size is bounded; across splits
     only per-split summaries are combined.
     """
     split = Window.partitionBy("uri", "block").orderBy("pos")

@@ -35,7 +35,7 @@ def document_files(t: Tables) -> DataFrame:
 
 @check("SELECT doc_id, md5(text) AS file_hash FROM documents")
 def file_fingerprint(t: Tables) -> DataFrame:
-    return describe_content(document_files(t)).select("doc_id", "file_hash")
+    return describe_content(document_files(t)).select("doc_id", F.col("md5").alias("file_hash"))
 
 
 @check(
@@ -61,7 +61,7 @@ def detect_encoding(t: Tables) -> DataFrame:
 )
 def skip_seen_files(t: Tables) -> DataFrame:
     """Every tenth document was loaded before; of equal documents the first counts."""
-    manifest = describe_content(document_files(t)).withColumn("path", F.lpad(F.col("doc_id").cast("string"), 12, "0"))
+    manifest = describe_content(document_files(t)).withColumn("file_hash", F.col("md5")).withColumn("path", F.lpad(F.col("doc_id").cast("string"), 12, "0"))
     earlier = manifest.filter(F.col("doc_id") % 10 == 0)
     failed = manifest.filter(F.col("doc_id") % 10 == 1).select("file_hash", F.lit("erro").alias("status"))
     history = earlier.select("file_hash", F.lit("sucesso").alias("status")).union(failed)

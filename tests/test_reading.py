@@ -7,8 +7,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import types as T
 
+from rawlane.functions.text import NULL_TOKENS
 from rawlane.sources.delimited import read_delimited, with_record_numbers
-from rawlane.sources.manifest import ASSEMBLED, LINES, WHOLE, build_manifest, route_files
+from rawlane.sources.manifest import ASSEMBLED, LINES, build_manifest, route_files
 from rawlane.specs import BASE_OFICIAL, DatasetSpec
 
 SPEC = DatasetSpec(
@@ -34,6 +35,40 @@ def plain(content: bytes) -> list[tuple]:
     return [(*row, i + 2) for i, row in enumerate(frame.itertuples(index=False, name=None))]
 
 
+def by_characters(content: bytes, sep: str = ";") -> list[tuple]:
+    """The same, one character after another; the library can fail on files with lone carriage returns."""
+    text, rows, row, cell = content.decode(), [], [], ""
+    state, i = "start", 0  # of a cell; or plain, quoted, closed
+
+    def close_row() -> None:
+        nonlocal row, cell
+        if row or cell.strip(" \t") or state in ("quoted", "closed"):
+            rows.append([*row, cell])
+        row, cell = [], ""
+
+    while i < len(text):
+        c = text[i]
+        if state == "quoted" and c != '"':
+            cell += c
+        elif c == '"' and state in ("start", "quoted", "closed"):
+            cell += '"' if state == "closed" else ""
+            state = "closed" if state == "quoted" else "quoted"
+        elif c == sep:
+            row, cell, state = [*row, cell], "", "start"
+        elif c in "\r\n":
+            close_row()
+            state = "start"
+            i += text[i : i + 2] == "\r\n"
+        else:
+            cell, state = cell + c, "plain"
+        i += 1
+    if state != "start" or row:
+        close_row()
+    width = len(rows[0])
+    kept = [[*r, *[None] * (width - len(r))] for r in rows[1:] if len(r) <= width]
+    return [(*(None if x in NULL_TOKENS else x for x in r), i + 2) for i, r in enumerate(kept)]
+
+
 def read(spark, folder, limit, spec=SPEC):
     manifest = route_files(build_manifest(spark, str(folder), limit), [spec])
     layouts = {r.file_name: r.layout for r in manifest.collect()}
@@ -57,6 +92,12 @@ FILES = {
     "dados_tokens.csv": b"a;b;c\nNA;null;NaN\nN/A;  ;None\n#N/A;<NA>;x\n",
     "dados espaco+1 [x].csv": b"a;b;c\n1;2;3\n",
     "dados_vazio.csv": b"a;b;c\n",
+    "dados_cr.csv": b"a;b;c\r1;2;3\r\r4;5\r6;7;8;9\r10;11;12\r",
+    "dados_fins.csv": b"a;b;c\r\n1;2;3\r4;5;6\n\n7;8;9\r\r\n10;11;12",
+    "dados_cr_aspas.csv": b'a;b;c\r"x\ry";2;3\r4;"p\r\nq";6\r7;"u\nv";""\r',
+    "dados_crlf_aspas.csv": b'a;b;c\r\n"x\r\ny";2;3\r\n"\r\n";"\r";"\n"\r\n4;5;6\r\n',
+    "dados_caudas.csv": b'a;b;c\n"x"y;2;3\n"";""z;"a""b"c"d\n"p\nq"r;"s"";t";"u" \n"v"w"x;y"z;1\n',
+    "dados_caudas_tab.csv": b'a\tb\tc\n"x"y\t2\t3\n4\t"a\tb" c\t6\n',
 }
 
 
@@ -73,18 +114,18 @@ def test_fixture_files(spark, folder, settings, limit):
         got, layouts = read(spark, folder, limit)
     for name, content in FILES.items():
         assert got.get(name, []) == plain(content), name
-    hidden = WHOLE if limit else ASSEMBLED
-    assert layouts["dados_irregular.csv"] == hidden
-    assert layouts["dados_tab.csv"] == hidden
-    assert layouts["dados_virgula.csv"] == LINES
+    for name in ("dados_irregular.csv", "dados_tab.csv", "dados_cr_aspas.csv", "dados_caudas.csv"):
+        assert layouts[name] == ASSEMBLED
+    for name in ("dados_virgula.csv", "dados_cr.csv", "dados_fins.csv"):
+        assert layouts[name] == LINES
 
 
 def random_file(rng: random.Random) -> bytes:
     def cell():
         kind = rng.random()
         if kind < 0.15:
-            inner = "".join(rng.choice(['""', "\n", ";", "t", "é", '""""', " "]) for _ in range(rng.randint(0, 6)))
-            return f'"{inner}"'
+            inner = "".join(rng.choice(['""', "\n", ";", "t", "é", '""""', " ", "\r\n", "\r"]) for _ in range(rng.randint(0, 6)))
+            return f'"{inner}"' + (rng.choice(["", "", "", "z", 'y"', " "]))
         if kind < 0.25:
             return f'{rng.randint(1, 9)}" tubo'
         return rng.choice(["", "x", "longer text", "NA", " y "])
@@ -93,18 +134,39 @@ def random_file(rng: random.Random) -> bytes:
     counts = [3] + [rng.choice([2, 3, 3, 3, 3, 4]) for _ in range(rng.randint(5, 40))]
     lines = [";".join(cell() for _ in range(count)) for count in counts]
     lines = [line if line.strip() else "z" for line in lines]
-    return ("a;b;c\n" + "\n".join(lines) + "\n").encode()
+    ends = rng.choice([["\n"], ["\r\n"], ["\r"], ["\n", "\r\n", "\r"]])
+    return ("a;b;c\n" + "".join(line + rng.choice(ends) for line in lines)).encode()
 
 
 def test_random_files_in_small_splits(spark, tmp_path, settings):
-    contents = {f"dados_{i}.csv": random_file(random.Random(i)) for i in range(25)}
+    contents = {f"dados_{i}.csv": random_file(random.Random(i)) for i in range(40)}
     for name, content in contents.items():
         (tmp_path / name).write_bytes(content)
     with settings(spark__sql__files__maxPartitionBytes="64", spark__sql__files__openCostInBytes="0"):
         got, layouts = read(spark, tmp_path, 0)
     assert ASSEMBLED in layouts.values()
     for name, content in contents.items():
-        assert got.get(name, []) == plain(content), name
+        assert got.get(name, []) == by_characters(content), name
+        if b"\r" not in content:
+            assert by_characters(content) == plain(content), name
+
+
+def test_facts_do_not_depend_on_how_files_are_read(spark, folder, settings):
+    """Fingerprints and all else of a file are the same read whole or in splits of any size."""
+    (folder / "dados_sem_fim.csv").write_bytes(FILES["dados_virgula.csv"][:-1])
+    (folder / "dados_copia.csv").write_bytes(FILES["dados_cr_aspas.csv"])
+    (folder / "dados_brancos.csv").write_bytes(b"\n\n  \na;b;c\n1;2;3\n")
+    (folder / "dados_trocado.csv").write_bytes(b"a,b,c\n4,5,6\n1,2,3\n")
+    seen = []
+    for limit, size in ((10**6, "100000"), (0, "100000"), (0, "33"), (0, "7"), (30, "12")):
+        with settings(spark__sql__files__maxPartitionBytes=size, spark__sql__files__openCostInBytes="0"):
+            rows = build_manifest(spark, str(folder), limit).collect()
+        seen.append({r.file_name: tuple(r[c] for c in ("length", "file_hash", "encoding", "sep", "header", "layout", "unclosed")) for r in rows})
+    for name in seen[0]:
+        assert len({str(facts[name]) for facts in seen}) == 1, (name, [facts[name] for facts in seen])
+    hashes = {name: facts[1] for name, facts in seen[0].items()}
+    assert hashes["dados_copia.csv"] == hashes["dados_cr_aspas.csv"]
+    assert len(set(hashes.values())) == len(hashes) - 1
 
 
 def test_fingerprint_of_large_files_does_not_depend_on_splits(spark, tmp_path, settings):
