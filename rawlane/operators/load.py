@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawlane.sources.storage import drop_partitions
+from rawlane.sources.storage import exists
 from rawlane.specs import DatasetSpec
 
+#: Folders of loads are named by this column.
+LOAD = "carga"
+
 
 def table_schema(spec: DatasetSpec) -> T.StructType:
     return T.StructType(
@@ -18,26 +22,49 @@ def table_schema(spec: DatasetSpec) -> T.StructType:
     )
 
 
+def stage_rows(valid: DataFrame, path: str, load: str, cluster: Sequence[str] = ()) -> None:
+    """Write the rows of a load into a folder of its own. No reader sees them before the load's files are committed.
+
+    Rows are not shuffled: a file's rows already sit together in the tasks that read it, and a huge file stays spread over
+    many tasks. The sort is local to a task; it puts files, and within them the ``cluster`` keys, together. There is one
+    folder per load, however many files it has.
+    """
+    valid.sortWithinPartitions("source_filename", *cluster).write.mode("overwrite").parquet(f"{path}/linhas/{LOAD}={load}")
+
+
+def current_rows(spark: SparkSession, path: str, schema: T.StructType, committed: DataFrame) -> DataFrame:
+    """The rows that are in force: of every file those of its latest committed load.
+
+    ``committed``: ``source_filename, carga, feito_em``, a row for every file of every committed load, files without valid
+    rows included. Loads that were never committed are pruned as folders; what later loads replaced is left out by an anti
+    join with just those pairs of file and load.
+    """
+    if not exists(spark, f"{path}/linhas"):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(LOAD, T.StringType())])).parquet(f"{path}/linhas")
+    latest = committed.groupBy("source_filename").agg(F.max(F.struct("feito_em", LOAD))[LOAD].alias("_latest"))
+    replaced = committed.join(latest, "source_filename").where(F.col(LOAD) != F.col("_latest")).select("source_filename", LOAD)
+    valid = rows.join(committed.select(LOAD).distinct(), LOAD, "left_semi")
+    return valid.join(replaced, ["source_filename", LOAD], "left_anti").select(*schema.fieldNames())
+
+
 def replace_by_source_file(valid: DataFrame, files: DataFrame, path: str, cluster: Sequence[str] = ()) -> None:
     """Load rows so that each delivered file replaces what was loaded from a file of that name before.
 
-    The table is partitioned by ``source_filename`` and only the partitions of delivered files are overwritten. Rows
-    are not shuffled: a file's rows already sit together in the tasks that read it, and a huge file stays spread over
-    many tasks. The sort is local to a task; it groups the partitions to write and, within them, the ``cluster`` keys.
-
-    ``files`` has one row per delivered file (``source_filename``, one batch). A file that has no valid row left
-    writes no partition, so its old partition is dropped explicitly.
+    ``files`` has one row per delivered file (``source_filename``, one batch); one without valid rows left replaces earlier
+    rows by none. The load is committed by a list of its files, written as a single file, so readers (``read_replaced``)
+    see all of the old rows or all of the new ones, and a load that fails before leaves what was there.
     """
-    (
-        valid.sortWithinPartitions("source_filename", *cluster)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source_filename")
-        .parquet(path)
-    )
-    written = valid.select("source_filename").distinct()
-    emptied = files.select("source_filename").distinct().join(written, "source_filename", "left_anti").collect()
-    drop_partitions(valid.sparkSession, path, "source_filename", [row.source_filename for row in emptied])
+    load = uuid.uuid4().hex
+    stage_rows(valid, path, load, cluster)
+    named = files.select("source_filename").distinct().select("source_filename", F.lit(load).alias(LOAD), F.current_timestamp().alias("feito_em"))
+    named.coalesce(1).write.mode("append").parquet(f"{path}/entregas")
+
+
+def read_replaced(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The current rows of a table kept by ``replace_by_source_file``."""
+    committed = spark.read.schema(f"source_filename string, {LOAD} string, feito_em timestamp").parquet(f"{path}/entregas")
+    return current_rows(spark, path, schema, committed)
 
 
 def clustered_write(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 PRIME, BASE = (1 << 31) - 1, 48271
 WORDS = 4
 #: Bits of a number that one lookup in a table of powers takes, and bits of record numbers within a Spark partition.
-DIGIT_BITS, NUMBER_BITS = 8, 33
+DIGIT_BITS, NUMBER_BITS = 4, 33
 
 
 def power(exponent: Column, bits: int = NUMBER_BITS) -> Column:
@@ -38,11 +38,15 @@ def _spelled(length: Column, lines: Column, sums: list[Column]) -> Column:
     return F.md5(F.concat_ws("|", *[c.cast("string") for c in (length, lines, *sums)]))
 
 
-def split_sums(position: Column, words: Column) -> list[Column]:
-    """Aggregates over the lines of a split: the weighted sums ``sum_0`` ... A split has far fewer than 2^32 lines, so they
-    fit. ``position`` counts lines within a Spark partition in its lower bits."""
+def line_shares(line: Column, position: Column) -> Column:
+    """What a line adds to the sums of its split. ``position`` counts lines within a Spark partition in its lower bits."""
     weight = power(position.bitwiseAND((1 << NUMBER_BITS) - 1))
-    return [(F.sum(words[i] * weight % PRIME) % PRIME).alias(f"sum_{i}") for i in range(WORDS)]
+    return F.transform(line_words(line), lambda word: word * weight % PRIME)
+
+
+def split_sums(shares: Column) -> list[Column]:
+    """Aggregates over the lines of a split: ``sum_0`` ... A split has far fewer than 2^32 lines, so they fit."""
+    return [(F.sum(shares[i]) % PRIME).alias(f"sum_{i}") for i in range(WORDS)]
 
 
 def digest_of_splits(length: Column, lines: Column, before: Column, lowest: Column) -> Column:
@@ -63,8 +67,7 @@ def digest_of_lines(length: Column, lines: Column) -> Column:
 
     def shares(line: Column, number: Column) -> Column:
         line = F.when((number == 0) & line.startswith(mark), F.substring(line, 4, 2**31 - 1)).otherwise(line)
-        weight = power(number.cast("long"), 32)
-        return F.transform(line_words(F.encode(line, "ISO-8859-1")), lambda word: word * weight % PRIME)
+        return line_shares(F.encode(line, "ISO-8859-1"), number.cast("long"))
 
     zero = F.array(*[F.lit(0).cast("long")] * WORDS)
     sums = F.aggregate(F.transform(own, shares), zero, lambda a, b: F.zip_with(a, b, lambda x, y: (x + y) % PRIME))

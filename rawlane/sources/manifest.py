@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rawlane.functions.text import percent_decoded, strip
 from rawlane.session import work_path
-from rawlane.sources.digest import digest_of_lines, digest_of_splits, line_words, split_sums
+from rawlane.sources.digest import digest_of_lines, digest_of_splits, line_shares, split_sums
 from rawlane.sources.quoting import ends_in_quotes, files_ending_in_quotes, hides_records, pieces
 from rawlane.sources.storage import materialize
 from rawlane.specs import DEFAULT_SPECS, DatasetSpec
@@ -144,14 +144,14 @@ def describe_lines(spark: SparkSession, paths: str | Sequence[str], larger_than:
     lines = lines.withColumn("pos", F.monotonically_increasing_id())
     value = F.col("value")
     text_blank = F.btrim(value, F.lit(BLANKS)) == ""
-    blocks = lines.withColumn("_words", line_words(value)).groupBy("uri", "file_name", "length", "modified", "block").agg(
+    blocks = lines.withColumn("_shares", line_shares(value, F.col("pos"))).groupBy("uri", "file_name", "length", "modified", "block").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("pos").alias("lo"),
         F.min(F.when(~text_blank, F.col("pos"))).alias("lo_text"),
         F.bool_and(F.is_valid_utf8(value)).alias("utf8"),
         *[F.bool_or(hides_records(value, sep)).alias(f"hides_{i}") for i, sep in enumerate(SEPARATORS)],
         F.bool_or(text_blank & value.contains("\t")).alias("tabs"),
-        *split_sums(F.col("pos"), F.col("_words")),
+        *split_sums(F.col("_shares")),
     )
     blocks = materialize(blocks.withColumn("base", prefix_before(F.col("n"))), f"{work}/blocks")
     per_file = blocks.groupBy("uri", "file_name", "length", "modified").agg(

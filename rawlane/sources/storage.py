@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,12 +29,30 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
-    """Remove whole partition folders of a partitioned table kept at ``path``."""
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for value in values:
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={escape(value)}")
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def complete_versions(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """Numbers N of the tables ``name-N`` below ``folder`` whose writing came to its end."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}-*/_SUCCESS")
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target) or []
+    return [int(status.getPath().getParent().getName().rsplit("-", 1)[1]) for status in found]
+
+
+def isolate(items: list, job: Callable[[list], object]) -> tuple[list, list[tuple[object, Exception]]]:
+    """Run ``job`` over ``items``; where it fails, over the halves, down to the single items that make it fail.
+
+    Returns the results of the jobs that ended well and the failing items with their errors. One bad item of n costs some
+    2 log n jobs more, which together see the items about twice.
+    """
+    done, bad, waiting = [], [], [items]
+    while waiting:
+        some = waiting.pop()
+        try:
+            done.append(job(some))
+        except Exception as error:  # noqa: BLE001 - whatever it was, it is told of the item
+            if len(some) == 1:
+                bad.append((some[0], error))
+            else:
+                waiting += [some[len(some) // 2 :], some[: len(some) // 2]]
+    return done, bad
 
 
 def drop_work(spark: SparkSession, path: str) -> None:

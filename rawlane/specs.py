@@ -217,5 +217,7 @@ RUN_EVENT_SCHEMA = T.StructType(
         T.StructField("mensagem_erro", T.StringType()),
         T.StructField("file_hash", T.StringType()),
         T.StructField("usuario_executante", T.StringType()),
+        # Of a committed run whose rows are its file's current ones: the load that holds them.
+        T.StructField("carga", T.StringType()),
     ]
 )

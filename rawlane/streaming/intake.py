@@ -2,36 +2,58 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawlane.plans.ingest import FILES_PER_BATCH, Store, ingest
+from rawlane.plans.ingest import FILES_PER_BATCH, Store, take_in
 from rawlane.session import work_path
 from rawlane.sources.manifest import WHOLE_FILE_BYTES
-from rawlane.sources.storage import drop_work, exists, literal_path, materialize
+from rawlane.sources.storage import complete_versions, drop_work, exists, literal_path, materialize
 from rawlane.specs import DEFAULT_SPECS, DatasetSpec
 
 #: What tells one delivery from another.
 DELIVERY = "path string, modified timestamp, length long"
 
 
-@dataclass(frozen=True)
-class Intake:
-    """An intake that has ended."""
+class Deliveries:
+    """The deliveries that were taken in, kept below a folder: a base table per finished run, and what came since.
 
-    store: Store
+    The base of a run lists only files that are still in the drop folder, so this grows with the folder and not with its
+    history. A base counts once it is complete; one that was not finished is written again.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self.version = max(complete_versions(spark, folder, "base"), default=0)
+
+    def _path(self, kind: str, version: int) -> str:
+        return f"{self.folder}/{kind}-{version}"
+
+    def read(self) -> DataFrame:
+        paths = [self._path(kind, self.version) for kind in ("base", "since")]
+        paths = [p for p in paths if exists(self.spark, p)]
+        return self.spark.read.schema(DELIVERY).parquet(*paths) if paths else self.spark.createDataFrame([], DELIVERY)
+
+    def add(self, files: DataFrame) -> None:
+        files.write.mode("append").parquet(self._path("since", self.version))
 
-    def awaitTermination(self, timeout: float | None = None) -> bool:  # noqa: N802 - as streaming queries name it
-        return True
+    def compact(self, listed: DataFrame) -> None:
+        """Keep what is still there, as the next base."""
+        if not exists(self.spark, self._path("since", self.version)):
+            return
+        kept = self.read().join(listed, ["path", "modified", "length"], "left_semi")
+        kept.write.mode("overwrite").parquet(self._path("base", self.version + 1))
+        for kind in ("base", "since"):
+            drop_work(self.spark, self._path(kind, self.version))
+        self.version += 1
 
 
-def _taken_in(spark: SparkSession, path: str) -> DataFrame:
-    if not exists(spark, path):
-        return spark.createDataFrame([], DELIVERY)
-    return spark.read.schema(DELIVERY).parquet(path)
+def _plain(path: str) -> str:
+    """One spelling of a path: ``file:/a`` and ``file:///a`` are the same."""
+    return re.sub(r"^([A-Za-z0-9+.-]+):/+", r"\1:/", path)
 
 
 def ingest_stream(
@@ -44,29 +66,31 @@ def ingest_stream(
     user: str | None = None,
     max_files_per_trigger: int = FILES_PER_BATCH,
     whole_file_bytes: int = WHOLE_FILE_BYTES,
-) -> Intake:
+) -> Store:
     """Take in the files that arrived since the last run, of any age, then return.
 
-    The folder is listed, and what has the path, time and length of a file in the table of earlier deliveries below
-    ``checkpoint`` is left out, so a file that was overwritten under its name comes again. New files go to the batch plan
-    in batches of about ``max_files_per_trigger``, those of one name together. A batch is noted once it is through; one
-    that is run again after a failure finds its finished files in the history and skips them.
+    The folder is listed, and what has the path, time and length of a file among the deliveries kept below ``checkpoint``
+    is left out, so a file that was overwritten under its name comes again. New files go to the batch plan in batches of
+    about ``max_files_per_trigger``, those of one name together. A batch is noted once it is through, without files that
+    could not be read or written: these are tried again. A batch that is run again finds its finished files in the history.
     """
-    seen, work = f"{checkpoint}/deliveries", work_path(spark, "arrivals")
+    deliveries, work = Deliveries(spark, f"{checkpoint}/deliveries"), work_path(spark, "arrivals")
     try:
         listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
-        listed = listed.select("path", F.col("modificationTime").alias("modified"), "length")
-        new = materialize(listed.join(_taken_in(spark, seen), ["path", "modified", "length"], "left_anti"), f"{work}/new")
+        listed = materialize(listed.select("path", F.col("modificationTime").alias("modified"), "length"), f"{work}/listed")
+        new = materialize(listed.join(deliveries.read(), ["path", "modified", "length"], "left_anti"), f"{work}/new")
         batches = -(-new.count() // max_files_per_trigger)
         batch = F.pmod(F.xxhash64(F.substring_index("path", "/", -1)), F.lit(max(batches, 1))).alias("batch")
         # One folder per batch, so that a batch does not read the names of all others.
         arrivals = materialize(new.select("*", batch).repartition("batch"), f"{work}/batches", "batch")
         for number in range(batches):
             files = arrivals.filter(F.col("batch") == number).select("path", "modified", "length")
-            paths = [literal_path(row.path) for row in files.select("path").collect()]
+            paths = [row.path for row in files.select("path").collect()]
             if paths:
-                ingest(spark, paths, out, specs, user=user, whole_file_bytes=whole_file_bytes)
-                files.write.mode("append").parquet(seen)
+                failed = set(map(_plain, take_in(spark, [literal_path(p) for p in paths], out, specs, user=user, whole_file_bytes=whole_file_bytes)))
+                again = [(p,) for p in paths if _plain(p) in failed]
+                deliveries.add(files.join(spark.createDataFrame(again, "path string"), "path", "left_anti").select(*files.columns))
+        deliveries.compact(listed)
     finally:
         drop_work(spark, work)
-    return Intake(Store(out))
+    return Store(out)

@@ -113,6 +113,5 @@ def ingest_twice(t: Tables) -> DataFrame:
 @check(LOADED_SQL, money=["valor_da_conta"], dates=["data_fat"])
 def incremental_intake(t: Tables) -> DataFrame:
     out = work_path(t.spark, "store")
-    query = ingest_stream(t.spark, drop_folder(t), out, work_path(t.spark, "progress"), max_files_per_trigger=1000)
-    query.awaitTermination()
-    return Store(out).read_table(t.spark, FATURAMENTO).select(*LOADED)
+    store = ingest_stream(t.spark, drop_folder(t), out, work_path(t.spark, "progress"), max_files_per_trigger=1000)
+    return store.read_table(t.spark, FATURAMENTO).select(*LOADED)

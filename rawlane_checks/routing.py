@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawlane.operators.load import clustered_write, replace_by_source_file
+from rawlane.operators.load import clustered_write, read_replaced, replace_by_source_file
 from rawlane.operators.rejections import append_rejections, read_rejections, rejection_records
 from rawlane.operators.routing import clean_table, error_entries, rejections, run_metrics, valid_rows, warn_entries
 from rawlane.session import work_path
@@ -157,7 +157,7 @@ def redelivery(t: Tables) -> DataFrame:
     load = lambda rows, n: rows.select("o_orderkey", F.lit(n).alias("entrega"), "source_filename")
     replace_by_source_file(load(first, 1), first.select("source_filename"), path)
     replace_by_source_file(load(second.filter("part = 0"), 2), second.select("source_filename"), path, ["o_orderkey"])
-    return t.spark.read.schema("o_orderkey long, entrega int, source_filename string").parquet(path)
+    return read_replaced(t.spark, path, T.StructType.fromDDL("o_orderkey long, entrega int, source_filename string"))
 
 
 @check("SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS dia FROM orders", name="clustered_write", dates=["dia"])

@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         "rawlane-tests",
         master=f"local[{os.environ.get('TEST_CPUS', '8')}]",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",
         spark__sql__shuffle__partitions="4",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),

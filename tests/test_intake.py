@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
@@ -201,16 +202,16 @@ def test_batches_and_large_files_give_the_same(spark, drop):
 def test_a_failing_load_is_an_error_and_does_not_stop_others(spark, drop, monkeypatch):
     drop("faturamento_1.csv", billing({}))
     drop("usuarios_1.csv", ",".join(USUARIOS.header) + "\n" + ",".join("x" * len(USUARIOS.header)) + "\n")
-    original = ingest_module.replace_by_source_file
+    original = ingest_module.stage_rows
 
-    def broken(valid, files, path, cluster=()):
+    def broken(valid, path, load, cluster=()):
         if path.endswith("faturamento"):
             raise RuntimeError("disco cheio")
-        return original(valid, files, path, cluster)
+        return original(valid, path, load, cluster)
 
-    monkeypatch.setattr(ingest_module, "replace_by_source_file", broken)
+    monkeypatch.setattr(ingest_module, "stage_rows", broken)
     store = run(spark, drop)
-    assert history(spark, store) == {"faturamento_1.csv": ("erro", 0, 0, 0), "usuarios_1.csv": ("sucesso", 1, 1, 0)}
+    assert history(spark, store) == {"faturamento_1.csv": ("erro", 1, 0, 0), "usuarios_1.csv": ("sucesso", 1, 1, 0)}
     monkeypatch.undo()
     run(spark, drop)
     assert len(loaded(spark, store)) == 1
@@ -218,8 +219,7 @@ def test_a_failing_load_is_an_error_and_does_not_stop_others(spark, drop, monkey
 
 def test_stream_takes_in_what_is_new(spark, drop, tmp_path):
     def go():
-        query = ingest_stream(spark, drop.folder, drop.out, str(tmp_path / "progress"), max_files_per_trigger=2)
-        query.awaitTermination()
+        ingest_stream(spark, drop.folder, drop.out, str(tmp_path / "progress"), max_files_per_trigger=2)
 
     for i in range(3):
         drop(f"faturamento_{i}.csv", billing({"numero_documento": str(i)}))
@@ -235,7 +235,7 @@ def test_stream_takes_in_what_is_new(spark, drop, tmp_path):
 
 def test_stream_takes_in_a_file_that_comes_again_under_its_name(spark, drop, tmp_path):
     def go():
-        ingest_stream(spark, drop.folder, drop.out, str(tmp_path / "progress")).awaitTermination()
+        ingest_stream(spark, drop.folder, drop.out, str(tmp_path / "progress"))
 
     drop("faturamento_1.csv", billing({"numero_documento": "1"}))
     drop("faturamento_2.csv", billing({"numero_documento": "2"}))
@@ -297,7 +297,85 @@ def test_a_large_file_that_ends_inside_quotes_is_refused_and_replaces_nothing(sp
 def test_files_of_one_name_fail_together(spark, drop, monkeypatch):
     for i in range(1, 4):
         drop(f"{i}/faturamento.csv", billing({"numero_documento": str(i)}))
-    monkeypatch.setattr(ingest_module, "replace_by_source_file", lambda *a, **k: 1 / 0)
+    monkeypatch.setattr(ingest_module, "stage_rows", lambda *a, **k: 1 / 0)
     store = ingest(spark, f"{drop.folder}/*", drop.out, files_per_batch=1)
     assert loaded(spark, store) == []
     assert [(r.status, r.linhas_inseridas) for r in store.read_history(spark).collect()] == [("erro", 0)] * 3
+
+
+@pytest.mark.parametrize("step", ["append_rejections", "commit_events"])
+def test_a_load_killed_before_its_end_leaves_nothing(spark, drop, monkeypatch, step):
+    """Rows and log entries come into force together, when the end events are written; a retried run logs once."""
+    drop("faturamento_1.csv", billing({"numero_documento": "1"}, {"cnpj": ""}))
+    store = run(spark, drop)
+    drop("faturamento_1.csv", billing({"numero_documento": "2"}, {"valor_da_conta": "?"}))
+
+    class Killed(BaseException):
+        pass
+
+    def kill(*args, **kwargs):
+        raise Killed
+
+    monkeypatch.setattr(ingest_module, step, kill)
+    with pytest.raises(Killed):
+        run(spark, drop)
+    monkeypatch.undo()
+    assert sorted(r.numero_documento for r in loaded(spark, store)) == ["1", "1"]
+    assert [e[0] for e in log(spark, store)] == ["WARN"]
+    assert sorted(r.status for r in store.read_history(spark).collect()) == ["em_execucao", "sucesso"]
+    run(spark, drop)
+    assert [r.numero_documento for r in loaded(spark, store)] == ["2"]
+    assert [e[0] for e in log(spark, store)] == ["ERROR", "WARN"]
+
+
+def corrupt(path):
+    """Spoil the checksums that the local file system keeps beside a file: reading it then fails."""
+    path.with_name(f".{path.name}.crc").write_bytes(b"crc\0\0\0\2\0" + b"\1\2\3\4" * (1 + path.stat().st_size // 512))
+
+
+@pytest.mark.parametrize("whole", [10**6, 0])
+def test_an_unreadable_file_fails_alone(spark, drop, tmp_path, whole):
+    for i in range(1, 4):
+        target = drop(f"faturamento_{i}.csv", billing({"numero_documento": str(i)}))
+    corrupt(drop("faturamento_2.csv", billing({"numero_documento": "2"})))
+    progress = str(tmp_path / "progress")
+    store = ingest_stream(spark, drop.folder, drop.out, progress, whole_file_bytes=whole)
+    assert sorted(r.numero_documento for r in loaded(spark, store)) == ["1", "3"]
+    states = history(spark, store)
+    assert states["faturamento_2.csv"] == ("erro", 0, 0, 0) and {s[0] for s in states.values()} == {"erro", "sucesso"}
+    failed = store.read_history(spark).filter("status = 'erro'").first()
+    assert failed.file_hash is None and failed.mensagem_erro and failed.tabela_destino == "faturamento"
+    target.with_name(".faturamento_2.csv.crc").unlink()  # readable again: tried again, though it is the same delivery
+    ingest_stream(spark, drop.folder, drop.out, progress, whole_file_bytes=whole)
+    assert sorted(r.numero_documento for r in loaded(spark, store)) == ["1", "2", "3"]
+
+
+def test_a_file_that_fails_while_it_is_staged_fails_alone(spark, drop, monkeypatch):
+    for i in range(1, 6):
+        drop(f"faturamento_{i}.csv", billing({"numero_documento": str(i)}))
+    original = ingest_module.stage
+
+    def gone(spark, files, spec, run):
+        if any(f.path.endswith("_4.csv") for f in files):
+            raise OSError("sumiu")
+        return original(spark, files, spec, run)
+
+    monkeypatch.setattr(ingest_module, "stage", gone)
+    store = run(spark, drop)
+    assert sorted(r.numero_documento for r in loaded(spark, store)) == ["1", "2", "3", "5"]
+    assert {k: v[0] for k, v in history(spark, store).items() if v[0] != "sucesso"} == {"faturamento_4.csv": "erro"}
+
+
+def test_folders_are_per_load_and_deliveries_per_file_that_is_there(spark, drop, tmp_path):
+    progress = tmp_path / "progress"
+    for i in range(12):
+        drop(f"faturamento_{i}.csv", billing({"numero_documento": str(i)}))
+    store = ingest_stream(spark, drop.folder, drop.out, str(progress))
+    assert len(list(Path(store.table(FATURAMENTO), "linhas").glob("carga=*"))) == 1
+    for i in range(10):
+        Path(drop.folder, f"faturamento_{i}.csv").unlink()
+    drop("faturamento_novo.csv", billing({"numero_documento": "novo"}))
+    ingest_stream(spark, drop.folder, drop.out, str(progress))
+    kept = [f for f in progress.glob("deliveries/*") if f.is_dir()]
+    assert [f.name for f in kept] == ["base-2"] and spark.read.parquet(str(kept[0])).count() == 3
+    assert len(loaded(spark, store)) == 13
