@@ -48,50 +48,80 @@ def required(column: str) -> Rule:
     return Rule("required", column, F.when(is_blank(_text(column)), F.lit(f"O campo obrigatório '{column}' está vazio.")))
 
 
-# Date directives: how each is written, and where it sits in a year-month-day triple.
+# English month names, in order, as %b (first three letters) and %B write them.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+
+# Directives: how each is written, and what it tells. Alternatives stand longest first, as in the formats' own definition.
 _DIRECTIVES = {
     "%Y": (r"(\d{4})", "year"),
     "%y": (r"(\d{2})", "year"),
     "%m": (r"(0[1-9]|1[0-2]|[1-9])", "month"),
+    "%b": ("((?i:" + "|".join(m[:3] for m in MONTHS) + "))", "month"),
+    "%B": ("((?i:" + "|".join(MONTHS) + "))", "month"),
     "%d": (r"(0[1-9]|[12]\d|3[01]|[1-9])", "day"),
+    "%j": (r"(00[1-9]|0[1-9]\d|[12]\d\d|3[0-5]\d|36[0-6]|[1-9]\d|0[1-9]|[1-9])", "day_of_year"),
+    "%H": (r"(2[0-3]|[0-1]\d|\d)", "hour"),
+    "%I": (r"(1[0-2]|0[1-9]|[1-9])", "hour"),
+    "%p": ("((?i:am|pm))", "half"),
+    "%M": (r"([0-5]\d|\d)", "minute"),
+    "%S": (r"(6[0-1]|[0-5]\d|\d)", "second"),
+    "%f": (r"(\d{1,6})", "fraction"),
+    "%z": (r"([+-]\d\d:?[0-5]\d(?::?[0-5]\d(?:\.\d{1,6})?)?|(?-i:Z))", "zone"),
 }
 _REGEX_SPECIAL = set(r"\.^$*+?{}[]|()")
 
 
 def _date_pattern(fmt: str) -> tuple[str, dict[str, tuple[int, str]]]:
+    """A format as a pattern, and for every part it tells the group and the directive."""
     pattern, places, i = "", {}, 0
     while i < len(fmt):
         directive = fmt[i : i + 2]
         if directive in _DIRECTIVES:
             regex, part = _DIRECTIVES[directive]
+            if part in places:
+                raise ValueError(f"{fmt!r} tells the {part} twice")
             pattern += regex
             places[part] = (len(places) + 1, directive)
             i += 2
+        elif directive == "%%":
+            pattern, i = pattern + "%", i + 2
         elif fmt[i] == "%":
             raise ValueError(f"unsupported date directive {directive!r}")
+        elif fmt[i].isspace():
+            pattern += r"\s+"
+            while i < len(fmt) and fmt[i].isspace():
+                i += 1
         else:
             pattern += f"\\{fmt[i]}" if fmt[i] in _REGEX_SPECIAL else fmt[i]
             i += 1
-    if set(places) != {"year", "month", "day"}:
-        raise ValueError(f"{fmt!r} must name a year, a month and a day once each")
     return f"^{pattern}$", places
 
 
 def date_format(column: str, fmt: str = "%Y-%m-%d") -> Rule:
-    """Fails on empty text and on text that is not a real day in ``fmt`` (directives %Y %y %m %d)."""
+    """Fails on empty text and on text that does not fit ``fmt`` or names a day that does not exist.
+
+    Directives: %Y %y %m %b %B %d %j (days and the like), %H %I %p %M %S %f %z (time of day and zone), %%; others are refused
+    when the rule is made. Month names are English, of any case; white space in the format stands for any. A format need not
+    tell all parts: a day is judged in the year it names, else in 1900, which has no 29 February.
+    """
     pattern, places = _date_pattern(fmt)
     value = _text(column)
 
     def part(name: str) -> Column:
-        group, directive = places[name]
-        found = F.regexp_extract(value, pattern, group)
-        if directive == "%y":
-            return F.concat(F.when(found.try_cast("int") <= 68, F.lit("20")).otherwise(F.lit("19")), found)
-        return found
-
-    year = part("year")
-    day = F.concat_ws("-", year, part("month"), part("day")).try_cast("date")
+        return F.regexp_extract(value, pattern, places[name][0])
+
+    year = part("year") if "year" in places else F.lit("1900")
+    if places.get("year", (0, ""))[1] == "%y":
+        year = F.concat(F.when(year.try_cast("int") <= 68, F.lit("20")).otherwise(F.lit("19")), year)
+    month = part("month") if "month" in places else F.lit("1")
+    if places.get("month", (0, ""))[1] in ("%b", "%B"):
+        month = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), F.substring(F.lower(month), 1, 3)).cast("string")
+    day = F.concat_ws("-", year, month, part("day") if "day" in places else F.lit("1")).try_cast("date")
     good = value.rlike(pattern) & (year != "0000") & day.isNotNull()
+    if "second" in places:  # the format knows 60 and 61, a time of day does not
+        good = good & (part("second").try_cast("int") < 60)
+    if "zone" in places:
+        good = good & ~F.regexp_like(part("zone"), F.lit(r"^[+-](2[4-9]|[3-9]\d)"))
     problem = F.when(value.isNull() | (value == ""), F.lit("O valor da data não pode ser vazio.")).when(
         ~good, _shown("A data '", value, f"' não corresponde ao formato esperado '{fmt}'.")
     )

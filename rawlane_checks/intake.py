@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rawlane.operators.audit import append_events, run_start_events
+from rawlane.operators.load import stage_rows
+from rawlane.operators.rejections import append_rejections
 from rawlane.plans.ingest import Store, ingest
 from rawlane.session import work_path
-from rawlane.specs import FATURAMENTO
+from rawlane.specs import FATURAMENTO, USUARIOS
 from rawlane.streaming.intake import ingest_stream
 from rawlane_checks.registry import Tables, check
 from rawlane_checks.routing import ERROR_SQL, WARN_SQL
-from rawlane_checks.sources import ROWS_PER_FILE, lote_of, lotes_in, one_file_each
+from rawlane_checks.sources import RAGGED_SQL, ROWS_PER_FILE, lote_of, lotes_in, one_file_each, ragged_folder
 from rawlane_checks.views import DIRTY_SQL, dirty_faturamento
 
 LOADED = ["numero_documento", "cnpj", "valor_da_conta", "data_fat", "empresa", "observacao"]
@@ -115,3 +120,53 @@ def incremental_intake(t: Tables) -> DataFrame:
     out = work_path(t.spark, "store")
     store = ingest_stream(t.spark, drop_folder(t), out, work_path(t.spark, "progress"), max_files_per_trigger=1000)
     return store.read_table(t.spark, FATURAMENTO).select(*LOADED)
+
+
+def spoil(spark: SparkSession, pattern: str) -> None:
+    """Spoil the checksums that a local file system keeps beside the file: reading it then fails."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    (status,) = files.globStatus(target)
+    out = files.getRawFileSystem().create(files.getChecksumFile(status.getPath()), True)
+    out.write(bytes(b"crc\0\0\0\2\0" + b"\1\2\3\4" * (1 + status.getLen() // 512)))
+    out.close()
+
+
+@check(
+    f"""WITH {RAGGED_SQL} SELECT 'sucesso' AS status, count(DISTINCT lote) AS arquivos, count(*) AS linhas FROM ragged WHERE lote <> 1
+        UNION ALL SELECT 'erro', 1, 0"""
+)
+def isolated_failure(t: Tables) -> DataFrame:
+    """One file cannot be read: its run fails, all others are loaded. (Needs a local file system, which has checksums.)"""
+    folder = ragged_folder(t)
+    spoil(t.spark, f"{folder}/usuarios-00001-*.csv")
+    store = ingest(t.spark, folder, work_path(t.spark, "store"))
+    runs = store.read_history(t.spark).groupBy("status").agg(F.count(F.lit(1)).alias("arquivos"))
+    rows = store.read_table(t.spark, USUARIOS).agg(F.count(F.lit(1)).alias("linhas"))
+    loaded = rows.select(F.lit("sucesso").alias("status"), "linhas")
+    return runs.join(loaded, "status", "left").select("status", "arquivos", F.coalesce("linhas", F.lit(0)).alias("linhas"))
+
+
+@check(
+    f"""WITH {DIRTY_SQL}, entries AS ({ERROR_SQL} UNION ALL {WARN_SQL})
+        SELECT (SELECT count(*) FROM routed WHERE campo IS NULL) AS linhas, (SELECT count(*) FROM entries) AS entradas,
+          (SELECT count(DISTINCT o_orderkey // {ROWS_PER_FILE}) FROM routed) AS sucesso, CAST(1 AS BIGINT) AS em_execucao"""
+)
+def retried_load(t: Tables) -> DataFrame:
+    """A load is killed after its rows and log entries were written, then all is delivered once more: nothing counts twice."""
+    folder, out = drop_folder(t), work_path(t.spark, "store")
+    store = ingest(t.spark, folder, out)
+    rows, log = store.read_table(t.spark, FATURAMENTO), store.read_rejections(t.spark)
+    killed = rows.select("source_filename").limit(1).select(
+        F.lit("morta").alias("run_id"), F.lit("ingest_faturamento").alias("script"), F.lit("faturamento").alias("table"), F.col("source_filename").alias("file_name"), F.lit("x").alias("file_hash")
+    )
+    append_events(run_start_events(killed), store.history)
+    stage_rows(rows, store.table(FATURAMENTO), "morta")
+    append_rejections(log.withColumn("execucao_fk", F.lit("morta")), store.rejections)
+    store = ingest(t.spark, folder, out)
+    linhas = store.read_table(t.spark, FATURAMENTO).agg(F.count(F.lit(1)).alias("n"))
+    entradas = store.read_rejections(t.spark).agg(F.count(F.lit(1)).alias("n"))
+    history = store.read_history(t.spark)
+    counted = [linhas.select(F.lit("linhas").alias("o"), "n"), entradas.select(F.lit("entradas").alias("o"), "n"), history.groupBy(F.col("status").alias("o")).agg(F.count(F.lit(1)).alias("n"))]
+    every = reduce(DataFrame.unionByName, counted)
+    return every.agg(*[F.max(F.when(F.col("o") == name, F.col("n"))).alias(name) for name in ("linhas", "entradas", "sucesso", "em_execucao")])

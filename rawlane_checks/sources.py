@@ -14,6 +14,9 @@ from rawlane.specs import USUARIOS
 from rawlane_checks.registry import Tables, check
 
 
+ROWS_PER_FILE = 2500
+
+
 @check(
     """SELECT * FROM (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'faturamento' WHEN 1 THEN 'base_oficial'
          WHEN 2 THEN 'usuarios' WHEN 5 THEN 'usuarios' END AS dataset FROM documents) WHERE dataset IS NOT NULL""",
@@ -68,6 +71,24 @@ def skip_seen_files(t: Tables) -> DataFrame:
     return skip_seen(manifest, history).select("doc_id", "file_hash")
 
 
+@check(
+    f"""SELECT CAST(2 AS BIGINT) AS arquivos, CAST(4 AS BIGINT) AS leituras, CAST(sum(length(o_orderkey || ';' || o_orderpriority) + 1) AS BIGINT) AS tamanho,
+          lote FROM (SELECT *, o_orderkey // {ROWS_PER_FILE} AS lote FROM orders) GROUP BY lote"""
+)
+def file_fingerprint_in_splits(t: Tables) -> DataFrame:
+    """Every file comes twice and is described twice, whole and from its lines: all four have one fingerprint."""
+    key, lotes = F.col("o_orderkey"), lotes_in(t)
+    value = F.concat_ws(";", key.cast("string"), "o_orderpriority")
+    rows = t.orders.select(F.explode(F.array(lote_of(key), lote_of(key) + lotes)).alias("lote"), key.alias("place"), value.alias("value"))
+    path = work_path(t.spark, "twice")
+    write_lines(rows, 2 * lotes, path, "usuarios")
+    described = [build_manifest(t.spark, path, limit) for limit in (64 * 1024 * 1024, 1024)]
+    lote = F.regexp_extract("file_name", "-0*([0-9]+)-", 1).cast("long") % lotes
+    both = described[0].unionByName(described[1]).withColumn("lote", lote)
+    found = both.groupBy("file_hash", "lote").agg(F.count_distinct("uri").alias("arquivos"), F.count(F.lit(1)).alias("leituras"), F.max("length").alias("tamanho"))
+    return found.select("arquivos", "leituras", "tamanho", "lote")
+
+
 _TOKEN_CASES = " ".join(f"WHEN {i} THEN NULL" for i in range(len(NULL_TOKENS)))
 
 
@@ -87,9 +108,6 @@ def tokens(t: Tables) -> DataFrame:
 
 # --- ragged files ---------------------------------------------------------------------------------------------------
 
-ROWS_PER_FILE = 2500
-
-
 def one_file_each(rows: DataFrame, lotes: int) -> DataFrame:
     """One task, and so one file, per ``lote`` (0, 1, ...)."""
     return rows.repartitionById(lotes, F.col("lote").cast("int"))

@@ -21,7 +21,7 @@ def plan(df):
 
 @pytest.mark.parametrize("name", sorted(CHECKS))
 def test_no_python_and_no_cross_joins(spark, name):
-    if name.startswith(("ingest", "incremental", "read_delimited", "record_number", "source_lineage")):
+    if name.startswith(("ingest", "incremental", "isolated", "retried", "read_delimited", "record_number", "source_lineage")):
         pytest.skip("runs a whole intake; its parts are covered elsewhere")
     text = plan(CHECKS[name].run(spark, FOLDER))
     for word in ("Python", "Cartesian", "BroadcastNestedLoopJoin"):
@@ -79,3 +79,8 @@ def test_clustered_write_spreads_a_hot_key(spark, tmp_path, settings):
     per_file = written.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"), F.min("k"), F.max("k")).collect()
     assert max(r.n for r in per_file) < 3 * 8000 / 8
     assert FATURAMENTO.cluster == ("empresa", "data_fat")
+
+
+def test_run_state_hashes(spark):
+    for name in ("run_state_update", "failed_runs", "run_history"):
+        assert "SortAggregate" not in plan(CHECKS[name].run(spark, FOLDER))

@@ -56,10 +56,37 @@ def test_date_format(spark, fmt, good, bad):
 
 
 def test_date_format_refuses_other_directives():
-    with pytest.raises(ValueError, match="unsupported"):
-        rules.date_format("v", "%H:%M")
-    with pytest.raises(ValueError, match="must name"):
-        rules.date_format("v", "%Y-%m")
+    for fmt in ("%U", "%Y-%m-%Q", "%"):
+        with pytest.raises(ValueError, match="unsupported"):
+            rules.date_format("v", fmt)
+    with pytest.raises(ValueError, match="twice"):
+        rules.date_format("v", "%Y %y")
+
+
+@pytest.mark.parametrize(
+    "fmt",
+    ["%H:%M", "%Y-%m-%d %H:%M:%S", "%d/%m/%Y %H:%M:%S.%f", "%d %b %Y", "%d-%B-%y", "%Y-%j", "%j", "%I:%M %p", "%Y%m%d%H%M", "%Y-%m-%dT%H:%M:%S%z", "%d/%m", "100%% %Y", "%m.%Y"],
+)
+def test_date_formats_as_the_standard_library_reads_them(spark, fmt):
+    """Every format against ``strptime``, on texts of all formats and slightly wrong ones."""
+    texts = [
+        "7:05", "07:5", "24:00", "2024-02-29 23:59:59", "2023-02-29 00:00:00", "2024-2-9  1:2:3", "2024-02-29 23:59:61", "2024-02-29 23:59:62",
+        "29/02/2024 10:11:12.5", "29/02/2024 10:11:12.1234567", "9/2/2024 1:1:1.000001", "05 mar 2024", "31 Abr 2024", "31 JUN 2024", "30 Jun 2024", "5  MAY\t2024",
+        "01-march-68", "1-Marcha-68", "31-september-24", "2024-366", "2023-366", "2024-1", "2024-0", "366", "12:00 pm", "0:30 AM", "13:00 PM", "1:7 Pm",
+        "202402292359", "20230229123", "2024-02-29T01:02:03+0300", "2024-02-29T01:02:03-03:30", "2024-02-29T01:02:03Z", "2024-02-29T01:02:03z", "2024-02-29T01:02:03+25:00", "2024-02-29T01:02:03",
+        "29/02", "28/02", "31/4", "100% 1999", "100%  0000", "12.2024", "00.2024", "1.1", "abc",
+    ]
+
+    def fits(text):
+        try:
+            dt.datetime.strptime(text, fmt)
+        except ValueError:
+            return False
+        return True
+
+    got = messages(spark, texts, rules.date_format("v", fmt))
+    assert {t: m is None for t, m in zip(texts, got, strict=True)} == {t: fits(t) for t in texts}
+
 
 
 def test_numbers(spark):
