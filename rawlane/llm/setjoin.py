@@ -8,6 +8,10 @@ shares with any member. The bound is applied twice: on short prefixes of all set
 token and group, which finds the groups worth opening; and inside an opened group on the whole union, before any member is
 looked at.
 
+Tokens that the same components hold are one weighted row of the matrix. A component has to share so much with a group that
+its most widespread tokens, up to just below that much, are not needed to find the group: what is left out of candidates is
+counted for those that are found. So a passage that a third of all documents hold brings nobody together.
+
 The common order puts tokens last that are frequent inside some group, by a table of counts of fixed size (tokens that
 share an entry share its count), so a passage that many documents hold rarely gets into their prefixes. Links are complete
 under any order: the table only decides how many groups are opened in vain.
@@ -15,7 +19,7 @@ under any order: the table only decides how many groups are opened in vain.
 Within a group, prefixes follow the group's own token frequencies, rarest first, so passages that many documents share
 bring up no candidates. Links are verified exactly on the sets. Two nodes already known to be in one component are not
 compared again, so a group of copies costs one comparison per copy and no pairs are listed. Sets are compared as 64-bit
-hashes of shingles, nodes told apart by a 64-bit hash of their set.
+hashes of shingles, nodes told apart by a 128-bit hash of their set.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawlane.llm.arrow_text import mix, shingle_hashes
+from rawlane.llm.arrow_text import mix, runs, shingle_hashes
 from rawlane.llm.components import connected_components
 from rawlane.session import work_path
 
@@ -42,6 +46,8 @@ GROUP_NODES, GROUP_TOKENS = 2048, 2_000_000
 STEP_BITS, PARTITION_BITS, CHUNK_BITS, PLACE_BITS = 7, 24, 20, 12
 #: Members of a group that hold a token before the group reports it as frequent, and entries of the table of counts.
 FREQUENT_MEMBERS, COUNT_ENTRIES = 8, 1 << 20
+#: Bytes of text that are unpacked at a time.
+RUN_BYTES = 1 << 20
 #: Queries of one group that a task answers before another task opens the group too.
 QUERIES_PER_BLOCK = 4096
 
@@ -132,8 +138,8 @@ def local_roots(group: Group) -> np.ndarray:
     return roots
 
 
-def _set_key(tokens: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _set_key(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
@@ -143,7 +149,7 @@ def _prepare(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """One row per different set and task: step of its size, two smallest hashes, key, compressed text."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             rows = []
@@ -153,10 +159,10 @@ def _prepare(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     least, second = tokens[0], mix(tokens ^ _SECOND).min()
                     rows.append((size_step(len(tokens), percent), np.uint64(least).view(np.int64), second.view(np.int64), key, pack.compress(batch.column(0)[i].as_py().encode())))
             if rows:
-                *longs, texts = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in longs), pa.array(texts, pa.binary())], ["step", "m1", "m2", "key", "packed"])
+                columns = zip(zip(*rows, strict=True), (*[pa.int64()] * 3, pa.binary(), pa.binary()), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["step", "m1", "m2", "key", "packed"])
 
-    return docs.select("text").mapInArrow(sets, "step long, m1 long, m2 long, key long, packed binary")
+    return docs.select("text").mapInArrow(sets, "step long, m1 long, m2 long, key binary, packed binary")
 
 
 def _tokens(packed: list[bytes], width: int) -> list[np.ndarray]:
@@ -164,20 +170,28 @@ def _tokens(packed: list[bytes], width: int) -> list[np.ndarray]:
     return shingle_hashes(pa.array([unpack.decompress(x).decode() for x in packed], pa.large_string()), width)
 
 
+def _token_runs(packed: pa.Array, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The sets of a batch in runs of some ``RUN_BYTES`` of text, each with the number of its first row."""
+    texts = packed.to_pylist()
+    sizes = np.array([zstandard.frame_content_size(x) for x in texts], np.int64)
+    for begin, end in runs(np.append(0, np.cumsum(sizes)), RUN_BYTES):
+        yield begin, _tokens(texts[begin:end], width)
+
+
 def _group(prepared: DataFrame, groups: int, width: int, percent: int) -> DataFrame:
     """Nodes dealt into groups and linked inside them: ``node, key, root, n, packed``, and in a group's first row
     ``entries, members``: how many members hold each of its frequent tokens, by entry of the table of counts."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, chunk, last, step = TaskContext.get().partitionId(), 0, None, None
-        held: list[tuple[int, bytes]] = []
+        held: list[tuple[bytes, bytes]] = []
         sets: list[np.ndarray] = []
         size = 0
 
         def close() -> pa.RecordBatch:
             base = ((step << PARTITION_BITS | part) << CHUNK_BITS | chunk) << PLACE_BITS
             group = Group(sets, percent)
-            columns = [base + np.arange(len(sets)), np.array([k for k, _ in held], np.int64), base + local_roots(group), group.sizes]
+            columns = [base + np.arange(len(sets)), pa.array([k for k, _ in held], pa.binary()), base + local_roots(group), group.sizes]
             often = group.frequency >= FREQUENT_MEMBERS
             counts = (_entries(group.union[often]).astype(np.int32), group.frequency[often].astype(np.int32))
             counts = [pa.array([c, *[None] * (len(sets) - 1)], pa.list_(pa.int32())) for c in counts]
@@ -185,9 +199,9 @@ def _group(prepared: DataFrame, groups: int, width: int, percent: int) -> DataFr
 
         for batch in batches:
             steps, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for begin in range(0, len(keys), 256):
-                packed, run = batch.column(2).slice(begin, 256).to_pylist(), slice(begin, begin + 256)
-                for its, key, text, tokens in zip(steps[run], keys[run], packed, _tokens(packed, width), strict=True):
+            for begin, run in _token_runs(batch.column(2), width):
+                packed, own = batch.column(2).slice(begin, len(run)).to_pylist(), slice(begin, begin + len(run))
+                for its, key, text, tokens in zip(steps[own], keys[own], packed, run, strict=True):
                     if key == last:
                         continue
                     if held and (its != step or len(held) >= GROUP_NODES or size + len(tokens) > GROUP_TOKENS):
@@ -202,7 +216,7 @@ def _group(prepared: DataFrame, groups: int, width: int, percent: int) -> DataFr
 
     order = ("step", "m1", "m2", "key")
     ordered = prepared.repartitionByRange(groups, *order).sortWithinPartitions(*order)
-    return ordered.select("step", "key", "packed").mapInArrow(link, "node long, key long, root long, n long, packed binary, entries array<int>, members array<int>")
+    return ordered.select("step", "key", "packed").mapInArrow(link, "node long, key binary, root long, n long, packed binary, entries array<int>, members array<int>")
 
 
 def _entries(tokens: np.ndarray) -> np.ndarray:
@@ -234,8 +248,8 @@ def _matrix(nodes: DataFrame, width: int, percent: int) -> DataFrame:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens, roots = [], []
-            for begin in range(0, batch.num_rows, 256):
-                for own, root in zip(_tokens(batch.column(1).slice(begin, 256).to_pylist(), width), batch.column(0).slice(begin, 256).to_pylist(), strict=True):
+            for begin, run in _token_runs(batch.column(1), width):
+                for own, root in zip(run, batch.column(0).slice(begin, len(run)).to_pylist(), strict=True):
                     order = np.argsort(ranks[_entries(own)], kind="stable")  # tokens of equal rank stay in hash order
                     own = own[order[: len(own) - least_shared(len(own), percent) + 1 + extra(len(own))]]
                     tokens.append(own)
@@ -264,9 +278,8 @@ def _open(nodes: DataFrame, queries: DataFrame, width: int, percent: int) -> Dat
         for batch in batches:
             goal, block, role, root = (batch.column(i).to_pylist() for i in range(4))
             found: list[tuple[int, int]] = []
-            for begin in range(0, batch.num_rows, 256):
-                sets = _tokens(batch.column(4).slice(begin, 256).to_pylist(), width)
-                for i, own in enumerate(sets, begin):
+            for begin, run in _token_runs(batch.column(4), width):
+                for i, own in enumerate(run, begin):
                     if (goal[i], block[i]) != here:
                         here, members, roots, group = (goal[i], block[i]), [], [], None
                     if role[i] == 0:
@@ -307,14 +320,14 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str
     spark, folder = docs.sparkSession, work_path(docs.sparkSession, "setjoin")
     docs = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    longs = [T.StructField(c, T.LongType()) for c in ("text_hash", "key", "n_shingles")]
-    keyed = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *longs])
+    keyed = T.StructType.fromDDL("text_hash long, key binary, n_shingles long")
+    keyed = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *keyed.fields])
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_hashes(batch.column(1), width)
             named = [_set_key(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(named, pa.int64()), pa.array([len(s) for s in sets], pa.int64())], keyed.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(named, pa.binary()), pa.array([len(s) for s in sets], pa.int64())], keyed.names)
 
     rows = _written(docs.select("doc_id", "text", "text_hash").mapInArrow(keys, keyed), f"{folder}/rows")
     classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
@@ -342,11 +355,20 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str
     apart = F.when(F.col("without_words"), F.struct("doc_id", "text_hash"))
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
     stay = found.groupBy("component", apart.alias("apart")).agg(F.min(rank).alias("stay"), F.first("without_words").alias("each"))
-    stay = stay.select(F.col("stay.doc_id").alias("_id"), F.col("stay.text_hash").alias("_hash"), F.col("each").alias("_each"))
-    hashed = docs.withColumn("_hash_of_text", F.xxhash64(F.coalesce(docs[text], F.lit(""))))
-    met = hashed.join(stay, (hashed["_hash_of_text"] == stay["_hash"]) & hashed[doc_id].eqNullSafe(stay["_id"])).drop("_id", "_hash")
-    every, once = met.where("_each"), met.where("NOT _each").dropDuplicates(["_hash_of_text", doc_id])
-    return once.unionByName(every).select(*docs.columns)
+    stay = stay.select(F.col("stay.doc_id").alias("id"), F.col("stay.text_hash").alias("hash"), "each")
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.xxhash64(F.coalesce(docs[text], F.lit(""))).alias("own_hash"), docs[doc_id].alias("own_id"))
+    met = rows.join(stay, (F.col("own_hash") == F.col("hash")) & F.col("own_id").eqNullSafe(F.col("id")))
+    once = met.where("NOT each").dropDuplicates(["own_hash", "own_id"])
+    kept = once.unionByName(met.where("each"))
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+
+
+def _weighted(shared: DataFrame) -> DataFrame:
+    """``token, root, weight, spread``: of the tokens that exactly the same roots hold one is left, with their number as its
+    weight; ``spread`` is how many roots hold it. Lists of roots are told apart by their length and two 64-bit sums."""
+    lists = shared.groupBy("token").agg(F.count("*").alias("spread"), F.bit_xor(F.xxhash64("root")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "root")).alias("y"))
+    alike = lists.groupBy("spread", "x", "y").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
+    return shared.join(alike.select("token", "weight", "spread"), "token")
 
 
 def _across(spark: SparkSession, nodes: DataFrame, folder: str, width: int, percent: int) -> DataFrame:
@@ -360,11 +382,17 @@ def _across(spark: SparkSession, nodes: DataFrame, folder: str, width: int, perc
     least = nodes.groupBy("root").agg(F.min(1 + F.floor(sizes * 3 / 20)).alias("need"), F.count("*").alias("members"))
 
     # a component that shares too little with all other groups together shares too little with each
-    rich = shared.groupBy("root").agg(F.count("*").alias("shared")).join(least, "root").where("shared >= need").select("root")
-    shared = _written(shared.join(rich, "root", "left_semi"), f"{folder}/rich")
+    rich = shared.groupBy("root").agg(F.count("*").alias("shared")).join(least, "root").where("shared >= need")
+    shared = _written(_weighted(shared.join(rich.select("root"), "root", "left_semi")), f"{folder}/rich")
     unions = shared.select("token", group.alias("goal")).distinct()
-    met = shared.join(unions, "token").where((group < F.col("goal")) & (_step_of(F.col("goal")) - _step_of(group) <= 1))
-    worth = met.groupBy("root", "goal").agg(F.count("*").alias("shared")).join(least, "root").where("shared >= need")
+    apart = (group < F.col("goal")) & (_step_of(F.col("goal")) - _step_of(group) <= 1)
+
+    # whatever shares ``need`` tokens with a component shares one beyond its most widespread ones of a weight below that
+    widest = Window.partitionBy("root").orderBy(F.desc("spread"), "token").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    telling = shared.join(least, "root").withColumn("passed", F.sum("weight").over(widest)).where("passed >= need").select("token", "root")
+    found = _written(telling.join(unions, "token").where(apart).select("root", "goal").distinct(), f"{folder}/found")
+    met = found.join(shared, "root").join(unions, ["token", "goal"])
+    worth = met.groupBy("root", "goal").agg(F.sum("weight").alias("shared")).join(least, "root").where("shared >= need")
     worth = _written(worth.select("root", "goal", "members"), f"{folder}/worth")
 
     # first every component asks with one node; for most this is all they have
@@ -374,10 +402,14 @@ def _across(spark: SparkSession, nodes: DataFrame, folder: str, width: int, perc
     # then components of several nodes ask with all of them, where a component that shares tokens is not yet joined
     label = components.select(F.col("node").alias("root"), "component")
     labelled = shared.join(label, "root", "left").withColumn("component", F.coalesce("component", "root"))
-    mine = labelled.withColumnRenamed("component", "mine").join(worth.where("members > 1").select("root", "goal"), "root")
+    asking = worth.where("members > 1").select("root", "goal")
     theirs = labelled.select("token", F.col("root").alias("other"), group.alias("goal"), F.col("component").alias("its"))
-    pairs = mine.join(theirs, ["token", "goal"]).where("mine <> its").groupBy("root", "other").agg(F.count("*").alias("shared"))
-    pairs = pairs.join(least, "root").where("shared >= need")
+    telling = telling.join(asking, "root").join(theirs, ["token", "goal"]).select("root", "other", "its").distinct()
+    telling = telling.join(label.withColumnRenamed("component", "mine"), "root", "left").where(F.coalesce("mine", "root") != F.col("its"))
+    telling = _written(telling.select("root", "other"), f"{folder}/apart")
+    others = shared.select("token", F.col("root").alias("other"))
+    pairs = telling.join(shared.select("token", "root", "weight"), "root").join(others, ["token", "other"])
+    pairs = pairs.groupBy("root", "other").agg(F.sum("weight").alias("shared")).join(least, "root").where("shared >= need")
     rest = _written(pairs.select("root", _group_of("other").alias("goal")).distinct(), f"{folder}/rest")
     if rest.limit(1).count() == 0:
         return components

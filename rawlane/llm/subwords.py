@@ -3,8 +3,9 @@
 The tokenizer must drop white space before it looks at the text and fold case, as ``word_bpe_49k.json`` does: then the ids
 of a text are the ids of its words, one after another, and any run of ASCII white space is a safe boundary. A full stop or
 comma that ends a word after an ASCII letter is a piece of its own for such a tokenizer and is cut off too. Words are
-found in a batch with numpy and remembered between batches by their 64-bit hash; only words not yet seen go to the
-tokenizer, in batches balanced by bytes.
+found in a batch with numpy and remembered between batches by a hash of 64 bits; only words not yet seen go to the
+tokenizer, in batches balanced by bytes. A second, independent hash of every word is compared with that of the word
+remembered; texts in which they ever differ go to the tokenizer themselves.
 """
 
 from __future__ import annotations
@@ -40,6 +41,10 @@ def _running(flags: np.ndarray) -> np.ndarray:
     return out
 
 
+class HashClash(Exception):
+    """Two different words have one hash."""
+
+
 class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -56,6 +61,7 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)
+        self.seconds = np.zeros(0, np.uint64)
         self.rows = np.zeros(0, np.int64)
         self.ids = np.zeros(1 << 16, np.int32)
         self.bounds = np.zeros(1 << 16, np.int64)
@@ -104,9 +110,9 @@ class WordEncoder:
         ends = ends - stopped
         barred = _running(raw == ord("|"))
         exact = barred[ends] > barred[starts]
-        hashes = span_hashes(raw, starts, ends)
+        hashes, seconds = (span_hashes(raw, starts, ends, lane=lane) for lane in (0, 1))
         if exact.any():  # special strings are told apart by case
-            hashes[exact] = ~span_hashes(raw, starts[exact], ends[exact], lower=False)
+            hashes[exact], seconds[exact] = (~span_hashes(raw, starts[exact], ends[exact], lower=False, lane=lane) for lane in (0, 1))
         found, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if self.known + len(found) > REMEMBERED:
             self._forget()
@@ -129,17 +135,23 @@ class WordEncoder:
             rows[plain] = here + np.arange(plain.sum())
             rows[~plain] = here + plain.sum() + np.arange((~plain).sum())
             self.hashes = np.insert(self.hashes, at[new], found[new])
+            self.seconds = np.insert(self.seconds, at[new], seconds[first[new]])
             self.rows = np.insert(self.rows, at[new], rows)
             at = np.searchsorted(self.hashes, found)
+        if (self.seconds[at][inverse] != seconds).any():
+            raise HashClash
         return self.rows[at][inverse], stops, firsts
 
     def counts(self, column: pa.Array) -> np.ndarray:
         """The number of ids of every text. NULL counts as empty."""
         out = np.zeros(len(column), np.int64)
         for row, part in parts(column):
-            codes, stops, firsts = self._codes(part)
-            sums = _running(self.bounds[codes + 1] - self.bounds[codes] + (stops > 0))
-            out[row : row + len(part)] += sums[firsts[1:]] - sums[firsts[:-1]]
+            try:
+                codes, stops, firsts = self._codes(part)
+                sums = _running(self.bounds[codes + 1] - self.bounds[codes] + (stops > 0))
+                out[row : row + len(part)] += sums[firsts[1:]] - sums[firsts[:-1]]
+            except HashClash:
+                out[row : row + len(part)] += [len(self.tokenizer.encode(x or "", add_special_tokens=False).ids) for x in part.to_pylist()]
         return out
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -148,7 +160,12 @@ class WordEncoder:
         A very long text comes in several runs of one text each. NULL counts as empty.
         """
         for row, part in parts(column):
-            codes, stops, firsts = self._codes(part)
+            try:
+                codes, stops, firsts = self._codes(part)
+            except HashClash:
+                own = [np.asarray(self.tokenizer.encode(x or "", add_special_tokens=False).ids, np.int32) for x in part.to_pylist()]
+                yield row, np.concatenate(own), np.cumsum([0, *map(len, own)])
+                continue
             lengths = self.bounds[codes + 1] - self.bounds[codes]
             inner, sums = _running(lengths)[:-1], _running(lengths + (stops > 0))
             out = np.empty(int(sums[-1]), np.int32)

@@ -108,3 +108,23 @@ def test_items_inside_documents(spark, odd_docs, no_docs):
         assert order(map(tuple, got.select("doc_id", "item_id", "n_shared", "n_item").collect())) == order(want)
     assert decontaminate.contaminated(no_docs, table).collect() == []
     assert decontaminate.contaminated(odd_docs, table.where(F.lit(False))).collect() == []
+
+
+def test_documents_that_share_no_shingle(spark):
+    """Two words that a polynomial hash takes for one are two."""
+    from tests.llm.test_tokens import opposites
+
+    rows = [(i, f"x y z {w}") for i, w in enumerate(opposites())]
+    got = setjoin.similar_sets(spark.createDataFrame(rows, "doc_id long, text string"), width=4, percent=85).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(0, 0), (1, 1)]
+    bench = spark.createDataFrame([(7, " ".join(["a b c d", opposites()[0]]))], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"a b c d {w}") for i, w in enumerate(opposites())], "doc_id long, text string")
+    assert [r.doc_id for r in decontaminate.contaminated(docs, bench).collect()] == [0]
+
+
+def test_columns_named_like_those_of_the_stage(spark):
+    rows = [(1, "one two three four five six", "h", 5, "e", "k", 0.5), (2, "one two three four five six", "h2", 6, "e2", "k2", 1.5)]
+    names = "doc_id long, text string, _hash string, _hash_of_text int, _each string, row string, own_hash double"
+    docs = spark.createDataFrame(rows, names)
+    kept = setjoin.one_of_each(docs)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [rows[0]]

@@ -42,6 +42,37 @@ def test_words_give_the_ids_of_the_text(texts):
     assert list(ENCODER.counts(pa.array(texts, pa.string()))) == [len(x) for x in got]
 
 
+def opposites(n: int = 1024) -> list[str]:
+    """Two words that agree under every polynomial hash modulo a power of two."""
+    sides = [bin(i).count("1") % 2 for i in range(n)]
+    return ["".join("ab"[x] for x in sides), "".join("ba"[x] for x in sides)]
+
+
+def test_different_words_are_told_apart():
+    words = [w for n in (8, 64, 256, 512, 1024) for w in opposites(n)]
+    texts = pa.array(["x y z " + w for w in words] + words)
+    got = [list(x[:-1]) for x in WordEncoder(PATH).documents(texts, 7)]
+    assert got == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts.to_pylist()]
+    assert len({s.tobytes() for s in arrow_text.shingle_hashes(texts, 4)}) == len(texts)
+    for lane in (0, 1):
+        raw = np.frombuffer("".join(words).encode(), np.uint8)
+        ends = np.cumsum([len(w) for w in words])
+        assert len(set(arrow_text.span_hashes(raw, ends - [len(w) for w in words], ends, lane=lane).tolist())) == len(words)
+
+
+def test_words_with_one_hash(monkeypatch):
+    """Should two words ever have one hash, their texts are encoded as a whole."""
+    from rawlane.llm import subwords
+
+    real = arrow_text.span_hashes
+    monkeypatch.setattr(subwords, "span_hashes", lambda *a, lane=0, **k: real(*a, lane=lane, **k) if lane else real(*a, **k) % np.uint64(3))
+    words = WordEncoder(PATH)
+    texts = pa.array(["one two three four five six seven. eight, nine", None, "", "ten one <|endoftext|>", "one"] * 3)
+    want = [LIBRARY.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+    assert [list(x[:-1]) for x in words.documents(texts, 7)] == want
+    assert words.counts(texts).tolist() == [len(w) for w in want]
+
+
 def test_long_texts_are_cut_before_white_space():
     text = "".join(f"word{i} " for i in range(5000)) + "x" * 3000
     parts = list(arrow_text.parts(pa.array(["a", text, "b"]), 1000))
