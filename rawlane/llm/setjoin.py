@@ -9,8 +9,7 @@ token and group, which finds the groups worth opening; and inside an opened grou
 looked at.
 
 Tokens that the same components hold are one weighted row of the matrix. A component has to share so much with a group that
-its most widespread tokens, up to just below that much, are not needed to find the group: what is left out of candidates is
-counted for those that are found. So a passage that a third of all documents hold brings nobody together.
+its most widespread tokens, up to just below that much, are not needed to find the group. So a passage that a third of all documents hold brings nobody together.
 
 The common order puts tokens last that are frequent inside some group, by a table of counts of fixed size (tokens that
 share an entry share its count), so a passage that many documents hold rarely gets into their prefixes. Links are complete
@@ -390,10 +389,9 @@ def _across(spark: SparkSession, nodes: DataFrame, folder: str, width: int, perc
     # whatever shares ``need`` tokens with a component shares one beyond its most widespread ones of a weight below that
     widest = Window.partitionBy("root").orderBy(F.desc("spread"), "token").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     telling = shared.join(least, "root").withColumn("passed", F.sum("weight").over(widest)).where("passed >= need").select("token", "root")
-    found = _written(telling.join(unions, "token").where(apart).select("root", "goal").distinct(), f"{folder}/found")
-    met = found.join(shared, "root").join(unions, ["token", "goal"])
-    worth = met.groupBy("root", "goal").agg(F.sum("weight").alias("shared")).join(least, "root").where("shared >= need")
-    worth = _written(worth.select("root", "goal", "members"), f"{folder}/worth")
+    # so few of these pairs share less than ``need`` in all that counting would cost more than asking
+    met = telling.join(unions, "token").where(apart).select("root", "goal").distinct()
+    worth = _written(met.join(least.select("root", "members"), "root"), f"{folder}/worth")
 
     # first every component asks with one node; for most this is all they have
     first = _written(_open(nodes, worth.select(F.col("root").alias("node"), "root", "goal"), width, percent), f"{folder}/links")
