@@ -3,10 +3,10 @@
 A token that could be an encoded key is tested for uniform use of its alphabet (chi-squared), for the number of runs above
 and below the middle of the alphabet, and for correlation of neighbouring characters. The three p-values of "this is
 random" are combined into one score, small for random strings. How often running text scores as low is not assumed but
-measured: every document is cut into stretches of several lengths and alphabets, all of which are scored. A token's p-value
-is the share of such stretches of its length and alphabet that score as low, and the Benjamini-Hochberg step over all
-different tokens of that length and alphabet decides. A token counts once however often it occurs, and so does a stretch
-that scores low, so what many documents repeat doesn't decide about the rest.
+measured: every different paragraph is cut into stretches of several lengths and alphabets, all of which are scored. A
+token's p-value is the share of such stretches of its length and alphabet that score as low, and one Benjamini-Hochberg step
+over all different tokens decides. A token counts once however often it occurs, and so does a paragraph, so what many
+documents repeat doesn't decide about the rest.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawlane.llm.arrow_text import mix
+from rawlane.llm.arrow_text import buffers, runs
 from rawlane.llm.spans import Span, free_of, matches
 from rawlane.session import work_path
 
@@ -39,11 +39,10 @@ ALPHABETS = {
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
 #: Lengths at which a class of lengths begins; within a class a longer token only has more evidence.
-LENGTHS = (20, 23, 27, 32, 38, 46, 56, 68, 84, 104, 128)
-#: Scores are counted in steps of this size, up to the last step.
-STEP, STEPS = 0.25, 400
-#: Stretches of running text up to this step are told apart. Of random strings 98 per cent are below it.
-LOW = 60
+LENGTHS = (20, 24, 32, 44, 64, 96)
+#: Scores are counted in steps of this size. One random string in a thousand scores above the last step (chi-squared with six
+#: degrees of freedom): what does is not random, and how far above it is doesn't matter.
+STEP, STEPS = 0.25, 90
 _CODES = {}
 for _name, _letters in ALPHABETS.items():
     _CODES[_name] = np.full(128, -1, np.int16)
@@ -94,7 +93,8 @@ def running_sums(codes: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
 
 
 def stretch_scores(codes: np.ndarray, sums: tuple[np.ndarray, ...], starts: np.ndarray, n: int, size: int) -> np.ndarray:
-    """Scores of the stretches of ``n`` symbols that begin at ``starts``: Fisher's -2 sum ln p.
+    """Scores of the stretches of ``n`` symbols that begin at ``starts``: Fisher's -2 sum ln p, or anything above the last
+    step for those whose use of the alphabet alone puts them there, which is most of running text.
 
     Chi-squared by the Wilson-Hilferty cube root; runs above and below the middle and lag-one serial correlation by their
     normal limits, both two-sided. All but the counts of symbols comes from running sums, which are whole numbers.
@@ -108,6 +108,9 @@ def stretch_scores(codes: np.ndarray, sums: tuple[np.ndarray, ...], starts: np.n
         squares[begin : begin + len(some)] = np.einsum("ij,ij->i", counts, counts)
     x2, df = squares * size / n - n, size - 1
     p_uniform = _upper_normal((np.cbrt(x2 / df) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df)))
+    scores = -2 * np.log(np.clip(p_uniform, 1e-12, 1))
+    left = np.flatnonzero(scores <= STEP * (STEPS + 1))
+    starts = starts[left]
     ends = starts + n
     highs, changes, total, total2, pairs = sums
     ones = highs[ends] - highs[starts]
@@ -122,7 +125,8 @@ def stretch_scores(codes: np.ndarray, sums: tuple[np.ndarray, ...], starts: np.n
     inner = 2 * whole - codes[starts] - codes[ends - 1]
     serial = (pairs[ends - 1] - pairs[starts] - middle * inner + (n - 1) * middle**2) / np.maximum(power, 1e-9)
     p_serial = np.where(power > 0, 2 * _upper_normal(np.abs(serial + 1 / n) * math.sqrt(n)), 1e-12)
-    return -2 * sum(np.log(np.clip(p, 1e-12, 1)) for p in (p_uniform, p_runs, p_serial))
+    scores[left] -= 2 * sum(np.log(np.clip(p, 1e-12, 1)) for p in (p_runs, p_serial))
+    return scores
 
 
 def battery(codes: np.ndarray, size: int) -> np.ndarray:
@@ -152,7 +156,7 @@ def tokens(text: str, spans: list[Span]) -> list[tuple[int, int, str, int, int,
             codes = _CODES[encoding][np.frombuffer(body.encode(), np.uint8)][None, :]
             score = float(battery(codes.astype(np.int64), len(ALPHABETS[encoding]))[0])
             name = int.from_bytes(hashlib.blake2b(body.encode(), digest_size=8).digest(), "big", signed=True)
-            out.append((m.start(), m.end(), encoding, length_class(len(body)), min(int(score / STEP), STEPS), name))
+            out.append((m.start(), m.end(), encoding, length_class(len(body)), min(int(score / STEP), STEPS + 1), name))
     return out
 
 
@@ -175,13 +179,13 @@ def running_symbols(text: str, encoding: str) -> tuple[np.ndarray, np.ndarray]:
     return codes[keep], np.flatnonzero(begins[keep])
 
 
-def null_scores(texts: list[str]) -> dict[tuple[str, int, int, int], int]:
-    """Scores of running text: how often each (encoding, length class, step, hash) occurs. The hash is 0 above ``LOW``.
+def null_scores(texts: list[str]) -> dict[tuple[str, int, int], int]:
+    """Scores of running text: how often each (encoding, length class, step) occurs, all above the last step as one.
 
     Per alphabet and class of lengths every text is cut into stretches of the class's shortest length that don't overlap
     and begin with a word: each begins with the first word after the one before it, and all are scored.
     """
-    out: dict[tuple[str, int, int, int], int] = {}
+    out: dict[tuple[str, int, int], int] = {}
     for encoding, letters in ALPHABETS.items():
         parts, firsts, ends, length = [], [], [], 0
         for text in texts:
@@ -209,86 +213,106 @@ def null_scores(texts: list[str]) -> dict[tuple[str, int, int, int], int]:
             while at < last:
                 chosen.append(at)
                 at = follows[at]
-            starts = words[fits[chosen]]
-            steps = np.minimum(stretch_scores(codes, sums, starts, n, len(letters)) / STEP, STEPS).astype(np.int64)
-            low = np.flatnonzero(steps <= LOW)
-            weights = mix(np.arange(1, n + 1, dtype=np.uint64)) | np.uint64(1)
-            names = mix(((codes[starts[low][:, None] + np.arange(n)] + 1).astype(np.uint64) * weights).sum(1, dtype=np.uint64)).view(np.int64)
-            for step, name in zip(steps[low].tolist(), names.tolist(), strict=True):
-                out[(encoding, k, step, name)] = 1
-            for step, times in enumerate(np.bincount(steps)[LOW + 1 :].tolist(), LOW + 1):
+            scores = stretch_scores(codes, sums, words[fits[chosen]], n, len(letters))
+            steps = np.minimum(scores / STEP, STEPS + 1).astype(np.int64)
+            for step, times in enumerate(np.bincount(steps).tolist()):
                 if times:
-                    out[(encoding, k, step, 0)] = times
+                    out[encoding, k, step] = times
     return out
 
 
-def highest_accepted(null: dict[int, int], found: dict[int, int], q: float) -> int:
-    """The largest score step at which Benjamini-Hochberg at level ``q`` still accepts, -1 if nowhere.
+def paragraph_scores(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``encoding, length_class, step, n``: scores of the stretches of all different paragraphs (lines) of ``docs``.
 
-    The p-value of a step is (1 + null scores up to it) / (1 + null scores).
+    Equal paragraphs are combined in each task before they are dealt out, so one that a third of all documents hold is a row
+    per task. A paragraph shorter than the shortest stretch has none.
     """
-    total, tested, accepted, below, seen = sum(null.values()), sum(found.values()), -1, 0, 0
-    for step in range(STEPS + 1):
-        below, seen = below + null.get(step, 0), seen + found.get(step, 0)
-        if seen and (1 + below) / (1 + total) <= q * seen / tested:
-            accepted = step
-    return accepted
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[str, int, int], int] = {}
+        for batch in batches:
+            for begin, end in runs(buffers(batch.column(0))[1]):
+                for key, times in null_scores(batch.column(0).slice(begin, end - begin).to_pylist()).items():
+                    total[key] = total.get(key, 0) + times
+        if total:
+            columns = [*zip(*total, strict=True), tuple(total.values())]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0]), *(pa.array(c, pa.int64()) for c in columns[1:])], ["encoding", "length_class", "step", "n"])
+
+    paragraphs = docs.select(F.explode(F.split(docs[text], "\n")).alias("paragraph")).where(F.length("paragraph") >= LENGTHS[0])
+    scored = paragraphs.distinct().mapInArrow(score, "encoding string, length_class long, step long, n long")
+    return scored.groupBy("encoding", "length_class", "step").agg(F.sum("n").alias("n"))
+
+
+Counts = dict[tuple[str, int], dict[int, int]]
+
+
+def accepted_steps(null: Counts, found: Counts, q: float) -> dict[tuple[str, int], int]:
+    """The largest score step that is accepted per (encoding, length class), by one Benjamini-Hochberg step at level ``q``
+    over the tokens ``found`` in all of them. Classes in which nothing is accepted are left out.
+
+    The p-value of a step is (1 + null scores of its class up to it) / (1 + null scores of its class).
+    """
+    tested = sum(n for steps in found.values() for n in steps.values())
+    values: dict[tuple[str, int], list[float]] = {}
+    for group in found:
+        own, below = null.get(group, {}), 0
+        values[group] = []
+        for step in range(STEPS + 1):
+            below += own.get(step, 0)
+            values[group].append((1 + below) / (1 + sum(own.values())))
+    ordered = sorted((values[group][step], n) for group, steps in found.items() for step, n in steps.items() if step <= STEPS)
+    seen, level = 0, 0.0
+    for p, n in ordered:  # of equal values the last one has seen them all
+        seen += n
+        if p <= q * seen / tested:
+            level = p
+    return {group: max(step for step, p in enumerate(ps) if p <= level) for group, ps in values.items() if ps[0] <= level}
 
 
 def secret_spans(docs: DataFrame, q: float = 0.01, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, base, added`` for every row: spans (``kind, start, end`` in code points) of the fixed patterns, and of
     kind ``random`` those of the randomness battery, which touch no base span.
 
-    One pass over whole texts finds spans and tokens and writes them to the shared folder. Tokens and low stretches of
-    running text are told apart by 64-bit hashes and counted once. Counts of scores (at most encodings x length classes x
-    steps rows) go to the driver, which decides one threshold per encoding and length class.
+    One pass over whole texts finds spans and tokens and writes them to the shared folder; another scores the different
+    paragraphs. Counts of scores (at most encodings x length classes x steps rows) go to the driver, which decides one
+    threshold per encoding and length class; tokens are told apart by 64-bit hashes and counted once.
     NULL and empty text have no spans; every row gives one row, repeated ones too; other columns are ignored.
     """
     span = "struct<kind:string,start:bigint,end:bigint>"
     token = "struct<start:bigint,end:bigint,encoding:string,length_class:bigint,step:bigint,hash:bigint>"
-    id_type = docs.schema[doc_id].dataType
-    schema = T.StructType.fromDDL(f"base array<{span}>, tokens array<{token}>, null_scores array<struct<encoding:string,length_class:bigint,step:bigint,hash:bigint,n:bigint>>")
-    schema = T.StructType([T.StructField("doc_id", id_type), *schema.fields])
+    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), *T.StructType.fromDDL(f"base array<{span}>, tokens array<{token}>").fields])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = [
             pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])),
             pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("encoding", pa.string()), ("length_class", pa.int64()), ("step", pa.int64()), ("hash", pa.int64())])),
-            pa.list_(pa.struct([("encoding", pa.string()), ("length_class", pa.int64()), ("step", pa.int64()), ("hash", pa.int64()), ("n", pa.int64())])),
         ]
         for batch in batches:
-            bases, found, nulls = [], [], []
-            for begin in range(0, batch.num_rows, 500):
-                texts = [x or "" for x in batch.column(1).slice(begin, 500).to_pylist()]
-                for x in texts:
-                    spans = base_spans(x)
+            for begin, end in runs(buffers(batch.column(1))[1]):
+                bases, found = [], []
+                for x in batch.column(1).slice(begin, end - begin).to_pylist():
+                    spans = base_spans(x or "")
                     bases.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in spans])
-                    found.append([dict(zip(("start", "end", "encoding", "length_class", "step", "hash"), t, strict=True)) for t in tokens(x, spans)])
-                    nulls.append([])
-                nulls[begin] = [dict(zip(("encoding", "length_class", "step", "hash", "n"), (*k, n), strict=True)) for k, n in null_scores(texts).items()]
-            columns = [batch.column(0), *(pa.array(v, t) for v, t in zip((bases, found, nulls), arrow, strict=True))]
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
+                    found.append([dict(zip(("start", "end", "encoding", "length_class", "step", "hash"), t, strict=True)) for t in tokens(x or "", spans)])
+                columns = [batch.column(0).slice(begin, end - begin), *(pa.array(v, t) for v, t in zip((bases, found), arrow, strict=True))]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     path = work_path(docs.sparkSession, "secrets")
     docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).mapInArrow(scan, schema).write.parquet(path)
     scanned = docs.sparkSession.read.parquet(path)
 
     by = ["encoding", "length_class", "step"]
-    # Repeated tokens and stretches are combined before they are counted, first within each task.
-    null = scanned.select(F.explode("null_scores").alias("e")).select("e.*").groupBy(*by, "hash").agg(F.sum("n").alias("n"))
-    null = null.groupBy(*by).agg(F.sum(F.when(F.col("step") <= LOW, F.lit(1)).otherwise(F.col("n"))).alias("n"))
     seen = scanned.select(F.explode("tokens").alias("e")).select("e.*").select(*by, "hash").distinct().groupBy(*by).agg(F.count("*").alias("n"))
-    counts: dict[tuple, tuple[dict, dict]] = {}
-    for which, table in enumerate((null, seen)):
+    counts: tuple[Counts, Counts] = ({}, {})
+    for which, table in enumerate((paragraph_scores(docs, text), seen)):
         for encoding, k, step, n in table.collect():  # encodings x classes x steps rows at most
-            counts.setdefault((encoding, k), ({}, {}))[which][step] = n
-    limits = {group: highest_accepted(*pair, q) for group, pair in counts.items()}
+            counts[which].setdefault((encoding, k), {})[step] = n
+    limits = accepted_steps(*counts, q)
 
     def accepted(t: Column) -> Column:
         verdict = F.lit(False)
         for (encoding, k), step in limits.items():
-            if step >= 0:
-                verdict = verdict | ((t["encoding"] == encoding) & (t["length_class"] == k) & (t["step"] <= step))
+            verdict = verdict | ((t["encoding"] == encoding) & (t["length_class"] == k) & (t["step"] <= step))
         return verdict
 
     added = F.transform(F.filter("tokens", accepted), lambda t: F.struct(F.lit("random").alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
