@@ -48,6 +48,12 @@ for _name, _letters in ALPHABETS.items():
     _CODES[_name] = np.full(128, -1, np.int16)
     _CODES[_name][[ord(c) for c in _letters]] = np.arange(len(_letters))
 _CODES["base64"][[ord("-"), ord("_")]] = [62, 63]
+# Of running text letters count in any case where the alphabet has one case only.
+_RUNNING = {
+    "hex": _CODES["hex"][[ord(chr(c).lower()) for c in range(128)]],
+    "base32": _CODES["base32"][[ord(chr(c).upper()) for c in range(128)]],
+    "base64": _CODES["base64"],
+}
 
 
 def inferred_encoding(token: str) -> str | None:
@@ -160,15 +166,14 @@ def tokens(text: str, spans: list[Span]) -> list[tuple[int, int, str, int, int,
     return out
 
 
-def running_symbols(text: str, encoding: str) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols of a text without its tokens, and where among them words begin.
+def running_symbols(letters: np.ndarray, encoding: str, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The symbols of lines without tokens (``letters``, a code below 128 each, lines ending at ``stops``), where among them
+    words begin, and for each of these where its line ends.
 
     Folded to one case where the alphabet has one. What is not in the alphabet goes; where the alphabet has a separator, a
     run of it between words becomes one, as in words that are joined to a token.
     """
-    raw = TOKEN.sub(" ", text).encode("ascii", "replace")
-    letters = np.frombuffer(raw.upper() if encoding == "base32" else raw.lower() if encoding == "hex" else raw, np.uint8)
-    codes = np.append(_CODES[encoding][letters], np.int16(-1))
+    codes = _RUNNING[encoding][letters]
     gap = codes < 0
     begins = ~gap & np.append(True, gap[:-1])
     if encoding == "base64":
@@ -176,25 +181,22 @@ def running_symbols(text: str, encoding: str) -> tuple[np.ndarray, np.ndarray]:
         codes = np.where(gap, np.int16(62), codes)
     else:
         keep = ~gap
-    return codes[keep], np.flatnonzero(begins[keep])
+    kept = np.cumsum(keep)
+    words = np.flatnonzero(begins)
+    return codes[keep], kept[words] - 1, kept[stops[np.searchsorted(stops, words)]]
 
 
 def null_scores(texts: list[str]) -> dict[tuple[str, int, int], int]:
     """Scores of running text: how often each (encoding, length class, step) occurs, all above the last step as one.
 
-    Per alphabet and class of lengths every text is cut into stretches of the class's shortest length that don't overlap
+    Per alphabet and class of lengths every line of the texts is cut into stretches of the class's shortest length that don't overlap
     and begin with a word: each begins with the first word after the one before it, and all are scored.
     """
     out: dict[tuple[str, int, int], int] = {}
+    raw = np.frombuffer((TOKEN.sub(" ", "\n".join(texts)) + "\n").encode("ascii", "replace"), np.uint8)
+    stops = np.flatnonzero(raw == ord("\n"))
     for encoding, letters in ALPHABETS.items():
-        parts, firsts, ends, length = [], [], [], 0
-        for text in texts:
-            codes, words = running_symbols(text, encoding)
-            parts.append(codes)
-            firsts.append(words + length)
-            length += len(codes)
-            ends.append(np.full(len(words), length))
-        codes, words, ends = (np.concatenate(x) for x in (parts, firsts, ends))
+        codes, words, ends = running_symbols(raw, encoding, stops)
         if not len(words):
             continue
         codes, sums = codes.astype(np.int64), running_sums(codes, len(letters))
