@@ -6,7 +6,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from compare import connect, normal
+from compare import as_frame, connect, normal
 from rawlane.llm import queries, secrets
 from tests.llm.test_sets import components, shingles
 from tests.llm.test_texts import brute_measures
@@ -16,7 +16,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_same_rows_as_sql(spark, name):
-    ours = queries.QUERIES[name](spark, FOLDER).toPandas()
+    ours = as_frame(queries.QUERIES[name](spark, FOLDER))
     theirs = connect(FOLDER).execute(queries.ORACLE_SQL[name]).fetchdf()
     assert sorted(ours.columns) == sorted(theirs.columns) and normal(ours) == normal(theirs)
 
