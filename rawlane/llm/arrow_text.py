@@ -33,6 +33,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Per lane, what the length of a span adds to its first eight bytes.
+_OF_LENGTH = [mix(np.arange(LONG_SPAN + 2, dtype=np.uint64) * f + seed) for f, seed in zip(_FACTORS, _SEEDS, strict=True)]
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and offsets of a text column. NULL counts as empty text."""
     if column.null_count:
@@ -90,35 +94,50 @@ def word_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True, lane: int = 0) -> np.ndarray:
-    """A hash of the bytes of each span, with A-Z folded to lower case if asked. The two lanes are independent.
-
-    Eight bytes at a time go through a mixing that is not linear in them, so no pattern of words makes them agree.
-    """
+def eights(raw: np.ndarray, lower: bool = True) -> np.ndarray:
+    """The eight bytes from every place on (zeros beyond the end) as one number, A-Z folded to lower case if asked."""
     padded = np.zeros(len(raw) + 8, np.uint8)
     padded[:-8] = _LOWER[raw] if lower else raw
-    eights = np.ndarray(len(raw) + 1, "<u8", padded.data, 0, (1,))  # the eight bytes from every place on
+    return np.ndarray(len(raw) + 1, "<u8", padded.data, 0, (1,))
+
+
+def span_heads(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The first eight bytes of each span, zeros where it is shorter. ``words`` are the ``eights`` of its text."""
+    return words[starts] & _LEFT[np.minimum(ends - starts, 8)]
+
+
+def span_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0, heads: np.ndarray | None = None) -> np.ndarray:
+    """A hash of the bytes of each span of a text, given by its ``eights``. The two lanes are independent.
+
+    Eight bytes at a time go through a mixing that is not linear in them, so no pattern of words makes them agree. Of
+    spans up to eight bytes, two that have equal hashes and equal heads are equal.
+    """
     lengths = ends - starts
-    out = mix(lengths.astype(np.uint64) * _FACTORS[lane] + _SEEDS[lane])
-    going, at = np.flatnonzero((lengths > 0) & (lengths <= LONG_SPAN)), 0
+    heads = span_heads(words, starts, ends) if heads is None else heads
+    out = mix(heads + _OF_LENGTH[lane][np.minimum(lengths, LONG_SPAN + 1)])
+    going, at = np.flatnonzero((lengths > 8) & (lengths <= LONG_SPAN)), 8
     while len(going):
-        some = eights[starts[going] + at] & _LEFT[np.minimum(lengths[going] - at, 8)]
+        left = lengths[going] - at
+        some = words[starts[going] + at] & _LEFT[np.minimum(left, 8)]
         out[going] = mix((out[going] ^ mix(some + _SEEDS[lane])) * _FACTORS[lane] + np.uint64(at + 1))
         at += 8
-        going = going[lengths[going] > at]
+        going = going[left > 8]
     for i in np.flatnonzero(lengths > LONG_SPAN):
-        digest = hashlib.blake2b(padded[starts[i] : ends[i]].tobytes(), digest_size=8, salt=bytes([lane])).digest()
-        out[i] = int.from_bytes(digest, "little")
+        out[i] = int.from_bytes(hashlib.blake2b(_bytes(words, starts[i], ends[i]), digest_size=8, salt=bytes([lane])).digest(), "little")
     return out
 
 
+def _bytes(words: np.ndarray, start: int, end: int) -> bytes:
+    return (words[start:end] & np.uint64(255)).astype(np.uint8).tobytes()
+
+
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A hash of every word, A-Z folded to lower case, and the number of words before each text."""
     hashes, counts = [np.zeros(0, np.uint64)], np.zeros(len(column) + 1, np.int64)
     for row, part in parts(column):
         raw, offsets = buffers(part)
         starts, ends, firsts = word_bounds(raw, offsets)
-        hashes.append(span_hashes(raw, starts, ends))
+        hashes.append(span_hashes(eights(raw), starts, ends))
         counts[row + 1 : row + 1 + len(part)] += np.diff(firsts)
     return np.concatenate(hashes), np.cumsum(counts)
 

@@ -4,8 +4,9 @@ The tokenizer must drop white space before it looks at the text and fold case, a
 of a text are the ids of its words, one after another, and any run of ASCII white space is a safe boundary. A full stop or
 comma that ends a word after an ASCII letter is a piece of its own for such a tokenizer and is cut off too. Words are
 found in a batch with numpy and remembered between batches by a hash of 64 bits; only words not yet seen go to the
-tokenizer, in batches balanced by bytes. A second, independent hash of every word is compared with that of the word
-remembered; texts in which they ever differ go to the tokenizer themselves.
+tokenizer, in batches balanced by bytes. A check value of every word, its bytes where it has eight at most and a second,
+independent hash where it is longer, is compared with that of the word remembered; texts in which they ever differ go to
+the tokenizer themselves.
 """
 
 from __future__ import annotations
@@ -17,10 +18,12 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from rawlane.llm.arrow_text import buffers, parts, span_hashes, word_bounds
+from rawlane.llm.arrow_text import buffers, eights, parts, span_hashes, span_heads, word_bounds
 
 #: Different words remembered by a process (some 30 bytes each); beyond that it starts afresh.
 REMEMBERED = 2_000_000
+#: Bits of the hash by which a word is looked up first; of words that share them, the latest is found so.
+SLOT_BITS = 20
 #: Bytes of new words that the tokenizer gets at once.
 BATCH_BYTES = 1 << 14
 
@@ -60,9 +63,10 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.hashes = np.zeros(0, np.uint64)
-        self.seconds = np.zeros(0, np.uint64)
+        self.hashes = np.zeros(0, np.uint64)  # sorted, and where each is in the memory
         self.rows = np.zeros(0, np.int64)
+        self.slots = np.zeros(1 << SLOT_BITS, np.int32)
+        self.names = np.zeros((2, 1 << 16), np.uint64)  # hash and check value of what is in the memory
         self.ids = np.zeros(1 << 16, np.int32)
         self.bounds = np.zeros(1 << 16, np.int64)
         self.known = 0
@@ -71,6 +75,7 @@ class WordEncoder:
         used = int(self.bounds[self.known])
         while self.known + len(counts) + 1 > len(self.bounds):
             self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
+            self.names = np.concatenate([self.names, np.zeros_like(self.names)], axis=1)
         while used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[used : used + len(ids)] = ids
@@ -110,37 +115,57 @@ class WordEncoder:
         ends = ends - stopped
         barred = _running(raw == ord("|"))
         exact = barred[ends] > barred[starts]
-        hashes, seconds = (span_hashes(raw, starts, ends, lane=lane) for lane in (0, 1))
+        hashes, checks = self._names(raw, starts, ends)
         if exact.any():  # special strings are told apart by case
-            hashes[exact], seconds[exact] = (~span_hashes(raw, starts[exact], ends[exact], lower=False, lane=lane) for lane in (0, 1))
-        found, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if self.known + len(found) > REMEMBERED:
-            self._forget()
-        at = np.searchsorted(self.hashes, found)
-        new = np.ones(len(found), bool)
-        inside = at < len(self.hashes)
-        new[inside] = self.hashes[at[inside]] != found[inside]
-        if new.any():
-            begins, stop = starts[first[new]], ends[first[new]]
-            odd = _running(~_PLAIN[raw])
-            signs = _running((raw[:-1] == 0xC3) & ((raw[1:] == 0x97) | (raw[1:] == 0xB7)))  # the two signs among those letters
-            thirds = _running((raw >= 0x80) & (raw < 0xC0))
-            leads = _running(raw == 0xC3)
-            plain = (odd[stop] == odd[begins]) & (signs[stop - 1] == signs[begins])
-            plain &= (thirds[stop] - thirds[begins]) == (leads[stop] - leads[begins])
-            data, here = raw.tobytes(), self.known
-            for kind in (True, False):
-                self._learn([data[a:b].decode() for a, b in zip(begins[plain == kind], stop[plain == kind], strict=True)], kind)
-            rows = np.empty(len(begins), np.int64)
-            rows[plain] = here + np.arange(plain.sum())
-            rows[~plain] = here + plain.sum() + np.arange((~plain).sum())
-            self.hashes = np.insert(self.hashes, at[new], found[new])
-            self.seconds = np.insert(self.seconds, at[new], seconds[first[new]])
-            self.rows = np.insert(self.rows, at[new], rows)
+            hashes[exact], checks[exact] = (~x for x in self._names(raw, starts[exact], ends[exact], lower=False))
+        slots = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        rows = self.slots[slots].astype(np.int64)
+        unknown = np.flatnonzero(self.names[0, rows] != hashes) if self.known else np.arange(len(hashes))
+        if len(unknown):
+            found, first, inverse = np.unique(hashes[unknown], return_index=True, return_inverse=True)
+            if self.known + len(found) > REMEMBERED:
+                self._forget()
+                return self._codes(column)
             at = np.searchsorted(self.hashes, found)
-        if (self.seconds[at][inverse] != seconds).any():
+            new = np.ones(len(found), bool)
+            inside = at < len(self.hashes)
+            new[inside] = self.hashes[at[inside]] != found[inside]
+            if new.any():
+                which = unknown[first[new]]
+                got = self._learned(raw, starts[which], ends[which])
+                self.names[:, got] = hashes[which], checks[which]
+                self.hashes = np.insert(self.hashes, at[new], found[new])
+                self.rows = np.insert(self.rows, at[new], got)
+                at = np.searchsorted(self.hashes, found)
+            rows[unknown] = self.rows[at][inverse]
+            self.slots[slots[unknown]] = rows[unknown]
+        if (self.names[1, rows] != checks).any():
             raise HashClash
-        return self.rows[at][inverse], stops, firsts
+        return rows, stops, firsts
+
+    def _names(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """The hash and the check value of each span."""
+        words = eights(raw, lower)
+        checks = span_heads(words, starts, ends)
+        hashes, long = span_hashes(words, starts, ends, heads=checks), np.flatnonzero(ends - starts > 8)
+        checks[long] = span_hashes(words, starts[long], ends[long], lane=1)
+        return hashes, checks
+
+    def _learned(self, raw: np.ndarray, begins: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Where in the memory the words that lie there are now that they have been encoded."""
+        odd = _running(~_PLAIN[raw])
+        signs = _running((raw[:-1] == 0xC3) & ((raw[1:] == 0x97) | (raw[1:] == 0xB7)))  # the two signs among those letters
+        thirds = _running((raw >= 0x80) & (raw < 0xC0))
+        leads = _running(raw == 0xC3)
+        plain = (odd[stop] == odd[begins]) & (signs[stop - 1] == signs[begins])
+        plain &= (thirds[stop] - thirds[begins]) == (leads[stop] - leads[begins])
+        data, here = raw.tobytes(), self.known
+        for kind in (True, False):
+            self._learn([data[a:b].decode() for a, b in zip(begins[plain == kind], stop[plain == kind], strict=True)], kind)
+        rows = np.empty(len(begins), np.int64)
+        rows[plain] = here + np.arange(plain.sum())
+        rows[~plain] = here + plain.sum() + np.arange((~plain).sum())
+        return rows
 
     def counts(self, column: pa.Array) -> np.ndarray:
         """The number of ids of every text. NULL counts as empty."""

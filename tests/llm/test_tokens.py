@@ -57,7 +57,7 @@ def test_different_words_are_told_apart():
     for lane in (0, 1):
         raw = np.frombuffer("".join(words).encode(), np.uint8)
         ends = np.cumsum([len(w) for w in words])
-        assert len(set(arrow_text.span_hashes(raw, ends - [len(w) for w in words], ends, lane=lane).tolist())) == len(words)
+        assert len(set(arrow_text.span_hashes(arrow_text.eights(raw), ends - [len(w) for w in words], ends, lane=lane).tolist())) == len(words)
 
 
 def test_words_with_one_hash(monkeypatch):
@@ -73,6 +73,27 @@ def test_words_with_one_hash(monkeypatch):
     assert words.counts(texts).tolist() == [len(w) for w in want]
 
 
+def test_spans_with_equal_hashes_and_heads_are_equal():
+    raw = np.frombuffer(b"a\0bcdefghi\0\0abcdefgh", np.uint8)
+    words, seen = arrow_text.eights(raw), {}
+    for start in range(len(raw)):
+        for end in range(start, min(start + 8, len(raw)) + 1):
+            at = np.array([start]), np.array([end])
+            name = int(arrow_text.span_hashes(words, *at)[0]), int(arrow_text.span_heads(words, *at)[0])
+            assert seen.setdefault(name, raw[start:end].tobytes()) == raw[start:end].tobytes()
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_words_that_share_a_slot(monkeypatch):
+    from rawlane.llm import subwords
+
+    monkeypatch.setattr(subwords, "SLOT_BITS", 1)
+    words = WordEncoder(PATH)
+    texts = pa.array(["one two three four five six seven", None, "six one eight internationalisation Internationalisation, x"] * 2)
+    for _ in range(2):
+        assert [list(x[:-1]) for x in words.documents(texts, 7)] == [LIBRARY.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+
+
 def test_long_texts_are_cut_before_white_space():
     text = "".join(f"word{i} " for i in range(5000)) + "x" * 3000
     parts = list(arrow_text.parts(pa.array(["a", text, "b"]), 1000))
