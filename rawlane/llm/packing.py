@@ -1,8 +1,9 @@
 """Packing documents into training sequences along a space-filling curve.
 
-Every document's hashed bag of words is projected to a few dimensions by random signs; the Hilbert key of that point
-orders documents so that neighbours on the curve share words. Documents are range-sorted by key, and every partition cuts
-its stretch of the curve into sequences.
+Every document's hashed bag of words is projected to a few dimensions by random signs and scaled to unit length, so its
+direction counts and its length doesn't; the Hilbert key of that point orders documents so that neighbours on the curve
+share words. Documents are range-sorted by key, in ranges of about equal bytes, and every partition cuts its stretch of the
+curve into sequences.
 """
 
 from __future__ import annotations
@@ -16,21 +17,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawlane.llm.arrow_text import mix, word_hashes
+from rawlane.llm.arrow_text import buffers, mix, word_hashes
 from rawlane.llm.subwords import encoder
+from rawlane.session import work_path
 
-DIMENSIONS, BITS = 4, 15
+DIMENSIONS, BITS = 6, 10
 
 
 def curve_points(column: pa.Array) -> np.ndarray:
-    """The cell of every text in a grid of 2^15 steps in each of four dimensions. Texts without words lie in the middle."""
+    """The cell of every text in a grid of 2^10 steps in each of six dimensions. Texts without words lie in the middle.
+
+    Six sums of signs estimate the length of the vector of word counts as well as its direction, so texts of any length
+    spread over the whole sphere.
+    """
     words, firsts = word_hashes(column)
-    n = np.diff(firsts)
-    signs, sums = mix(words), np.zeros((len(words) + 1, DIMENSIONS))
+    signs, sums = mix(words), np.zeros((len(words) + 1, DIMENSIONS), np.int32)
     for d in range(DIMENSIONS):
-        np.cumsum(((signs >> np.uint64(7 * d)) & np.uint64(1)).astype(np.int8) * 2.0 - 1, out=sums[1:, d])
-    spread = (sums[firsts[1:]] - sums[firsts[:-1]]) / np.sqrt(np.maximum(n, 1))[:, None]
-    return np.minimum(((np.tanh(spread / 2) + 1) / 2 * (1 << BITS)).astype(np.int64), (1 << BITS) - 1)
+        np.cumsum(((signs >> np.uint64(7 * d)) & np.uint64(1)).astype(np.int8) * 2 - 1, dtype=np.int32, out=sums[1:, d])
+    toward = (sums[firsts[1:]] - sums[firsts[:-1]]).astype(float)
+    toward /= np.maximum(np.sqrt((toward**2).sum(1)), 1)[:, None]
+    return np.minimum(((toward + 1) / 2 * (1 << BITS)).astype(np.int64), (1 << BITS) - 1)
 
 
 def hilbert_keys(points: np.ndarray) -> np.ndarray:
@@ -62,8 +68,43 @@ def hilbert_keys(points: np.ndarray) -> np.ndarray:
     return keys
 
 
+def _cuts(keys: DataFrame, partitions: int, most_bytes: int, per_partition: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """Where the curve is cut into ranges of about equal bytes: the last key (place and tie) of all ranges but one.
+
+    ``keys`` has ``curve, tie, bytes`` per document. There are as many ranges as ``partitions``, fewer where they would
+    hold less than a megabyte and more where they would hold over ``most_bytes``. Documents are drawn in proportion to
+    their bytes, some ``per_partition`` for a range, so what the driver gets is bounded by the number of ranges.
+    """
+    total = keys.agg(F.sum("bytes")).first()[0] or 0
+    ranges = max(min(partitions, -(-total >> 20)), -(-total // most_bytes), 1)
+    draw = F.pmod(F.xxhash64("tie", "curve"), F.lit(1 << 20)) / (1 << 20)
+    drawn = keys.withColumn("times", F.floor(F.col("bytes") * (ranges * per_partition / max(total, 1)) + draw)).where("times > 0")
+    drawn = drawn.select("curve", "tie", "times").toArrow()
+    curve, tie, times = (drawn[c].to_numpy() for c in ("curve", "tie", "times"))
+    order = np.lexsort((tie, curve))
+    passed = np.cumsum(times[order])
+    if not len(passed):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = order[np.searchsorted(passed, passed[-1] * np.arange(1, ranges) / ranges)]
+    return curve[at], tie[at]
+
+
+def _range_of(curve: np.ndarray, tie: np.ndarray, cuts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The range that each key lies in. Equal places on the curve are told apart by their ties."""
+    low, high = (np.searchsorted(cuts[0], curve, side) for side in ("left", "right"))
+    for i in np.flatnonzero(low < high):
+        low[i] += np.searchsorted(cuts[1][low[i] : high[i]], tie[i])
+    return low
+
+
 def pack(
-    docs: DataFrame, tokenizer_path: str, end_id: int, length: int = 2048, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    tokenizer_path: str,
+    end_id: int,
+    length: int = 2048,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    most_bytes: int = 128 << 20,
 ) -> DataFrame:
     """Pieces of all documents, laid into sequences of at most ``length`` (a power of two) tokens.
 
@@ -72,24 +113,31 @@ def pack(
     sequence. A document is cut wherever a sequence is full. What is left at the end of a partition goes into sequences of
     falling powers of two, so nothing is ever padded.
 
-    NULL text counts as empty: such a document is ``end_id`` alone. Ties on the curve are ordered by id, then by a hash of
-    the text, which also keeps copies from meeting in one partition. Repeated rows are packed each for itself. Other
-    columns are ignored.
+    NULL text counts as empty: such a document is ``end_id`` alone. Ties on the curve are ordered by a hash of id and text,
+    so copies don't have to meet in one partition. Repeated rows are packed each for itself. Other columns are ignored.
+    A partition gets about ``most_bytes`` of text at most, more only by what one document is longer.
     """
     if length & (length - 1):
         raise ValueError("length must be a power of two")
     id_field = T.StructField("doc_id", docs.schema[doc_id].dataType)
-    placed = T.StructType([id_field, T.StructField("text", T.StringType()), T.StructField("curve", T.LongType())])
+    keyed = T.StructType.fromDDL("curve long, tie long, bytes long")
+    placed = T.StructType([id_field, *T.StructType.fromDDL("text string, curve long, tie long, range int").fields])
     longs = ("doc_tokens", "sequence_id", "offset")
     schema = T.StructType(
         [id_field, T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())]
         + [T.StructField(c, T.LongType()) for c in longs]
     )
 
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            curve, sizes = hilbert_keys(curve_points(batch.column(1))), np.diff(buffers(batch.column(1))[1])
+            yield pa.RecordBatch.from_arrays([pa.array(curve), batch.column(2), pa.array(sizes)], keyed.names)
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = hilbert_keys(curve_points(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys)], placed.names)
+            curve = hilbert_keys(curve_points(batch.column(1)))
+            ranges = _range_of(curve, batch.column(2).to_numpy(), cuts).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(curve), batch.column(2), pa.array(ranges)], placed.names)
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, first = encoder(tokenizer_path), TaskContext.get().partitionId() << 40
@@ -138,7 +186,9 @@ def pack(
         values = [keys, pa.array(columns[1], pa.int64()), pa.array(lengths, pa.int64()), ids, *(pa.array(c, pa.int64()) for c in columns[3:])]
         return pa.RecordBatch.from_arrays(values, schema.names)
 
-    on_curve = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")).mapInArrow(place, placed)
-    on_curve = on_curve.withColumn("tie", F.xxhash64("text"))
-    ordered = on_curve.repartitionByRange("curve", "doc_id", "tie").sortWithinPartitions("curve", "doc_id", "tie")
+    spark, path = docs.sparkSession, work_path(docs.sparkSession, "packing")
+    tied = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), F.xxhash64(docs[doc_id], docs[text]).alias("tie"))
+    tied.mapInArrow(keys, keyed).write.parquet(path)
+    cuts = _cuts(spark.read.parquet(path), int(spark.conf.get("spark.sql.shuffle.partitions")), most_bytes)
+    ordered = tied.mapInArrow(place, placed).repartitionById(len(cuts[0]) + 1, "range").sortWithinPartitions("curve", "tie")
     return ordered.select("doc_id", "text").mapInArrow(lay, schema)

@@ -175,3 +175,21 @@ def test_near_copies_lie_together_on_the_curve():
     keys = packing.hilbert_keys(packing.curve_points(pa.array(texts + near)))
     order = np.argsort(np.argsort(keys))
     assert np.median(np.abs(order[:50] - order[50:])) <= 3
+
+
+def test_ranges_of_equal_bytes(spark):
+    """Long documents, copies of one document and a third of all rows at one place are spread by their bytes."""
+    rng = np.random.default_rng(1)
+    n = 6000
+    curve = np.where(rng.random(n) < 1 / 3, 77, rng.integers(0, 1 << 40, n))
+    sizes = np.where(curve % 50 == 0, 300_000, rng.integers(0, 6000, n))
+    tie = rng.integers(-(1 << 62), 1 << 62, n)
+    keys = spark.createDataFrame(pa.table({"curve": curve, "tie": tie, "bytes": sizes}))
+    cuts = packing._cuts(keys, partitions=12, most_bytes=1 << 30)
+    where = packing._range_of(curve, tie, cuts)
+    order = np.lexsort((tie, curve))
+    assert (np.diff(where[order]) >= 0).all() and set(where) == set(range(12))
+    held = np.bincount(where, sizes)
+    assert held.max() < 2 * np.median(held)
+    assert len(packing._cuts(keys, partitions=1, most_bytes=1 << 20)[0]) == -(-int(sizes.sum()) >> 20) - 1
+    assert len(packing._cuts(keys.limit(0), partitions=8, most_bytes=1 << 30)[0]) == 0
