@@ -131,6 +131,101 @@ def test_copies_of_a_passage_leave_the_verdict_on_other_spans(spark):
 
     once = verdicts(1)
     assert sum(map(bool, once.values())) >= 40 and verdicts(2000) == once
+    assert not any(once[i] for i in range(140, 160))  # what follows the word order
+
+
+def test_lines_of_a_template_leave_the_verdict_on_other_spans(spark):
+    rng = random.Random(5)
+
+    def number():
+        return f"{rng.randrange(200, 999)}-{rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}"
+
+    texts = [f"you may call {number()} now." for _ in range(40)] + [f"so it was {number()} then." for _ in range(60)]
+    texts += [f"the order {number()} came." for _ in range(20)]
+    lines = [f"and the order {number()} was shipped to Name{i} on day {i}" for i in range(2000)]
+
+    def found(more):
+        docs = spark.createDataFrame(list(enumerate([*texts, *lines[:more]])), "doc_id long, text string")
+        return {r.doc_id for r in pii.personal_spans(docs).where("size(added) > 0").collect()}
+
+    assert found(0) == found(2000) == set(range(100))
+
+
+def brute_base(text):
+    """The contract's patterns as they are stated, one after another."""
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    card = re.compile(r"[0-9]([\x20-]?[0-9])+")
+    phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+    def number(m):
+        return [int(c) for c in m[0] if c in "0123456789"]
+
+    def passes(digits):
+        total = 0
+        for i, d in enumerate(reversed(digits)):
+            total += d if i % 2 == 0 else sum(divmod(2 * d, 10))
+        return total % 10 == 0
+
+    out = [("email", *m.span()) for m in email.finditer(text)]
+    out += [("ip", *m.span()) for m in ip.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [("card", *m.span()) for m in card.finditer(text) if 13 <= len(number(m)) <= 19 and passes(number(m))]
+    return out + [("phone", *m.span()) for m in phone.finditer(text) if 9 <= len(number(m)) <= 15]
+
+
+def test_spelled_personal_spans_of_random_texts(spark):
+    rng = random.Random(6)
+    pieces = ["a.b", "@", "@x", ".", "..", "-", " ", "+", "+1 ", "(", ")", "255", "256", "01", "9", "é", "😀", "\n", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (988) 555-2485", "1.2.3.4", "x@y.z", "0" * 7, "tel (415) 555-2671 ", "SSN 123-45-6789 ", "a (at) b.com"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(30))) for _ in range(1500)] + [None, ""]
+    rows = [(i, t, "x", 1) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string, n_ip int")
+    got = {r.doc_id: r for r in pii.spelled_spans(pii.personal_spans(docs)).collect()}
+    assert len(got) == len(rows)
+    for i, text, *_ in rows:
+        base, r = brute_base(text or ""), got[i]
+        spelled = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(b[0] == k for b in base) for k in pii.BASE_KINDS]
+        assert r.base_sha256 == hashlib.sha256(spelled.encode()).hexdigest()
+        assert r.spans == spelled or r.spans.startswith(f"{spelled},") or not spelled
+    assert any(r.spans.count(":") > 2 * sum((r.n_email, r.n_ip, r.n_card, r.n_phone)) for r in got.values())
+
+
+def test_precision_and_recall_of_every_added_kind(spark):
+    """Kinds planted in settings of their own, look-alikes beside them; also a long text without any."""
+    rng = random.Random(7)
+
+    def digits(n):
+        return "".join(str(rng.randrange(10)) for _ in range(n))
+
+    def iban(good):
+        while True:
+            body = "GB" + digits(2) + "WEST" + digits(14)
+            spaced = " ".join(body[i : i + 4] for i in range(0, 22, 4))
+            if pii._iban_checks(body) == good and not brute_base(spaced):  # what touches a base span is no candidate
+                return spaced
+
+    planted = {
+        "email_spelled": lambda: f"you can reach me by mail: user{digits(3)} (at) mail{digits(2)}.org any time",
+        "phone_local": lambda: f"please call ({rng.randrange(200, 999)}) 555-{digits(4)} after six",
+        "national_id": lambda: f"her social security number is {rng.randrange(100, 600)}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)} as stated",
+        "iban": lambda: f"transfer it to the account {iban(True)} by Monday",
+        "person": lambda: f"the patient is Mrs. {rng.choice(['Mary', 'Anna', 'Laura'])} {rng.choice(['Stone', 'Rivers', 'Field'])} of this town",
+    }
+    alike = {
+        "email_spelled": lambda: f"we met user{digits(3)} (at) place{digits(2)}.nowhere last week",
+        "phone_local": lambda: f"see order {rng.randrange(200, 999)}-555-{digits(4)} of that day",
+        "national_id": lambda: f"the part no 000-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)} was sold",
+        "iban": lambda: f"the serial {iban(False)} was printed",
+        "person": lambda: "as Dr Watson would have said",
+    }
+    rows = [(kind, good, make()) for good, table in ((True, planted), (False, alike)) for kind, make in table.items() for _ in range(40)]
+    texts = [(i, text) for i, (_, _, text) in enumerate(rows)] + [(10_000, prose(8, 200_000))]
+    found = {r.doc_id: {s["kind"] for s in r.added} for r in pii.personal_spans(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert found[10_000] == set()
+    for kind in pii.ADDED_KINDS:
+        right = [kind in found[i] for i, (k, good, _) in enumerate(rows) if k == kind and good]
+        wrong = [kind in found[i] for i, (k, good, _) in enumerate(rows) if k == kind and not good]
+        assert sum(right) >= 0.9 * len(right) and sum(right) >= 0.9 * (sum(right) + sum(wrong)), kind
 
 
 def test_estimation_finds_the_better_labeler():
