@@ -8,6 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Shares into which the hosts below one domain are dealt, so that no task has to look them all up.
+SHARES = 16
+
 _AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?"
 
 
@@ -47,9 +50,10 @@ def judge_captures(captures: DataFrame, entries: DataFrame, capture_id: str = "p
     ``matches`` is a sorted, comma-joined list of ``list_name:kind:pattern``. Every capture gives one row; one without a
     URL, a host or a day matches nothing.
 
-    Captures are first brought down to distinct (pattern, day) pairs, so that a host with a third of all captures asks once
-    per day. These meet the intervals by pattern and month; an interval is spread over the months of the captures it
-    touches, so both sides of a key are bounded by the days of a month.
+    Captures are first brought down to distinct hosts and addresses per day, and what these ask for to distinct (kind,
+    pattern, day): a domain that a third of all hosts are below is asked for once a day. This meets the intervals by pattern
+    and month; an interval is spread over the months of the captures it touches, so both sides of a key are bounded by the
+    days of a month. What was found, a row per pattern and day, goes back to the hosts below a domain in ``SHARES`` copies.
     """
     rows = captures.select(captures[capture_id].alias("page_id"), captures[url].alias("url"), captures[day].cast("date").alias("fetch_date"))
     rows = rows.withColumns({"host": url_host(F.col("url")), "url_key": url_key(F.col("url"))})
@@ -62,7 +66,7 @@ def judge_captures(captures: DataFrame, entries: DataFrame, capture_id: str = "p
         F.transform(parents, lambda p: F.struct(F.lit("domain").alias("kind"), p.alias("pattern"))),
     )
     host_keys = hosts.select("host", "fetch_date", F.explode(asked).alias("k")).select("host", "fetch_date", "k.kind", "k.pattern")
-    url_keys = urls.select("url_key", "fetch_date", F.lit("url").alias("kind"), F.col("url_key").alias("pattern"))
+    url_keys = urls.select(F.lit("url").alias("kind"), F.col("url_key").alias("pattern"), "fetch_date")
 
     span = rows.agg(F.min("fetch_date"), F.max("fetch_date")).first()
     first, last = (F.lit(d).cast("date") for d in span)
@@ -72,15 +76,21 @@ def judge_captures(captures: DataFrame, entries: DataFrame, capture_id: str = "p
     months = F.sequence(F.trunc(begins, "MM"), F.trunc(ends, "MM"), F.expr("interval 1 month"))
     spread = spread.withColumn("month", F.explode(months))
 
-    def found(keys: DataFrame, key: str) -> DataFrame:
-        asked_at = keys.withColumn("month", F.trunc("fetch_date", "MM"))
-        active = (F.col("valid_from") <= F.col("fetch_date")) & (F.col("valid_to").isNull() | (F.col("fetch_date") < F.col("valid_to")))
-        met = asked_at.join(spread, ["kind", "pattern", "month"]).where(active)
-        named = F.concat_ws(":", "list_name", "kind", "pattern")
-        return met.groupBy(key, "fetch_date").agg(F.collect_set(named).alias(f"by_{key}"))
-
-    out = rows.join(found(host_keys, "host"), ["host", "fetch_date"], "left")
-    out = out.join(found(url_keys, "url_key"), ["url_key", "fetch_date"], "left")
+    pairs = host_keys.select("kind", "pattern", "fetch_date").distinct().unionByName(url_keys)
+    met = pairs.withColumn("month", F.trunc("fetch_date", "MM")).join(spread, ["kind", "pattern", "month"])
+    active = (F.col("valid_from") <= F.col("fetch_date")) & (F.col("valid_to").isNull() | (F.col("fetch_date") < F.col("valid_to")))
+    named = F.collect_set(F.concat_ws(":", "list_name", "kind", "pattern")).alias("names")
+    found = met.where(active).groupBy("kind", "pattern", "fetch_date").agg(named)
+
+    itself = F.lit(SHARES)  # a host asks for its own name as one of a kind, for its parents with all hosts of its share
+    shares = F.when(F.col("kind") == "domain", F.sequence(F.lit(0), itself)).otherwise(F.array(itself))
+    share = F.when(F.col("pattern") == F.col("host"), itself).otherwise(F.pmod(F.xxhash64("host"), F.lit(SHARES)).cast("int"))
+    of_hosts = found.where(F.col("kind") != "url").withColumn("share", F.explode(shares))
+    by_host = host_keys.withColumn("share", share).join(of_hosts, ["kind", "pattern", "fetch_date", "share"])
+    by_host = by_host.groupBy("host", "fetch_date").agg(F.flatten(F.collect_list("names")).alias("by_host"))
+    by_url = found.where(F.col("kind") == "url").select(F.col("pattern").alias("url_key"), "fetch_date", F.col("names").alias("by_url_key"))
+
+    out = rows.join(by_host, ["host", "fetch_date"], "left").join(by_url, ["url_key", "fetch_date"], "left")
     none = F.array().cast("array<string>")
     matches = F.array_sort(F.concat(F.coalesce("by_host", none), F.coalesce("by_url_key", none)))
     return out.select("page_id", "url", "fetch_date", F.array_join(matches, ",").alias("matches"), (F.size(matches) > 0).alias("blocked"))
