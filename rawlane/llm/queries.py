@@ -27,14 +27,17 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = work_path(spark, "warc")
     warc.write_warc(_table(spark, folder, "pages"), path)
-    captures = warc.assemble_transactions(warc.read_warc(spark, path))
-    notes = F.col("metadata.fields")
+    parsed = work_path(spark, "warc-records")
+    warc.read_warc(spark, path, with_payload=False).write.parquet(parsed)
+    captures = warc.assemble_transactions(spark.read.schema(warc.RECORD).parquet(parsed))
+    page = F.try_element_at("metadata.fields", F.lit("key")).cast("long")
+    captures = warc.revisited(captures, page)
     return captures.select(
-        F.try_element_at(notes, F.lit("key")).cast("long").alias("page_id"),
+        page.alias("page_id"),
         "payload_bytes",
         "payload_digest",
         "record_type",
-        F.try_element_at(notes, F.lit("revisits")).cast("long").alias("refers_to"),
+        F.col("revisits").alias("refers_to"),
         F.col("target_uri").alias("url"),
         F.col("request.start_line").alias("request"),
     )

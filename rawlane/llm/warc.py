@@ -1,8 +1,8 @@
 """WARC archives: writing captures, reading records, and joining a capture's records into one nested row.
 
 Every capture is written as a response (or, for a payload written elsewhere, a revisit) with a request and a metadata
-record that name it in ``WARC-Concurrent-To``. Spark's text sink writes the archives: a row is a capture's records, and
-the two line ends that close a record are the sink's line separator.
+record that name it in ``WARC-Concurrent-To``. Spark's text sink writes the archives: a row is an archive, bounded by bytes,
+and the two line ends that close its last record are the sink's line separator.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 END = "\r\n\r\n"
-#: Captures in a file at most, so that a reader can hold a file.
-CAPTURES_PER_FILE = 1000
+#: An archive is closed when its records have so many bytes, so that a task can hold one.
+ARCHIVE_BYTES = 32 << 20
 _MAP = T.MapType(T.StringType(), T.StringType())
 
 RECORD = T.StructType(
@@ -71,8 +71,10 @@ def write_warc(
     payload: str = "html",
     least_revisit_bytes: int = 0,
     date: str = "2024-01-01T00:00:00Z",
+    archive_bytes: int = ARCHIVE_BYTES,
 ) -> None:
-    """Write every row of ``captures`` as one transaction to gzipped archives below ``path``.
+    """Write every row of ``captures`` as one transaction to gzipped archives below ``path``. An archive begins with a
+    warcinfo record and ends with the capture that brings it to ``archive_bytes`` before compression.
 
     The payload is the text in UTF-8, empty for NULL. Of rows with equal payloads of at least ``least_revisit_bytes`` the
     one with the largest key is a response, all with a smaller (or NULL) key revisit it; rows that tie on the largest key
@@ -90,10 +92,14 @@ def write_warc(
     rows = rows.join(originals, "sha1").select("key", "url", "payload", "original")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        info = _record("warcinfo", f"<urn:uuid:{uuid.uuid4()}>", date, "application/warc-fields", b"format: WARC File Format 1.1\r\n")
-        yield pa.RecordBatch.from_arrays([pa.array([info])], ["value"])
+        held: list[bytes] = []
+        size = 0
+
+        def archive() -> pa.RecordBatch:
+            info = _record("warcinfo", f"<urn:uuid:{uuid.uuid4()}>", date, "application/warc-fields", b"format: WARC File Format 1.1\r\n")
+            return pa.RecordBatch.from_arrays([pa.array([END.encode().join((info, *held))], pa.binary())], ["value"])
+
         for batch in batches:
-            out = []
             for k, address, body, original in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 digest = base32_sha1(body)
                 same_id, revisit = response_id(k, digest), original is not None and k != original and len(body) >= least_revisit_bytes
@@ -107,13 +113,17 @@ def write_warc(
                 ask = f"GET /{rest} HTTP/1.1\r\nHost: {host}\r\n\r\n".encode()
                 request = _record("request", f"<urn:uuid:{uuid.uuid4()}>", date, http + "request", ask, Target_URI=address, Concurrent_To=same_id)
                 notes = "" if k is None else f"key: {_line(k)}\r\n"
-                notes += f"revisits: {_line(original)}\r\n" if revisit else ""
                 about = _record("metadata", f"<urn:uuid:{uuid.uuid4()}>", date, "application/warc-fields", notes.encode(), Target_URI=address, Concurrent_To=same_id)
-                out.append(END.encode().join((main, request, about)))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+                held += (main, request, about)
+                size += len(main) + len(request) + len(about)
+                if size >= archive_bytes:
+                    yield archive()
+                    held, size = [], 0
+        if held:
+            yield archive()
 
     lines = rows.mapInArrow(records, "value binary").select(F.col("value").cast("string").alias("value"))
-    lines.write.option("lineSep", END).option("maxRecordsPerFile", CAPTURES_PER_FILE).option("compression", "gzip").text(path)
+    lines.write.option("lineSep", END).option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
 
 
 class _Stream:
@@ -236,6 +246,14 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> Data
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(parse, RECORD)
 
 
+def revisited(captures: DataFrame, key: Column) -> DataFrame:
+    """``captures`` with the column ``revisits``: of a revisit the ``key`` of the response whose record id it refers to
+    (the largest, where several responses have that id), NULL where there is none; NULL for all other captures."""
+    known = captures.where("record_type = 'response'").groupBy(F.col("record_id").alias("_response")).agg(F.max(key).alias("revisits"))
+    refers = F.when(F.col("record_type") == "revisit", F.col("refers_to"))
+    return captures.join(known, refers == F.col("_response"), "left").drop("_response")
+
+
 def assemble_transactions(records: DataFrame) -> DataFrame:
     """One nested row per capture: the response or revisit with its ``request`` and ``metadata``, NULL where missing.
 

@@ -19,13 +19,14 @@ def test_round_trip_of_odd_pages(spark, tmp_path):
     warc.write_warc(pages, path)
     records = warc.read_warc(spark, path)
     assert collections.Counter(r.record_type for r in records.collect())["malformed"] == 0
-    captures = warc.assemble_transactions(records).collect()
+    assembled = warc.assemble_transactions(records)
+    captures = warc.revisited(assembled, F.try_element_at("metadata.fields", F.lit("key")).cast("long")).collect()
     assert len(captures) == len(rows)
     got = collections.Counter()
     for c in captures:
         assert c.request.start_line.startswith("GET /") and c.record_id.startswith("<urn:uuid:")
         notes = c.metadata.fields
-        got[(notes.get("key"), c.record_type, notes.get("revisits"), c.payload_bytes, c.payload_digest)] += 1
+        got[(notes.get("key"), c.record_type, None if c.revisits is None else str(c.revisits), c.payload_bytes, c.payload_digest)] += 1
         if c.record_type == "response":
             assert hashlib.sha1(c.payload).digest() == base64.b32decode(c.payload_digest)
     want = collections.Counter()
@@ -46,6 +47,35 @@ def test_round_trip_of_odd_pages(spark, tmp_path):
     assert warc.assemble_transactions(warc.read_warc(spark, none)).collect() == []
 
 
+def test_archives_are_closed_by_bytes(spark, tmp_path):
+    pages = spark.range(300).select(F.col("id").alias("page_id"), F.lit("http://a.example/").alias("url"), F.expr("repeat(cast(id as string), if(id = 7, 200000, 300))").alias("html"))
+    path = str(tmp_path / "warc")
+    warc.write_warc(pages.coalesce(2), path, archive_bytes=50_000)
+    contents = [gzip.decompress(r.content) for r in spark.read.format("binaryFile").load(path).collect()]
+    assert len(contents) >= 6 and sorted(map(len, contents))[-2] < 60_000
+    for content in contents:
+        records = list(warc.parse_archive("f", content))
+        assert [r[2] for r in records].count("warcinfo") == 1 and records[0][2] == "warcinfo" and records[-1][2] != "malformed"
+    captures = warc.assemble_transactions(warc.read_warc(spark, path, with_payload=False)).collect()
+    assert sorted(int(c.metadata.fields["key"]) for c in captures) == list(range(300))
+
+
+def test_a_domain_above_many_hosts_is_asked_for_once_a_day(spark, settings):
+    """A third of all hosts are below one listed domain: the lists meet a row per pattern and day, and the hosts' rows are
+    dealt into shares."""
+    day = dt.date(2024, 1, 15)
+    host = F.when(F.col("id") % 3 == 0, F.concat(F.lit("h"), F.col("id").cast("string"), F.lit(".hot.example"))).otherwise(F.concat(F.lit("w"), F.col("id").cast("string"), F.lit(".net")))
+    captures = spark.range(6000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://"), host, F.lit("/")).alias("url"), F.lit(day).alias("fetch_date"))
+    listed = spark.createDataFrame([("l", "domain", "hot.example", "add", day), ("l", "domain", "h0.hot.example", "add", day), ("l", "host", "w1.net", "add", day), (None, "host", "w2.net", "add", day), ("l", None, "w4.net", "add", day)], "list_name string, kind string, pattern string, action string, effective date")
+    with settings(spark__sql__autoBroadcastJoinThreshold="-1"):
+        got = urlfilter.judge_captures(captures, listed)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = {r.page_id: r.matches for r in got.collect()}
+    assert "Python" not in plan and "BroadcastHashJoin" not in plan and "share" in plan
+    want = {i: "l:domain:hot.example" if i % 3 == 0 else "" for i in range(6000)}
+    assert rows == want | {0: "l:domain:h0.hot.example,l:domain:hot.example", 1: "l:host:w1.net", 2: "host:w2.net"}
+
+
 def test_foreign_archives(spark):
     head = "WARC/1.0\r\nWARC-Type: {}\r\nWARC-Record-ID: <{}>\r\n{}Content-Type: {}\r\nContent-Length: {}\r\n\r\n{}\r\n\r\n"
     http = "HTTP/1.1 200 OK\r\nX: 1\r\n\r\nbody"
