@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 END = "\r\n\r\n"
 #: An archive is closed when its records have so many bytes, so that a task can hold one.
 ARCHIVE_BYTES = 32 << 20
+#: Shares into which the revisits of one response are dealt.
+SHARES = 256
 _MAP = T.MapType(T.StringType(), T.StringType())
 
 RECORD = T.StructType(
@@ -248,10 +250,20 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> Data
 
 def revisited(captures: DataFrame, key: Column) -> DataFrame:
     """``captures`` with the column ``revisits``: of a revisit the ``key`` of the response whose record id it refers to
-    (the largest, where several responses have that id), NULL where there is none; NULL for all other captures."""
-    known = captures.where("record_type = 'response'").groupBy(F.col("record_id").alias("_response")).agg(F.max(key).alias("revisits"))
-    refers = F.when(F.col("record_type") == "revisit", F.col("refers_to"))
-    return captures.join(known, refers == F.col("_response"), "left").drop("_response")
+    (the largest, where several responses have that id), NULL where there is none; NULL for all other captures.
+
+    Revisits of one response are dealt into ``SHARES`` shares. The response's key goes to the shares that there are, so a
+    payload that a third of all captures have comes back in many tasks, and one with a few in as many rows.
+    """
+    again = F.col("record_type") == "revisit"
+    share = F.pmod(F.xxhash64("record_id"), F.lit(SHARES)).cast("int")
+    asked = captures.where(again & F.col("refers_to").isNotNull()).select(F.col("refers_to").alias("_asked"), share.alias("_share")).distinct()
+    known = captures.where("record_type = 'response'").groupBy(F.col("record_id").alias("_asked")).agg(F.max(key).alias("_key"))
+    told = asked.join(known, "_asked")
+    # captures that revisit nothing get a key of their own, so that they are spread as well
+    rows = captures.withColumns({"_asked": F.coalesce(F.when(again, F.col("refers_to")), "record_id"), "_share": share})
+    out = rows.join(told, ["_asked", "_share"], "left")
+    return out.select(*captures.columns, F.when(again, F.col("_key")).alias("revisits"))
 
 
 def assemble_transactions(records: DataFrame) -> DataFrame:
