@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawlane.operators.load import clustered_write, read_replaced, replace_by_source_file
+from rawlane.operators.load import clustered_write, interleaved_write, read_replaced, replace_by_source_file
 from rawlane.operators.rejections import append_rejections, read_rejections, rejection_records
 from rawlane.operators.routing import clean_table, error_entries, rejections, run_metrics, valid_rows, warn_entries
 from rawlane.session import work_path
@@ -166,3 +166,11 @@ def clustered(t: Tables) -> DataFrame:
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("dia"))
     clustered_write(rows, path, ["o_custkey", "dia"], partition_by="o_orderstatus")
     return t.spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
+@check("SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS dia FROM orders", name="interleaved_write", dates=["dia"])
+def laid_out_by_two_keys(t: Tables) -> DataFrame:
+    path = work_path(t.spark, "interleaved")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("dia"))
+    interleaved_write(rows, path, ["o_custkey", "dia"])
+    return t.spark.read.schema(rows.schema).parquet(path)

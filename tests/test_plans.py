@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rawlane import FATURAMENTO
-from rawlane.operators.load import clustered_write
+from rawlane.operators.load import clustered_write, interleaved_write, key_splits
 from rawlane.plans import analytics
 from rawlane_checks import CHECKS
 from rawlane_checks.registry import Tables
@@ -84,3 +84,47 @@ def test_clustered_write_spreads_a_hot_key(spark, tmp_path, settings):
 def test_run_state_hashes(spark):
     for name in ("run_state_update", "failed_runs", "run_history"):
         assert "SortAggregate" not in plan(CHECKS[name].run(spark, FOLDER))
+
+
+def files_read(table, key, value):
+    """Files whose statistics do not rule the value out, of all files."""
+    per_file = table.groupBy(F.input_file_name().alias("f")).agg(F.min(key).alias("lo"), F.max(key).alias("hi")).collect()
+    return sum(r.lo is not None and r.lo <= value <= r.hi for r in per_file), len(per_file)
+
+
+def test_interleaved_write_lets_every_key_skip_files(spark, tmp_path):
+    rows = spark.range(20_000).select(
+        F.format_string("Customer#%09d", F.pmod(F.xxhash64("id"), F.lit(3000))).alias("cnpj"),
+        F.date_add(F.lit(dt.date(2020, 1, 1)), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1500)).cast("int")).alias("data_fat"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("z"),
+        F.when(F.col("id") % 11 > 0, "x").alias("spread"),
+    )
+    path = str(tmp_path / "i")
+    interleaved_write(rows, path, ["cnpj", "data_fat"], partitions=32)
+    table = spark.read.parquet(path)
+    assert table.columns == rows.columns and sorted(table.collect(), key=str) == sorted(rows.collect(), key=str)
+    for key, value in (("cnpj", "Customer#000001234"), ("data_fat", dt.date(2022, 3, 4))):
+        read, files = files_read(table, key, value)
+        assert files >= 30 and 1 <= read < files / 3
+    assert files_read(table, "z", 7)[0] > files_read(table, "cnpj", "Customer#000000001")[0]
+
+
+def test_interleaved_write_of_hot_null_and_no_rows(spark, tmp_path):
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), F.col("id").alias("v"))
+    interleaved_write(rows, str(tmp_path / "h"), ["k", "v"], partitions=8)
+    table = spark.read.parquet(str(tmp_path / "h"))
+    per_file = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_file) == 9000 and max(per_file) < 3 * 9000 / 8 and table.where("k IS NULL").count() == 3000
+    interleaved_write(rows.limit(0), str(tmp_path / "n"), ["k"])
+    assert spark.read.schema(rows.schema).parquet(str(tmp_path / "n")).count() == 0
+    interleaved_write(rows.select(F.lit(None).cast("string").alias("k")), str(tmp_path / "o"), ["k"])
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 9000
+    with pytest.raises(ValueError):
+        interleaved_write(rows, str(tmp_path / "x"), [])
+
+
+def test_splits_cut_different_values_evenly(spark):
+    rows = spark.range(50_000).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"))
+    splits = key_splits(rows, "k", 8)
+    counts = [rows.where((F.col("k") >= lo) & (F.col("k") < hi)).select("k").distinct().count() for lo, hi in zip([-2, *splits], [*splits, 1 << 40], strict=True)]
+    assert len(splits) == 7 and max(counts) < 1.3 * 25_000 / 8
