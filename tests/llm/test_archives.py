@@ -8,7 +8,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from rawlane.llm import urlfilter, warc
+from rawlane.llm import queries, urlfilter, warc
 
 
 def test_round_trip_of_odd_pages(spark, tmp_path):
@@ -118,3 +118,18 @@ def test_captures_are_judged_as_of_their_day(spark):
     assert rows == collections.Counter({(k, v, v != ""): 1 + (k == 0) for k, v in want.items()})
     assert urlfilter.judge_captures(table.where(F.lit(False)), listed).collect() == []
     assert {r.blocked for r in urlfilter.judge_captures(table, listed.where(F.lit(False))).collect()} == {False}
+
+
+def test_registered_archive_query_on_all_pages(spark):
+    folder = "/root/testdata/sf0.001"
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "html").collect()
+    largest = {}
+    for p in pages:
+        largest[p.html or ""] = max(p.page_id, largest.get(p.html or "", p.page_id))
+    want = []
+    for p in pages:
+        body, first = (p.html or "").encode(), largest[p.html or ""]
+        digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        want.append((p.page_id, len(body), digest, "response" if first == p.page_id else "revisit", None if first == p.page_id else first))
+    got = queries.QUERIES["op2_warc"](spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted(map(tuple, got.collect())) == sorted(want)
