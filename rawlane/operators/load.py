@@ -124,7 +124,7 @@ def interleaved_write(df: DataFrame, path: str, keys: Sequence[str], partitions:
     """Lay a table out so that a filter on any one of ``keys`` skips files, where ``clustered_write`` helps its first key.
 
     Each key is cut into ``2 ** bits`` ranges (``key_splits``); files hold neighbours in Z-order of the range numbers, so of n
-    files a filter on one of k keys reads about the k-th root of n per bit of its own. NULLs are in the lowest range and
+    files a filter on one value of one of k keys reads about n ** ((k - 1) / k). NULLs are in the lowest range and
     kept; an empty table is written as such. Rows of one cell are spread over files by a random last sort key, so a value
     that a third of all rows share does not end up in one task. Columns named as the helpers are kept as they are.
     """
