@@ -397,18 +397,16 @@ def _across(spark: SparkSession, nodes: DataFrame, folder: str, width: int, perc
     first = _written(_open(nodes, worth.select(F.col("root").alias("node"), "root", "goal"), width, percent), f"{folder}/links")
     components = connected_components(first)
 
-    # then components of several nodes ask with all of them, where a component that shares tokens is not yet joined
+    # then components of several nodes ask with all of them, where a component that shares tokens is not yet joined. One row
+    # per token and group says so: of the components that hold the token there, the least and the greatest
     label = components.select(F.col("node").alias("root"), "component")
     labelled = shared.join(label, "root", "left").withColumn("component", F.coalesce("component", "root"))
-    asking = worth.where("members > 1").select("root", "goal")
-    theirs = labelled.select("token", F.col("root").alias("other"), group.alias("goal"), F.col("component").alias("its"))
-    telling = telling.join(asking, "root").join(theirs, ["token", "goal"]).select("root", "other", "its").distinct()
-    telling = telling.join(label.withColumnRenamed("component", "mine"), "root", "left").where(F.coalesce("mine", "root") != F.col("its"))
-    telling = _written(telling.select("root", "other"), f"{folder}/apart")
-    others = shared.select("token", F.col("root").alias("other"))
-    pairs = telling.join(shared.select("token", "root", "weight"), "root").join(others, ["token", "other"])
-    pairs = pairs.groupBy("root", "other").agg(F.sum("weight").alias("shared")).join(least, "root").where("shared >= need")
-    rest = _written(pairs.select("root", _group_of("other").alias("goal")).distinct(), f"{folder}/rest")
+    theirs = labelled.groupBy("token", group.alias("goal")).agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    several = worth.where("members > 1").select("root", "goal")
+    asking = telling.join(several.select("root").distinct(), "root", "left_semi").join(label, "root", "left")
+    asking = asking.withColumn("mine", F.coalesce("component", "root")).join(theirs, "token").where(apart & ((F.col("lo") != F.col("mine")) | (F.col("hi") != F.col("mine"))))
+    # counting what each pair shares in all would leave out next to none of these, and has a row per pair and token
+    rest = _written(asking.select("root", "goal").distinct().join(several, ["root", "goal"], "left_semi"), f"{folder}/rest")
     if rest.limit(1).count() == 0:
         return components
     members = nodes.select("node", "root").join(rest, "root").select("node", "root", "goal")

@@ -128,3 +128,36 @@ def test_columns_named_like_those_of_the_stage(spark):
     docs = spark.createDataFrame(rows, names)
     kept = setjoin.one_of_each(docs)
     assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [rows[0]]
+
+
+def test_asking_again_joins_no_pairs(spark, settings, monkeypatch):
+    """Families of two that share a passage and are not linked: no join has a row per pair of families and token."""
+    rng, rows = random.Random(3), []
+    passage = [f"p{i}" for i in range(40)]
+    for family in range(48):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(20)]
+        rows += [(2 * family, " ".join(own + passage)), (2 * family + 1, " ".join([*own[:-1], f"x{family}", *passage, "end"]))]
+    monkeypatch.setattr(setjoin, "GROUP_NODES", 16)
+    monkeypatch.setattr(setjoin, "FREQUENT_MEMBERS", 1000)
+    written, most, sizes = setjoin._written, {}, {}
+
+    def joins(plan):
+        below = plan.children()
+        own = [plan.metrics().apply("numOutputRows").value()] if "Join" in plan.nodeName() else []
+        return own + [n for i in range(below.size()) for n in joins(below.apply(i))]
+
+    def counted(df, path):
+        name = path.rsplit("/", 1)[1]
+        df._jdf.queryExecution().toRdd().count()
+        most[name] = max(joins(df._jdf.queryExecution().executedPlan()), default=0)
+        out = written(df, path)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(setjoin, "_written", counted)
+    with settings(spark__sql__adaptive__enabled="false"):
+        got = setjoin.similar_sets(spark.createDataFrame(rows, "doc_id long, text string"), width=4, percent=70).select("doc_id", "n_shingles", "component_id").collect()
+    least, sets = components(rows, 4, 70)
+    assert order(map(tuple, got)) == order((i, len(s), c) for (i, _), s, c in zip(rows, sets, least, strict=True))
+    assert len(set(least)) == 48 and sizes["worth"] > 48
+    assert max(most[name] for name in ("apart", "rest") if name in most) <= 2 * most["worth"], (most, sizes)
