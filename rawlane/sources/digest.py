@@ -28,10 +28,10 @@ def power(exponent: Column, bits: int = NUMBER_BITS) -> Column:
     return out
 
 
-def line_words(line: Column) -> Column:
-    """The words of a line (text or binary) as an array."""
+def line_words(line: Column) -> list[Column]:
+    """The words of a line (text or binary)."""
     hashes = F.xxhash64(line), F.xxhash64(F.lit("b"), line)
-    return F.array(*[half.bitwiseAND(PRIME) for h in hashes for half in (h, F.shiftright(h, 32))])
+    return [half.bitwiseAND(PRIME) for h in hashes for half in (h, F.shiftright(h, 32))]
 
 
 def _spelled(length: Column, lines: Column, sums: list[Column]) -> Column:
@@ -41,7 +41,8 @@ def _spelled(length: Column, lines: Column, sums: list[Column]) -> Column:
 def line_shares(line: Column, position: Column) -> Column:
     """What a line adds to the sums of its split. ``position`` counts lines within a Spark partition in its lower bits."""
     weight = power(position.bitwiseAND((1 << NUMBER_BITS) - 1))
-    return F.transform(line_words(line), lambda word: word * weight % PRIME)
+    # No function over an array: that would not be compiled, and would look the weight up once more for every word.
+    return F.array(*[word * weight % PRIME for word in line_words(line)])
 
 
 def split_sums(shares: Column) -> list[Column]:

@@ -192,3 +192,13 @@ def test_columns_by_name_without_a_template(spark, tmp_path):
     first, second = got["base_oficial_1.csv"], got["base_oficial_2.csv"][0]
     assert [(r[at["cnpj"]], r[at["obs"]], r[at["grupo"]]) for r in first] == [("1", "algo", None), ("2", None, None)]
     assert (second[at["cnpj"]], second[at["grupo"]], second[at["obs"]]) == ("3", "g", None)
+
+
+def test_line_sums_are_compiled(spark):
+    """What a line adds to a fingerprint is no function over an array, which Spark does not compile."""
+    from pyspark.sql import functions as F
+
+    from rawlane.sources.digest import line_shares
+
+    plan = spark.range(3).select(line_shares(F.col("id").cast("string"), F.col("id")).alias("x"))._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "*(1)" in plan
