@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawlane.llm.arrow_text import mix, runs, shingle_hashes
+from rawlane.llm.arrow_text import buffers, mix, runs, shingle_hashes
 from rawlane.llm.components import connected_components
 from rawlane.session import work_path
 
@@ -144,6 +144,13 @@ def _set_key(tokens: np.ndarray) -> bytes:
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
+def _set_runs(texts: pa.Array, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The sets of a batch of texts in runs of some ``RUN_BYTES``, each with the number of its first row. A batch has
+    thousands of texts, whose hashes together take several times the memory of their bytes."""
+    for begin, end in runs(buffers(texts)[1], RUN_BYTES):
+        yield begin, shingle_hashes(texts.slice(begin, end - begin), width)
+
+
 def _prepare(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """One row per different set and task: step of its size, two smallest hashes, key, compressed text."""
 
@@ -151,15 +158,16 @@ def _prepare(docs: DataFrame, width: int, percent: int) -> DataFrame:
         seen: set[bytes] = set()
         pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            rows = []
-            for i, tokens in enumerate(shingle_hashes(batch.column(0), width)):
-                if len(tokens) and (key := _set_key(tokens)) not in seen:
-                    seen.add(key)
-                    least, second = tokens[0], mix(tokens ^ _SECOND).min()
-                    rows.append((size_step(len(tokens), percent), np.uint64(least).view(np.int64), second.view(np.int64), key, pack.compress(batch.column(0)[i].as_py().encode())))
-            if rows:
-                columns = zip(zip(*rows, strict=True), (*[pa.int64()] * 3, pa.binary(), pa.binary()), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["step", "m1", "m2", "key", "packed"])
+            for begin, sets in _set_runs(batch.column(0), width):
+                rows = []
+                for i, tokens in enumerate(sets, begin):
+                    if len(tokens) and (key := _set_key(tokens)) not in seen:
+                        seen.add(key)
+                        least, second = tokens[0], mix(tokens ^ _SECOND).min()
+                        rows.append((size_step(len(tokens), percent), np.uint64(least).view(np.int64), second.view(np.int64), key, pack.compress(batch.column(0)[i].as_py().encode())))
+                if rows:
+                    columns = zip(zip(*rows, strict=True), (*[pa.int64()] * 3, pa.binary(), pa.binary()), strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["step", "m1", "m2", "key", "packed"])
 
     return docs.select("text").mapInArrow(sets, "step long, m1 long, m2 long, key binary, packed binary")
 
@@ -324,9 +332,11 @@ def similar_sets(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_hashes(batch.column(1), width)
-            named = [_set_key(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(named, pa.binary()), pa.array([len(s) for s in sets], pa.int64())], keyed.names)
+            named, sizes = [], []
+            for _, sets in _set_runs(batch.column(1), width):
+                named += [_set_key(s) if len(s) else None for s in sets]
+                sizes += map(len, sets)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(named, pa.binary()), pa.array(sizes, pa.int64())], keyed.names)
 
     rows = _written(docs.select("doc_id", "text", "text_hash").mapInArrow(keys, keyed), f"{folder}/rows")
     classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))

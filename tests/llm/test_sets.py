@@ -2,7 +2,10 @@
 
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,3 +164,20 @@ def test_asking_again_joins_no_pairs(spark, settings, monkeypatch):
     assert order(map(tuple, got)) == order((i, len(s), c) for (i, _), s, c in zip(rows, sets, least, strict=True))
     assert len(set(least)) == 48 and sizes["worth"] > 48
     assert max(most[name] for name in ("apart", "rest") if name in most) <= 2 * most["worth"], (most, sizes)
+
+
+def test_sets_of_a_batch_come_in_runs_of_bounded_memory():
+    """All texts of a batch at once took several times the batch's bytes, per task."""
+    texts = pa.array([" ".join(f"w{i}x{j}" for j in range(300)) for i in range(4000)], pa.large_string())
+    whole = setjoin.shingle_hashes(texts, 5)
+    tracemalloc.start()
+    place = 0
+    for begin, sets in setjoin._set_runs(texts, 5):
+        assert begin == place
+        for own in sets:
+            assert np.array_equal(own, whole[place])
+            place += 1
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert place == len(texts)
+    assert peak < 16 * setjoin.RUN_BYTES < 2 * texts.nbytes
