@@ -173,32 +173,38 @@ def _load_batch(spark: SparkSession, files: DataFrame, listed: Sequence[Row], sp
 def _described(spark: SparkSession, paths: str | Sequence[str], whole_file_bytes: int, specs: Sequence[DatasetSpec], work: str) -> tuple[DataFrame | None, list[tuple[str, str]]]:
     """The routed manifest (None if nothing could be read), written once, and what could not be read: path and message.
 
-    The plan looks at the manifest several times, the input must be hashed a single time. Only if that fails the files are
-    listed and halved, in lists of bounded length.
+    The plan looks at the manifest several times, the input must be hashed a single time. Only if that fails all is described
+    once more, without the files that cannot be read whole; those that are missing then are read again by themselves, halved
+    in lists of bounded length. So one bad file of many costs one more pass, and a passing fault of a disk costs no file.
     """
     folders = iter(range(1 << 62))
 
-    def describe(some: str | Sequence[str]) -> DataFrame:
+    def describe(some: str | Sequence[str], skip_unreadable: bool = False) -> DataFrame:
         folder = f"{work}/manifest-{next(folders)}"
-        return materialize(route_files(build_manifest(spark, some, whole_file_bytes, f"{folder}-work"), specs), folder)
+        return materialize(build_manifest(spark, some, whole_file_bytes, f"{folder}-work", skip_unreadable), folder)
 
     try:
-        return describe(paths), []
+        return route_files(describe(paths), specs), []
     except AnalysisException:
         raise  # no such path: nothing that a single file does
     except Exception as error:  # noqa: BLE001 - a file that cannot be read shows as any error
         log.warning("a file cannot be read, looking for it: %s", error)
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(paths if isinstance(paths, str) else list(paths))
-    found = found.select(F.col("path"))
+    found, parts, unreadable = found.select("path", F.col("_metadata.file_path").alias("uri")), [], []
+    try:
+        parts.append(describe(paths, True))
+        found = found.join(parts[0].select("uri"), "uri", "left_anti")
+    except Exception as error:  # noqa: BLE001 - one that is too large to be read whole
+        log.warning("a large file cannot be read, looking for it: %s", error)
+    found = materialize(found.select("path"), f"{work}/missing")
     lists = -(-found.count() // FILES_PER_BATCH)
-    found = materialize(found.withColumn("list", F.pmod(F.xxhash64("path"), F.lit(lists)).cast("int")), f"{work}/paths", "list")
-    parts, unreadable = [], []
+    found = materialize(found.withColumn("list", F.pmod(F.xxhash64("path"), F.lit(max(lists, 1))).cast("int")), f"{work}/paths", "list")
     for number in range(lists):
         some = [literal_path(row.path) for row in found.where(F.col("list") == number).collect()]
         done, bad = isolate(some, describe) if some else ([], [])
         parts += done
         unreadable += [(path, str(error)) for path, error in bad]
-    return reduce(DataFrame.unionByName, parts) if parts else None, unreadable
+    return route_files(reduce(DataFrame.unionByName, parts), specs) if parts else None, unreadable
 
 
 def _note_unreadable(spark: SparkSession, unreadable: list[tuple[str, str]], specs: Sequence[DatasetSpec], store: Store, run: str, user: str | None) -> None:

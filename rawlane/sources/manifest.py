@@ -205,14 +205,18 @@ def build_manifest(
     paths: str | Sequence[str],
     whole_file_bytes: int = WHOLE_FILE_BYTES,
     work: str | None = None,
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """Describe every ``*.csv`` file below ``paths`` (a folder, a glob, or a list of them).
 
-    Lazy but for the split table of large files, which is only built when there are any.
+    Lazy but for the split table of large files, which is only built when there are any. With ``skip_unreadable`` files up
+    to ``whole_file_bytes`` that cannot be read have no row; a larger one is an error all the same, since part of its lines
+    would pass for the whole.
     """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv")
+        .option("ignoreCorruptFiles", skip_unreadable)
         .load(paths if isinstance(paths, str) else list(paths))
         .select(
             "content",

@@ -136,8 +136,10 @@ def write_lines(rows: DataFrame, lotes: int, path: str, name: str) -> None:
     )
 
 
-def ragged_folder(t: Tables) -> str:
-    """Orders as team files with odd records by key: too long, too short, blank lines, hidden separators, line ends."""
+def ragged_folder(t: Tables, least_files: int = 0) -> str:
+    """Orders as team files with odd records by key: too long, too short, blank lines, hidden separators, line ends.
+
+    The first ``least_files`` files are there even if no order falls into them, with a header only."""
     key = F.col("o_orderkey")
     text = key.cast("string")
     tail = F.lit(";x" * (len(USUARIOS.header) - 3))
@@ -152,9 +154,10 @@ def ragged_folder(t: Tables) -> str:
         .otherwise(usual)
     )
     rows = t.orders.select(lote_of(key).alias("lote"), key.alias("place"), value.alias("value"))
-    heads = rows.select("lote").distinct().select("lote", F.lit(-1).alias("place"), F.lit(";".join(USUARIOS.header)).alias("value"))
+    lotes = rows.select("lote").union(t.spark.range(least_files).select(F.col("id").alias("lote"))).distinct()
+    heads = lotes.select("lote", F.lit(-1).alias("place"), F.lit(";".join(USUARIOS.header)).alias("value"))
     path = work_path(t.spark, "ragged")
-    write_lines(rows.union(heads), lotes_in(t), path, "usuarios")
+    write_lines(rows.union(heads), max(lotes_in(t), least_files), path, "usuarios")
     return path
 
 

@@ -379,3 +379,21 @@ def test_folders_are_per_load_and_deliveries_per_file_that_is_there(spark, drop,
     kept = [f for f in progress.glob("deliveries/*") if f.is_dir()]
     assert [f.name for f in kept] == ["base-2"] and spark.read.parquet(str(kept[0])).count() == 3
     assert len(loaded(spark, store)) == 13
+
+
+def test_one_unreadable_file_of_many_costs_one_more_pass(spark, drop, monkeypatch):
+    """Halving the files down to it described them about twice more, in some 2 log n jobs."""
+    for i in range(20):
+        path = drop(f"faturamento-{i:02}.csv", billing({"numero_documento": str(i)}))
+    corrupt(path)
+    seen, build = [], ingest_module.build_manifest
+
+    def counted(session, paths, *rest):
+        seen.append(paths)
+        return build(session, paths, *rest)
+
+    monkeypatch.setattr(ingest_module, "build_manifest", counted)
+    store = run(spark, drop)
+    assert sorted(s[0] for s in history(spark, store).values()) == ["erro"] + ["sucesso"] * 19
+    assert len(loaded(spark, store)) == 19
+    assert len(seen) == 3 and len(seen[2]) == 1
