@@ -28,10 +28,17 @@ def power(exponent: Column, bits: int = NUMBER_BITS) -> Column:
     return out
 
 
+def line_hashes(line: Column) -> list[Column]:
+    return [F.xxhash64(line), F.xxhash64(F.lit("b"), line)]
+
+
+def hash_words(hashes: list[Column]) -> list[Column]:
+    return [half.bitwiseAND(PRIME) for h in hashes for half in (h, F.shiftright(h, 32))]
+
+
 def line_words(line: Column) -> list[Column]:
     """The words of a line (text or binary)."""
-    hashes = F.xxhash64(line), F.xxhash64(F.lit("b"), line)
-    return [half.bitwiseAND(PRIME) for h in hashes for half in (h, F.shiftright(h, 32))]
+    return hash_words(line_hashes(line))
 
 
 def _spelled(length: Column, lines: Column, sums: list[Column]) -> Column:
@@ -58,19 +65,27 @@ def digest_of_splits(length: Column, lines: Column, before: Column, lowest: Colu
     return _spelled(F.max(length), F.sum(lines), sums)
 
 
-def digest_of_lines(length: Column, lines: Column) -> Column:
-    """The same of a file that is there as a whole: ``lines`` are its bytes, as characters U+0000 to U+00FF, split at
-    ``\\n``. What comes after a final line end is no line; a byte-order mark counts by the length only, since readers of
-    lines drop it."""
+def digest_of_lines(length: Column, lines: Column, utf8: Column) -> Column:
+    """The same of a file that is there as a whole, its ``lines`` split at ``\\n``: text where ``utf8`` is true, else bytes as
+    characters U+0000 to U+00FF. What comes after a final line end is no line; a byte-order mark counts by the length only,
+    since readers of lines drop it.
+
+    The sums are folded from the last line to the first, each step times the base, so no power is looked up: functions over
+    arrays are not compiled, and looking up the powers took most of a description's time.
+    """
     none = (F.size(lines) > 0) & (F.element_at(lines, -1) == "")
     own = F.when(none, F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
-    mark = "ï»¿"
 
-    def shares(line: Column, number: Column) -> Column:
-        line = F.when((number == 0) & line.startswith(mark), F.substring(line, 4, 2**31 - 1)).otherwise(line)
-        return line_shares(F.encode(line, "ISO-8859-1"), number.cast("long"))
+    def hashes(line: Column, number: Column) -> Column:
+        head = (number == 0) & line.startswith(F.when(utf8, F.lit("\ufeff")).otherwise(F.lit("ï»¿")))
+        line = F.when(head, F.substring(line, F.when(utf8, F.lit(2)).otherwise(F.lit(4)), F.lit(2**31 - 1))).otherwise(line)
+        content = F.when(utf8, line.cast("binary")).otherwise(F.encode(line, "ISO-8859-1"))
+        return F.array(*line_hashes(content))
+
+    def step(sums: Column, found: Column) -> Column:
+        words = hash_words([F.get(found, F.lit(i)) for i in range(WORDS // 2)])
+        return F.array(*[(F.get(sums, F.lit(i)) * BASE + word) % PRIME for i, word in enumerate(words)])
 
-    zero = F.array(*[F.lit(0).cast("long")] * WORDS)
-    sums = F.aggregate(F.transform(own, shares), zero, lambda a, b: F.zip_with(a, b, lambda x, y: (x + y) % PRIME))
+    sums = F.aggregate(F.reverse(F.transform(own, hashes)), F.array(*[F.lit(0).cast("long")] * WORDS), step)
     counted = F.struct(F.size(own).alias("n"), sums.alias("sums"))
     return _spelled(length, counted["n"], [counted["sums"][i] for i in range(WORDS)])

@@ -91,8 +91,8 @@ def describe_content(files: DataFrame) -> DataFrame:
     header_line = F.when(strip(first) != "", first).otherwise(_first_line(F.ltrim(text, F.lit(BLANKS))))
     lined = decoded.withColumns({"sep": detect_separator(first), "_header": _without_bom(header_line)})
     blank_record = (F.col("sep") == "\t") & text.rlike(r"(?m)^[ \t]*\t[ \t]*\r?$")
-    # One character per byte, so that lines have their bytes whatever the encoding.
-    lines = F.split(F.decode("content", LATIN1), "\n")
+    # UTF-8 as it is, else one character per byte: so lines have their bytes whatever the encoding.
+    lines = F.split(text, "\n")
 
     def any_hides(sep: str) -> Column:
         return (F.col("sep") == sep) & F.exists(lines, lambda line: hides_records(line, sep))
@@ -100,7 +100,7 @@ def describe_content(files: DataFrame) -> DataFrame:
     hidden = reduce(Column.__or__, map(any_hides, SEPARATORS))
     return lined.select(
         *[c for c in files.columns if c != "content"],
-        digest_of_lines(F.length("content"), lines).alias("file_hash"),
+        digest_of_lines(F.length("content"), lines, F.col("_utf8")).alias("file_hash"),
         F.md5("content").alias("md5"),
         F.when(F.col("_utf8"), F.lit(UTF8)).otherwise(F.lit(LATIN1)).alias("encoding"),
         "sep",

@@ -202,3 +202,13 @@ def test_line_sums_are_compiled(spark):
 
     plan = spark.range(3).select(line_shares(F.col("id").cast("string"), F.col("id")).alias("x"))._jdf.queryExecution().executedPlan().toString()
     assert "lambda" not in plan and "*(1)" in plan
+
+
+def test_whole_files_are_summed_without_powers(spark):
+    """Each line looked the powers of the base up, four times, in code that is not compiled."""
+    from rawlane.sources.digest import BASE, PRIME
+    from rawlane.sources.manifest import describe_content
+
+    files = spark.createDataFrame([(bytearray(b"a;b\n1;2\n"),)], "content binary")
+    plan = describe_content(files)._jdf.queryExecution().optimizedPlan().toString()
+    assert str(BASE) in plan and str(BASE**2 % PRIME) not in plan
