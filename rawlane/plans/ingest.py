@@ -34,7 +34,7 @@ from rawlane.operators.load import current_rows, stage_rows, table_schema
 from rawlane.operators.rejections import append_rejections
 from rawlane.operators.routing import clean_table, rejections, run_metrics, valid_rows
 from rawlane.operators.schema import header_contract
-from rawlane.session import work_path
+from rawlane.session import methods_that_compile, work_path
 from rawlane.sources.delimited import LINEAGE, read_delimited, record_offsets, with_record_numbers
 from rawlane.sources.manifest import WHOLE_FILE_BYTES, build_manifest, route_files, skip_seen_files
 from rawlane.sources.storage import drop_work, exists, isolate, literal_path, materialize
@@ -134,7 +134,9 @@ def _load_batch(spark: SparkSession, files: DataFrame, listed: Sequence[Row], sp
     parts, folders = [], iter(range(2 * len(listed)))
 
     def read(some: list[Row]) -> DataFrame:
-        return materialize(stage(spark, some, spec, run), f"{work}/staged-{next(folders)}")
+        # Typing some thirty columns makes one method far above what the JVM compiles.
+        with methods_that_compile(spark):
+            return materialize(stage(spark, some, spec, run), f"{work}/staged-{next(folders)}")
 
     parts, unreadable = isolate(list(listed), read)
     if unreadable:

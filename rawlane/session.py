@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -42,3 +44,16 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/rawlane/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def methods_that_compile(spark: SparkSession) -> Iterator[None]:
+    """While this holds, stages whose generated method would be above HotSpot's limit of 8000 bytes of code run operator by
+    operator instead. Beyond that limit the JVM interprets a method for good, which is several times slower."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, 8000)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

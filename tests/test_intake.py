@@ -397,3 +397,24 @@ def test_one_unreadable_file_of_many_costs_one_more_pass(spark, drop, monkeypatc
     assert sorted(s[0] for s in history(spark, store).values()) == ["erro"] + ["sucesso"] * 19
     assert len(loaded(spark, store)) == 19
     assert len(seen) == 3 and len(seen[2]) == 1
+
+
+@pytest.mark.parametrize("before", [None, "20000"])
+def test_staging_keeps_generated_methods_small_enough_to_be_compiled(spark, drop, monkeypatch, before):
+    name, held, write = "spark.sql.codegen.hugeMethodLimit", {}, ingest_module.materialize
+
+    def noted(df, path, *rest):
+        held[path.rsplit("/", 1)[1].split("-")[0]] = spark.conf.get(name, None)
+        return write(df, path, *rest)
+
+    monkeypatch.setattr(ingest_module, "materialize", noted)
+    if before is not None:
+        spark.conf.set(name, before)
+    usual = spark.conf.get(name, None)
+    try:
+        drop("faturamento.csv", billing({}))
+        assert len(loaded(spark, run(spark, drop))) == 1
+        assert held["staged"] == "8000" and held["plan"] == usual
+        assert spark.conf.get(name, None) == usual
+    finally:
+        spark.conf.unset(name)
