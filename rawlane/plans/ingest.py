@@ -117,9 +117,13 @@ def plan_files(manifest: DataFrame, specs: Sequence[DatasetSpec], history: DataF
 
 
 def stage(spark: SparkSession, files: Sequence[Row], spec: DatasetSpec, run: str) -> DataFrame:
-    """Read and clean one batch of one dataset. Lazy; one pass over the input."""
+    """Read and clean one batch of one dataset. Lazy; one pass over the input.
+
+    Only flagged rows carry their ``run_id``: hashing it for every row took a fifth of staging. Rows are counted by ``uri``.
+    """
     rows = read_delimited(spark, files, spec)
-    return clean_table(rows, spec, keep=LINEAGE).withColumn("run_id", uuid_from(F.lit(run), F.col("uri")))
+    run_id = F.when(F.col("registro").isNotNull(), uuid_from(F.lit(run), F.col("uri")))
+    return clean_table(rows, spec, keep=LINEAGE).withColumn("run_id", run_id)
 
 
 def _load_batch(spark: SparkSession, files: DataFrame, listed: Sequence[Row], spec: DatasetSpec, store: Store, run: str, work: str) -> list[str]:
@@ -151,7 +155,7 @@ def _load_batch(spark: SparkSession, files: DataFrame, listed: Sequence[Row], sp
     load, metrics = uuid.uuid4().hex, None
     try:
         staged = reduce(DataFrame.unionByName, parts)
-        metrics = files.join(run_metrics(staged, ["run_id"]), "run_id", "left")
+        metrics = files.join(run_metrics(staged, ["uri"]), "uri", "left")
         offsets = materialize(record_offsets(staged), f"{work}/offsets")
         # Superseded files are read for their counters and log entries only.
         current = staged

@@ -47,13 +47,21 @@ def work_path(spark: SparkSession, purpose: str) -> str:
 
 
 @contextlib.contextmanager
-def methods_that_compile(spark: SparkSession) -> Iterator[None]:
-    """While this holds, stages whose generated method would be above HotSpot's limit of 8000 bytes of code run operator by
-    operator instead. Beyond that limit the JVM interprets a method for good, which is several times slower."""
-    name = "spark.sql.codegen.hugeMethodLimit"
+def _setting(spark: SparkSession, name: str, value: int) -> Iterator[None]:
     before = spark.conf.get(name, None)
-    spark.conf.set(name, 8000)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def methods_that_compile(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """While this holds, stages whose generated method would be above HotSpot's limit of 8000 bytes of code run operator by
+    operator instead. Beyond that limit the JVM interprets a method for good, which is several times slower."""
+    return _setting(spark, "spark.sql.codegen.hugeMethodLimit", 8000)
+
+
+def few_listing_tasks(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """While this holds, a list of files is looked up by four tasks per core instead of a task for each file."""
+    return _setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", 4 * spark.sparkContext.defaultParallelism)

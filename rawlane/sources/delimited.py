@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rawlane.functions.text import null_tokens_sql, percent_decoded
 from rawlane.operators.schema import conform_cells, first_positions
+from rawlane.session import few_listing_tasks
 from rawlane.sources.manifest import ASSEMBLED, BLANKS, LATIN1, prefix_before, read_lines
 from rawlane.sources.quoting import bare_text, number_records, pieces, record_cells
 from rawlane.sources.storage import literal_path
@@ -149,7 +150,8 @@ def read_delimited(spark: SparkSession, manifest: DataFrame | Sequence[Row], spe
     lines, assembled = [], []
     for (sep, encoding, layout, _), files in sorted(groups.items(), key=lambda item: str(item[0])):
         columns = len(files[0].header)
-        rows = _read_group(spark, [f.path for f in files], sep, encoding, layout, columns)
+        with few_listing_tasks(spark):
+            rows = _read_group(spark, [f.path for f in files], sep, encoding, layout, columns)
         (assembled if layout == ASSEMBLED else lines).append(_conform_group(spark, rows, files, spec))
     parts = []
     if lines:

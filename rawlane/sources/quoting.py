@@ -70,6 +70,18 @@ def record_cells(record: Column, sep: str) -> Column:
     )
 
 
+def odd_quotes(text: Column, sep: str) -> Column:
+    """False when every quote of a file's text belongs to a field quoted as a whole within its line, and no lone ``\\r`` is
+    there: then no line hides records and the text does not end inside quotes, which one scan of the text tells.
+
+    A quoted field that ends in a separator counts as odd: its closing quote would look like an opening one.
+    """
+    mark = _mark(sep)
+    plain = F.regexp_replace(text, f'(^|[\\n{mark}])"(?:[^"\\r\\n]*[^"\\r\\n{mark}])?"(?=[\\r\\n{mark}]|\\z)', "$1")
+    lone = text.contains("\r") & text.rlike("\\r(?!\\r*+(?:\\n|\\z))")
+    return text.contains('"') & (plain.contains('"') | lone)
+
+
 def ends_in_quotes(text: Column, sep: Column) -> Column:
     """True when a whole file's text ends inside a quoted field, by the rules of ``bare_text`` over all its lines."""
     start = F.concat(F.lit("(^|[\\r\\n"), sep, F.lit("])\""))

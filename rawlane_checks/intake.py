@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rawlane.operators.audit import append_events, run_start_events
@@ -12,11 +12,12 @@ from rawlane.operators.load import stage_rows
 from rawlane.operators.rejections import append_rejections
 from rawlane.plans.ingest import Store, ingest
 from rawlane.session import work_path
+from rawlane.sources.storage import materialize
 from rawlane.specs import FATURAMENTO, USUARIOS
 from rawlane.streaming.intake import ingest_stream
 from rawlane_checks.registry import Tables, check
 from rawlane_checks.routing import ERROR_SQL, WARN_SQL
-from rawlane_checks.sources import RAGGED_SQL, ROWS_PER_FILE, lote_of, lotes_in, one_file_each, ragged_folder
+from rawlane_checks.sources import RAGGED_SQL, ROWS_PER_FILE, lote_of, one_file_each, ragged_folder
 from rawlane_checks.views import DIRTY_SQL, dirty_faturamento
 
 LOADED = ["numero_documento", "cnpj", "valor_da_conta", "data_fat", "empresa", "observacao"]
@@ -24,6 +25,17 @@ LOADED_SQL = f"""WITH {DIRTY_SQL} SELECT numero_documento, cnpj, valor AS valor_
     'observação' AS observacao FROM routed WHERE campo IS NULL"""
 
 
+#: Files that one task writes, as far as that leaves every core two tasks. A task for each spent more on starting than on rows.
+FILES_PER_TASK = 16
+
+
+def planned_files(t: Tables) -> DataFrame:
+    """One row per file: ``lote``, whether it is ``full``, and its ``place`` among such files of its format."""
+    files = t.orders.groupBy(lote_of(F.col("o_orderkey")).alias("lote")).agg((F.count(F.lit(1)) == ROWS_PER_FILE).alias("full"))
+    place = F.row_number().over(Window.partitionBy(F.col("lote") % 2, "full").orderBy("lote")) - 1
+    return materialize(files.withColumn("place", place), work_path(t.spark, "files"))
+
+
 def drop_folder(t: Tables) -> str:
     """Dirty billing files: semicolon and UTF-8 for even file numbers, comma and Latin-1 for odd ones."""
     path = work_path(t.spark, "drop")
@@ -33,19 +45,23 @@ def drop_folder(t: Tables) -> str:
     known = set(rows.columns)
     target = {FATURAMENTO.rename.get(c, c): c for c in FATURAMENTO.header}
     cells = [(F.col(n) if n in known else F.lit(None).cast("string")).alias(c) for n, c in target.items()]
-    lotes = lotes_in(t)
-    for odd, sep, encoding in ((0, ";", "UTF-8"), (1, ",", "ISO-8859-1")):
-        part = rows.filter(F.col("lote") % 2 == odd).withColumn("lote", F.floor(F.col("lote") / 2))
-        files = (lotes + 1 - odd) // 2
-        if not files:
-            continue
+    planned = planned_files(t)
+    counts = planned.groupBy((F.col("lote") % 2).alias("odd"), "full").agg(F.count(F.lit(1)).alias("n")).collect()
+    for odd, full, files in sorted(tuple(row) for row in counts):
+        sep, encoding = (",", "ISO-8859-1") if odd else (";", "UTF-8")
+        # Full files follow each other in a task and are cut by their number of rows; any other file has a task of its own.
+        each = max(1, min(FILES_PER_TASK, files // (2 * t.spark.sparkContext.defaultParallelism))) if full else 1
+        mine = planned.filter((F.col("lote") % 2 == odd) & (F.col("full") == full))
         (
-            one_file_each(part, files)
+            one_file_each(rows.join(mine.select(F.col("lote"), F.floor(F.col("place") / each).alias("task")), "lote"), -(-files // each), "task")
             .sortWithinPartitions("o_orderkey")
             .select(*cells)
             .write.mode("append")
             .option("header", True)
             .option("mapreduce.output.basename", "faturamento")
+            # Tasks put their files in place, not the driver one after the other.
+            .option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+            .option("maxRecordsPerFile", ROWS_PER_FILE if full else 0)
             .option("sep", sep)
             .option("encoding", encoding)
             .option("escape", '"')

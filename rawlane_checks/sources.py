@@ -108,9 +108,9 @@ def tokens(t: Tables) -> DataFrame:
 
 # --- ragged files ---------------------------------------------------------------------------------------------------
 
-def one_file_each(rows: DataFrame, lotes: int) -> DataFrame:
-    """One task, and so one file, per ``lote`` (0, 1, ...)."""
-    return rows.repartitionById(lotes, F.col("lote").cast("int"))
+def one_file_each(rows: DataFrame, lotes: int, number: str = "lote") -> DataFrame:
+    """One task, and so one file, per ``lote`` (0, 1, ...), or another ``number``."""
+    return rows.repartitionById(lotes, F.col(number).cast("int"))
 
 
 def lote_of(key: Column) -> Column:

@@ -418,3 +418,53 @@ def test_staging_keeps_generated_methods_small_enough_to_be_compiled(spark, drop
         assert spark.conf.get(name, None) == usual
     finally:
         spark.conf.unset(name)
+
+
+def test_only_flagged_rows_carry_a_run_id(spark, drop):
+    """Hashing the id for every row took a fifth of staging; only log entries need it."""
+    from rawlane.sources.manifest import build_manifest, route_files
+
+    drop("faturamento.csv", billing({}, {"cnpj": ""}, {"valor_da_conta": "?"}))
+    files = route_files(build_manifest(spark, drop.folder)).collect()
+    rows = ingest_module.stage(spark, files, FATURAMENTO, "r").select("registro", "run_id").collect()
+    assert sorted(r.run_id is not None for r in rows) == [False, True, True]
+    assert all((r.registro is None) == (r.run_id is None) for r in rows)
+
+
+def test_many_files_are_looked_up_by_few_tasks(spark, drop, monkeypatch):
+    """A list of files took a task for each."""
+    from rawlane.sources import delimited
+
+    name, held, read = "spark.sql.sources.parallelPartitionDiscovery.parallelism", [], delimited._read_group
+    before = spark.conf.get(name, None)
+    monkeypatch.setattr(delimited, "_read_group", lambda *a: held.append(int(spark.conf.get(name))) or read(*a))
+    drop("faturamento.csv", billing({}))
+    assert len(loaded(spark, run(spark, drop))) == 1
+    assert held == [4 * spark.sparkContext.defaultParallelism] and spark.conf.get(name, None) == before
+
+
+def test_a_task_writes_several_files_of_the_drop_folder(spark, tmp_path):
+    """Every file holds the rows of its keys, whether or not all of them are there; full ones share tasks."""
+    from pyspark.sql import functions as F
+
+    from rawlane_checks.intake import drop_folder
+    from rawlane_checks.registry import Tables
+    from rawlane_checks.sources import ROWS_PER_FILE
+
+    full, sparse = 4 * 2 * spark.sparkContext.defaultParallelism, 3
+    key = F.col("id")
+    # After the full files: a gap, then files that lack rows.
+    kept = spark.range((full + sparse + 5) * ROWS_PER_FILE).where((key < full * ROWS_PER_FILE) | ((key >= (full + 5) * ROWS_PER_FILE) & (key % 7 > 0)))
+    price, day = F.lit(1.5), F.lit("2024-01-02").cast("timestamp")
+    kept.select(key.alias("o_orderkey"), key.alias("o_custkey"), F.lit("F").alias("o_orderstatus"), price.alias("o_totalprice"), day.alias("o_orderdate")).write.parquet(str(tmp_path / "orders.parquet"))
+    files = list(Path(drop_folder(Tables(spark, str(tmp_path)))).glob("*.csv"))
+    assert len(files) == full + sparse and len({f.name for f in files}) == len(files)
+    assert any(f.name.endswith("-c001.csv") for f in files)
+    sizes = []
+    for file in files:
+        lines = file.read_bytes().decode("latin-1").splitlines()[1:]
+        # every 67th document has no number
+        keys = [int(cell) for line in lines if (cell := line.replace(",", ";").split(";")[1])]
+        assert len({k // ROWS_PER_FILE for k in keys}) == 1 and keys == sorted(keys)
+        sizes.append(len(lines))
+    assert sorted(sizes)[sparse:] == [ROWS_PER_FILE] * full and sum(sizes) == kept.count()

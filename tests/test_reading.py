@@ -212,3 +212,25 @@ def test_whole_files_are_summed_without_powers(spark):
     files = spark.createDataFrame([(bytearray(b"a;b\n1;2\n"),)], "content binary")
     plan = describe_content(files)._jdf.queryExecution().optimizedPlan().toString()
     assert str(BASE) in plan and str(BASE**2 % PRIME) not in plan
+
+
+def test_files_without_odd_quotes_need_no_look_at_lines(spark):
+    """One scan of a text tells that no line hides records; it never says so of a text where one does."""
+    from pyspark.sql import functions as F
+
+    from rawlane.sources.manifest import SEPARATORS
+    from rawlane.sources.quoting import ends_in_quotes, hides_records, odd_quotes
+
+    rng = random.Random(3)
+    parts = ['"', '""', ";", ",", "\t", "\n", "\r", "\r\n", "a", "$", '"a"', ';"b"', ';"";', '\n"x"', "﻿"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(5000)]
+    plain = 'a;b\r\n"x";"1,5"\r\n"";"y z"\r\n' * 50
+    df = spark.createDataFrame([(t,) for t in [*texts, plain]], "text string")
+    for sep in SEPARATORS:
+        lines = F.split("text", "\n")
+        odd = odd_quotes(F.col("text"), sep).alias("odd")
+        hides = F.exists(lines, lambda line: hides_records(line, sep)) | ends_in_quotes(F.col("text"), F.lit(sep))
+        rows = df.select("text", odd, hides.alias("hides")).collect()
+        assert not [r.text for r in rows if r.hides and not r.odd]
+        assert any(not r.odd and '"' in r.text for r in rows) and any(r.hides for r in rows)
+    assert not df.where(F.col("text") == plain).select(odd_quotes(F.col("text"), ";")).first()[0]
