@@ -133,3 +133,17 @@ def test_format_then_parse_gives_the_value_back(spark, numbers, days):
 def test_integer_targets_are_refused():
     with pytest.raises(ValueError, match="not supported"):
         DatasetSpec("x", "x", "x", T.StructType([T.StructField("v", T.IntegerType())]), ())
+
+
+def test_text_that_starts_with_a_visible_character_is_not_trimmed_to_see_if_it_is_blank(spark):
+    from pyspark.sql import functions as F
+
+    from rawlane.functions.text import WHITESPACE, is_blank
+
+    odd = [*WHITESPACE, "!", "~", "\x7f", "\x80", "a", "é", "\x00", "\x1b", "\U0001f600"]
+    texts = ["", *odd, *[a + b for a in odd for b in odd]]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", is_blank(F.col("t")).alias("blank")).collect()
+    assert [r.t for r in rows if r.blank != (r.t.strip() == "")] == []
+    assert spark.createDataFrame([(None,)], "t string").select(is_blank(F.col("t"))).first()[0] is True
+    plan = spark.range(1).select(is_blank(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
+    assert ">= !" in plan
